@@ -51,3 +51,110 @@ def _share(spark, sf):
 @query("customer_segments")
 def _segments(spark, sf):
     return E.customer_segments(open_star(spark, sf).fact)
+
+
+# ---------------------------------------------------------------- audits (D)
+from ..operators import audit as D  # noqa: E402
+
+
+@query("audit_duplicates")
+def _dups(spark, sf):
+    return D.audit_duplicates(open_star(spark, sf).fact)
+
+
+@query("audit_guest")
+def _guest(spark, sf):
+    return D.audit_guest(open_star(spark, sf).fact)
+
+
+@query("audit_referential")
+def _ri(spark, sf):
+    return D.audit_referential(open_star(spark, sf))
+
+
+@query("audit_orphans")
+def _orph(spark, sf):
+    return D.audit_orphans(open_star(spark, sf))
+
+
+@query("audit_sign")
+def _sign(spark, sf):
+    return D.audit_sign(open_star(spark, sf).fact)
+
+
+@query("audit_price")
+def _price(spark, sf):
+    return D.audit_price(open_star(spark, sf).fact)
+
+
+@query("audit_constraints")
+def _constraints(spark, sf):
+    return D.audit_constraints(open_star(spark, sf))
+
+
+@query("audit_duplicates_line")
+def _dups_line(spark, sf):
+    """Whole duplicate listing on line-level keys (invoice, day, time of day)."""
+    return D.audit_duplicates(open_star(spark, sf).fact,
+                              keys=("invoice_no", "date_key", "transaction_time"), limit=None)
+
+
+# ---------------------------------------------------------------- measures (F)
+from ..operators import measures as M  # noqa: E402
+from ..operators import timeintel as TI  # noqa: E402
+
+_BY_COUNTRY = {
+    "m_core": ("net_sales", "gross_sales", "returns_value", "return_rate", "total_transactions",
+               "net_transactions"),
+    "m_margin": ("gross_profit", "gross_margin"),
+    "m_order": ("aov", "items_per_basket"),
+    "m_customers": ("active_customers", "avg_clv"),
+    "m_target": ("net_sales", "target_sales"),
+}
+
+
+def _by_country(measures):
+    return lambda spark, sf: M.evaluate(open_star(spark, sf), measures, by=("country",))
+
+
+for _k, _m in _BY_COUNTRY.items():
+    QUERIES[_k] = _by_country(_m)
+
+
+@query("m_prev_month")
+def _pm(spark, sf):
+    return TI.prev_month(open_star(spark, sf))
+
+
+@query("m_sssg")
+def _sssg(spark, sf):
+    return TI.same_store(open_star(spark, sf))
+
+
+@query("m_ytd")
+def _ytd(spark, sf):
+    return TI.ytd(open_star(spark, sf))
+
+
+@query("m_retention")
+def _ret(spark, sf):
+    return TI.retention(open_star(spark, sf))
+
+
+# ---------------------------------------------------------------- dashboard (G)
+from ..operators import dashboard as G  # noqa: E402
+
+for _k, _fn in {"dash_cards": G.cards, "dash_trend": G.trend, "dash_region_share": G.region_share,
+                "dash_country": G.country_sales, "dash_sliced": G.sliced_cards,
+                "dash_product_matrix": G.product_matrix, "dash_price_qty": G.price_quantity,
+                "dash_guest_split": G.guest_split}.items():
+    QUERIES[_k] = (lambda fn: lambda spark, sf: fn(open_star(spark, sf)))(_fn)
+
+
+# ---------------------------------------------------------------- report (H)
+from ..operators import report as H  # noqa: E402
+
+for _k, _fn in {"rep_quarter_share": H.quarter_share, "rep_q1_dip": H.q1_dip,
+                "rep_return_rate": H.return_rate_by_country,
+                "rep_sku_concentration": H.sku_concentration}.items():
+    QUERIES[_k] = (lambda fn: lambda spark, sf: fn(open_star(spark, sf)))(_fn)
