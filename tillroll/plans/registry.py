@@ -158,3 +158,176 @@ for _k, _fn in {"rep_quarter_share": H.quarter_share, "rep_q1_dip": H.q1_dip,
                 "rep_return_rate": H.return_rate_by_country,
                 "rep_sku_concentration": H.sku_concentration}.items():
     QUERIES[_k] = (lambda fn: lambda spark, sf: fn(open_star(spark, sf)))(_fn)
+
+
+# ---------------------------------------------------------------- sources, cleaning, star (A, B, C)
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import clean as B  # noqa: E402
+from ..operators import dims as DM  # noqa: E402
+from ..operators import fact as FT  # noqa: E402
+from ..schemas import FACT_COLUMNS  # noqa: E402
+from ..session import join_path  # noqa: E402
+from ..sources import fixtures as FX  # noqa: E402
+from ..sources import raw as RW  # noqa: E402
+from .warehouse import open_extracts, write_star  # noqa: E402
+
+_RAW_COLS = ("invoice", "stock_code", "description", "quantity", "invoice_date", "price",
+             "customer_id", "country", "source_rank")
+
+
+def _money_out(df):
+    for c in ("price", "unit_price", "line_total"):
+        if c in df.columns:
+            df = df.withColumn(c, F.col(c).cast("double"))
+    return df
+
+
+@query("src_read")
+def _src_read(spark, sf):
+    """Extract stage: the whole extract folder in one scan (source from the path)."""
+    df = RW.read_raw(spark, open_extracts(spark, sf))
+    return df.withColumn("source_rank", RW.source_rank_of(F.col("source"))).select(*_RAW_COLS)
+
+
+@query("src_union")
+def _src_union(spark, sf):
+    """Extract stage: six required extracts read one by one, UNION ALL by name."""
+    return RW.read_sources(spark, open_extracts(spark, sf)).select(*_RAW_COLS)
+
+
+@query("src_route")
+def _src_route(spark, sf):
+    raw = FX.raw_from_driver_tables(spark, sf)
+    return raw.groupBy("source").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("clean_nan")
+def _clean_nan(spark, sf):
+    return B.nan_to_null(FX.raw_from_driver_tables(spark, sf)).select(*_RAW_COLS)
+
+
+@query("clean_flat")
+def _clean_flat(spark, sf):
+    """Cleaning as one lazy plan straight from the driver tables."""
+    return _money_out(B.clean_flat(B.clean_lines(FX.raw_from_driver_tables(spark, sf))))
+
+
+@query("sink_clean")
+def _sink_clean(spark, sf):
+    """The cleaned flat file as written by the ETL, read back."""
+    from ..sources.sinks import read_clean
+    star = open_star(spark, sf)
+    return _money_out(read_clean(spark, join_path(star.base, "lines")).select(*B.CLEAN_COLUMNS))
+
+
+@query("clean_report")
+def _clean_report(spark, sf):
+    return B.clean_report(open_star(spark, sf).lines)
+
+
+@query("dim_customers")
+def _dim_c(spark, sf):
+    return open_star(spark, sf).dim_customers
+
+
+@query("dim_products")
+def _dim_p(spark, sf):
+    return open_star(spark, sf).dim_products
+
+
+@query("dim_branches")
+def _dim_b(spark, sf):
+    return open_star(spark, sf).dim_branches
+
+
+@query("dim_date")
+def _dim_d(spark, sf):
+    return open_star(spark, sf).dim_date
+
+
+@query("dim_dedupe")
+def _dim_dedupe(spark, sf):
+    """First-loaded description per code (INSERT IGNORE), first = earliest line."""
+    clean = open_star(spark, sf).clean
+    rows = clean.select(F.col("stock_code").alias("product_code"),
+                        F.col("description").alias("product_name"), "invoice_date", "invoice")
+    d = DM.dedupe_dim(rows, "product_code",
+                      [F.col("invoice_date"), F.col("invoice"), F.col("product_name")])
+    return d.select("product_code", "product_name")
+
+
+@query("fact_build")
+def _fact_build(spark, sf):
+    """Fact builder as one lazy plan from the driver tables."""
+    clean = B.clean_only(B.clean_lines(FX.raw_from_driver_tables(spark, sf)))
+    return _money_out(FT.fact_sales(clean, DM.dim_branches(clean)).select(*FACT_COLUMNS))
+
+
+@query("bi_projection")
+def _bi(spark, sf):
+    return _money_out(FT.bi_projection(open_star(spark, sf).fact))
+
+
+@query("sink_star")
+def _sink_star(spark, sf):
+    star = open_star(spark, sf)
+    path = join_path(star.base, "warehouse_load")
+    write_star(star, path)
+    return _money_out(spark.read.parquet(join_path(path, "fact_sales")).select(*FACT_COLUMNS))
+
+
+@query("star_view")
+def _star_view(spark, sf):
+    return _money_out(FT.star_view(open_star(spark, sf)))
+
+
+# ---------------------------------------------------------------- forecasting (I)
+from ..operators import forecast as I  # noqa: E402
+
+
+def _filled(spark, sf):
+    return I.gap_fill(I.weekly_series(open_star(spark, sf)))
+
+
+@query("weekly_series")
+def _weekly(spark, sf):
+    return I.weekly_series(open_star(spark, sf))
+
+
+@query("weekly_gapfill")
+def _gapfill(spark, sf):
+    return _filled(spark, sf)
+
+
+@query("forecast_split")
+def _split(spark, sf):
+    return I.split_holdout(_filled(spark, sf))
+
+
+@query("hw_fixed")
+def _hw_fixed(spark, sf):
+    return I.fit(_filled(spark, sf), I.VALIDATION_SEASON, fixed=I.FIXED_PARAMS).select(
+        "series_key", "n", "status", "level", "trend", "sse")
+
+
+@query("hw_grid")
+def _hw_grid(spark, sf):
+    return I.fit(_filled(spark, sf), I.VALIDATION_SEASON, train_only=True).select(
+        "series_key", "n", "status", "level", "trend", "sse", "alpha", "beta", "gamma")
+
+
+@query("forecast_eval")
+def _feval(spark, sf):
+    return I.evaluate_holdout(_filled(spark, sf))
+
+
+@query("hw_annual")
+def _hw_annual(spark, sf):
+    return I.fit(_filled(spark, sf), I.ANNUAL_SEASON).select(
+        "series_key", "n", "status", "sse", "mae_in_sample", "alpha", "beta", "gamma")
+
+
+@query("forecast_future")
+def _ffuture(spark, sf):
+    return I.forecast_future(_filled(spark, sf))

@@ -123,3 +123,25 @@ def open_star(spark: SparkSession, sf_dir: str) -> Star:
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_from_driver_tables(spark, sf_dir)
+
+
+def open_extracts(spark: SparkSession, sf_dir: str) -> str:
+    """The six regional CSV extracts derived from the driver tables (written once
+    per application), as the regional systems would deliver them."""
+    from ..sources.raw import write_sources
+    base = join_path(_star_dir(spark, sf_dir), "extracts")
+    with _LOCK:
+        if base not in _STARS:
+            if not _complete(spark, base):
+                write_sources(raw_from_driver_tables(spark, sf_dir), join_path(base, "csv"))
+                spark.createDataFrame([(base,)], "star string").write.mode("overwrite").parquet(
+                    join_path(base, "_complete"))
+            _STARS[base] = base
+    return join_path(base, "csv")
+
+
+def write_star(star: Star, path: str) -> None:
+    """Warehouse load into ``path``: dimensions first, the fact last."""
+    for name in ("dim_date", "dim_customers", "dim_products", "dim_branches"):
+        getattr(star, name).write.mode("overwrite").parquet(join_path(path, name))
+    star.fact.write.mode("overwrite").parquet(join_path(path, "fact_sales"))
