@@ -53,3 +53,18 @@ def join_path(base: str, *parts: str) -> str:
     if "://" in base or base.startswith("file:"):
         return "/".join([base.rstrip("/"), *parts])
     return os.path.join(base, *parts)
+
+
+def spread_if_narrow(df):
+    """Round-robin a scan that has fewer splits than the cluster has cores.
+
+    A small input stored as one parquet row group is a single task; every
+    narrow step after it (joins with broadcast sides, cleaning regexes, the
+    first write) would run on one core.  Large inputs already have at least as
+    many splits as cores and pass through untouched (no extra shuffle).
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread_if_narrow
 from .raw import route_sources
 
 # Country names assigned to nation keys 0..18 (FIXTURES.md §3),
@@ -48,6 +49,7 @@ def raw_from_driver_tables(spark: SparkSession, sf_dir: str,
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag",
         F.monotonically_increasing_id().alias("line_id"))
+    li = spread_if_narrow(li)
     od = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     pt = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     cu = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
