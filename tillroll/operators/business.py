@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 from ..functions.ratios import round2, safe_div
 from ..schemas import GUEST_CUSTOMER_ID
 
-ret = F.col("is_return")
-lt = F.col("line_total")
+def _ret() -> F.Column:
+    return F.col("is_return")
+
+
+def _lt() -> F.Column:
+    return F.col("line_total")
 
 
 def _money(c: F.Column) -> F.Column:
@@ -20,9 +24,9 @@ def _money(c: F.Column) -> F.Column:
 
 def kpi_totals(fact: DataFrame) -> DataFrame:
     """Gross, returns, net and return rate in one scan (conditional sums)."""
-    agg = fact.agg(F.sum(F.when(~ret, lt).otherwise(F.lit(0))).alias("g"),
-                   F.sum(F.when(ret, lt).otherwise(F.lit(0))).alias("r"),
-                   F.sum(lt).alias("n"))
+    agg = fact.agg(F.sum(F.when(~_ret(), _lt()).otherwise(F.lit(0))).alias("g"),
+                   F.sum(F.when(_ret(), _lt()).otherwise(F.lit(0))).alias("r"),
+                   F.sum(_lt()).alias("n"))
     return agg.select(
         _money(F.col("g")).alias("gross_sales_gbp"),
         _money(F.col("r")).alias("returns_gbp"),
@@ -34,7 +38,7 @@ def kpi_totals(fact: DataFrame) -> DataFrame:
 def monthly_net(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Net sales per (year, month) through the date dimension.  The fact is
     pre-aggregated per day first, so only one row per date meets the join."""
-    daily = fact.groupBy("date_key").agg(F.sum(lt).alias("net"))
+    daily = fact.groupBy("date_key").agg(F.sum(_lt()).alias("net"))
     dd = F.broadcast(dim_date.select("date_key", "year", "month"))
     return daily.join(dd, "date_key").groupBy("year", "month").agg(F.sum("net").alias("net_sales"))
 
@@ -60,8 +64,8 @@ def aov_basket(fact: DataFrame) -> DataFrame:
 
     Written as an explicit per-invoice pre-aggregate: the distinct count becomes
     a plain count and the shuffle carries one row per invoice and partition."""
-    per_inv = (fact.where(~ret).groupBy("invoice_no")
-               .agg(F.sum(lt).alias("amount"), F.sum("quantity").alias("units")))
+    per_inv = (fact.where(~_ret()).groupBy("invoice_no")
+               .agg(F.sum(_lt()).alias("amount"), F.sum("quantity").alias("units")))
     t = per_inv.agg(F.count(F.lit(1)).alias("orders"), F.sum("amount").alias("amount"),
                     F.sum("units").alias("units"))
     return t.select(
@@ -76,8 +80,8 @@ def top_products(fact: DataFrame, dim_products: DataFrame, n: int = 10) -> DataF
     may exceed n rows).  Aggregates per product before the product join; the
     rank filter becomes a partial + final WindowGroupLimit, so only ≤ n ranks
     per task reach the single-partition window."""
-    per_prod = (fact.where(~ret).groupBy("product_code")
-                .agg(F.sum(lt).alias("net"), F.sum("quantity").alias("units")))
+    per_prod = (fact.where(~_ret()).groupBy("product_code")
+                .agg(F.sum(_lt()).alias("net"), F.sum("quantity").alias("units")))
     j = per_prod.join(dim_products, "product_code")
     w = Window.orderBy(F.col("net").desc())
     ranked = j.withColumn("sales_rank", F.dense_rank().over(w)).where(F.col("sales_rank") <= n)
@@ -93,7 +97,7 @@ def branch_share(fact: DataFrame, dim_branches: DataFrame) -> DataFrame:
     """Net sales per branch and share of the net over *all* fact rows (rows
     without a matching branch still count in the denominator).  One fact scan:
     the per-branch aggregate keeps the NULL/orphan groups for the total."""
-    per_branch = fact.groupBy("branch_id").agg(F.sum(lt).alias("net"))
+    per_branch = fact.groupBy("branch_id").agg(F.sum(_lt()).alias("net"))
     with_total = per_branch.withColumn("total", F.sum("net").over(Window.partitionBy()))
     j = with_total.join(F.broadcast(dim_branches), "branch_id")
     return j.select(

@@ -109,7 +109,8 @@ def read_sources(spark: SparkSession, path: str, sources=SOURCES) -> DataFrame:
     """Read the regional extracts one by one (each must exist) and union them
     with their fixed load rank."""
     parts = []
-    for rank, name in enumerate(sources, 1):
+    for pos, name in enumerate(sources, 1):
+        rank = SOURCES.index(name) + 1 if name in SOURCES else pos
         parts.append(read_raw(spark, f"{path.rstrip('/')}/source={name}")
                      .withColumn("source", F.lit(name))
                      .withColumn("source_rank", F.lit(rank)))
