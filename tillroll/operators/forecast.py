@@ -186,8 +186,10 @@ def _future_group(h: int, m: int):
         pdf = pdf.sort_values("week")
         y = pdf["y"].to_numpy(dtype=float)
         if len(y) < 2 * m:
-            return pd.DataFrame({"series_key": [], "h": [], "week": [], "yhat": []}).astype(
-                {"h": "int32", "yhat": "float64"})
+            return pd.DataFrame({"series_key": pd.Series([], dtype=object),
+                                 "h": pd.Series([], dtype="int32"),
+                                 "week": pd.Series([], dtype=object),
+                                 "yhat": pd.Series([], dtype="float64")})
         best = _fit_best(y, m)
         yhat = hw_forecast(best["level"], best["trend"], best["season"], len(y), m, h)
         last = pd.Timestamp(pdf["week"].iloc[-1])
