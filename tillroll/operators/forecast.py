@@ -53,12 +53,18 @@ def weekly_series(star, per_country: bool = True) -> DataFrame:
 
 
 def gap_fill(weekly: DataFrame) -> DataFrame:
-    """Every week between a series' first and last week; missing weeks → 0."""
-    spine = (weekly.groupBy("series_key").agg(F.min("week").alias("lo"), F.max("week").alias("hi"))
-             .select("series_key",
-                     F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 7 DAYS"))).alias("week")))
-    return (spine.join(weekly, ["series_key", "week"], "left")
-            .select("series_key", "week", F.coalesce(F.col("y"), F.lit(0.0)).alias("y")))
+    """Every week between a series' first and last week; missing weeks → 0.
+
+    One pass over the weekly table: per series, the points become a week → y
+    map (at most one entry per calendar week, so bounded by the time span, not
+    by data volume), and the gap-free spine is generated and looked up."""
+    per = weekly.groupBy("series_key").agg(
+        F.min("week").alias("lo"), F.max("week").alias("hi"),
+        F.map_from_entries(F.collect_list(F.struct("week", "y"))).alias("pts"))
+    spine = per.select("series_key", "pts",
+                       F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 7 DAYS"))).alias("week"))
+    return spine.select("series_key", "week",
+                        F.coalesce(F.element_at("pts", F.col("week")), F.lit(0.0)).alias("y"))
 
 
 def split_holdout(weekly: DataFrame, n: int = HOLDOUT_WEEKS) -> DataFrame:

@@ -85,18 +85,25 @@ def same_store(star) -> DataFrame:
 
 def retention(star) -> DataFrame:
     """Monthly retention: registered customers of the previous month who bought
-    again this month, over the previous month's customers (guests excluded)."""
-    dd = F.broadcast(star.dim_date.select("date_key", month_index("year", "month").alias("idx")))
+    again this month, over the previous month's customers (guests excluded).
+
+    One fact scan reduced to distinct (customer, month) pairs — the month index
+    comes from the YYYYMMDD key, so no per-day intermediate is shuffled — then
+    ``lag`` per customer flags a month whose predecessor month is present.  A
+    customer's window holds at most one row per calendar month, whatever the
+    customer's volume."""
+    dk = F.col("date_key")
+    idx = month_index(F.floor(dk / 10000), F.floor(dk / 100) % 100)
     cm = (star.fact.where(F.col("customer_id") != GUEST_CUSTOMER_ID)
-          .select("customer_id", "date_key").distinct()
-          .join(dd, "date_key").select("customer_id", "idx").distinct())
-    prev = cm.select("customer_id", (F.col("idx") + 1).alias("idx"))
-    here = cm.withColumn("_here", F.lit(True))
-    per_month = (prev.join(here, ["customer_id", "idx"], "left").groupBy("idx")
-                 .agg(F.count(F.lit(1)).alias("p"), F.count("_here").alias("r")))
+          .select("customer_id", idx.alias("idx")).distinct())
+    w = Window.partitionBy("customer_id").orderBy("idx")
+    flagged = cm.withColumn("_back", F.lag("idx", 1).over(w) == F.col("idx") - 1)
+    per_month = flagged.groupBy("idx").agg(F.count(F.lit(1)).alias("n"),
+                                           F.count_if(F.col("_back")).alias("r"))
+    prev = per_month.select((F.col("idx") + 1).alias("idx"), F.col("n").alias("p"))
     spine = month_spine(star.dim_date)
-    out = spine.join(per_month, "idx", "left")
-    p = F.coalesce(F.col("p"), F.lit(0))
-    r = F.coalesce(F.col("r"), F.lit(0))
+    out = spine.join(prev, "idx", "left").join(per_month.select("idx", "r"), "idx", "left")
+    p = F.coalesce(F.col("p"), F.lit(0)).cast("long")
+    r = F.coalesce(F.col("r"), F.lit(0)).cast("long")
     return out.select("year", "month", p.alias("customers_prev"), r.alias("customers_retained"),
                       dax_div(r, p).alias("retention_rate"))
