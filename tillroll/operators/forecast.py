@@ -169,11 +169,13 @@ def _eval_group(pdf_key, pdf):
     pred = hw_forecast(best["level"], best["trend"], best["season"], len(train), VALIDATION_SEASON,
                        HOLDOUT_WEEKS)
     err = test - pred
-    row["mae"] = float(np.mean(np.abs(err)))
-    row["rmse"] = float(np.sqrt(np.mean(err * err)))
-    mask = test > MAPE_MIN_ACTUAL
-    if mask.any():
-        row["mape"] = float(np.mean(np.abs(err[mask] / test[mask]) * 100.0))
+    # plain left-to-right sums (not numpy's pairwise) so the figures are
+    # reproducible bit for bit by any engine that adds in week order
+    row["mae"] = float(sum(abs(e) for e in err) / len(err))
+    row["rmse"] = float(np.sqrt(sum(e * e for e in err) / len(err)))
+    pct = [abs(e / a) * 100.0 for e, a in zip(err, test) if a > MAPE_MIN_ACTUAL]
+    if pct:
+        row["mape"] = float(sum(pct) / len(pct))
         row["accuracy"] = 100.0 - row["mape"]
     return pd.DataFrame([row])
 
