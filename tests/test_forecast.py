@@ -80,3 +80,14 @@ def test_mape_ignores_small_actuals(spark):
     r = I.evaluate_holdout(df).first()
     # a flat series is forecast exactly; the only error is the 4,999 week (kept in MAE, not MAPE)
     assert abs(r.mae - 1001.0 / 13) < 1e-6 and abs(r.mape) < 1e-9 and abs(r.accuracy - 100.0) < 1e-9
+
+
+def test_write_forecast_round_trip(spark, tmp_path):
+    from tillroll.sources.sinks import write_forecast
+    df = spark.createDataFrame([("ALL", 1, dt.date(2011, 12, 19), 5.5)],
+                               "series_key string, h int, week date, yhat double")
+    write_forecast(df, str(tmp_path / "p"))
+    write_forecast(df, str(tmp_path / "c"), fmt="csv")
+    assert spark.read.parquet(str(tmp_path / "p")).collect() == df.collect()
+    back = spark.read.option("header", "true").schema(df.schema).csv(str(tmp_path / "c")).collect()
+    assert back == df.collect()
