@@ -128,3 +128,10 @@ def test_branch_share_sums_to_100(spark):
                               (("France", 1.0), ("Japan", 2.0), ("USA", 3.0))])
     shares = [r.market_share_pct for r in E.branch_share(s.fact, s.dim_branches).collect()]
     assert abs(sum(shares) - 100.0) < 0.05
+
+
+def test_audit_duplicates_chunked_listing(spark):
+    s = star_from_raw(spark, [line("9")] * 7 + [line("8")] * 2)
+    got = sorted((r.invoice_no, r.row_num) for r in
+                 D.audit_duplicates(s.fact, keys=("invoice_no",), limit=None, chunk=2).collect())
+    assert got == [("8", 2)] + [("9", k) for k in range(2, 8)]

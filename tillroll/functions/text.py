@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() removes every character for which str.isspace() is true:
-# Unicode White_Space plus the ASCII separators U+001C..U+001F.  Java's (?U)\s
-# covers the White_Space property; the separators are added explicitly.
-_WS = r"[\s\x1c-\x1f]"
-_STRIP_PATTERN = rf"(?U)^{_WS}+|{_WS}+$"
+# Python's str.strip() removes every character for which str.isspace() is true
+# (Unicode White_Space plus the ASCII separators U+001C..U+001F).  The set is
+# derived from Python itself rather than written out.
+PY_WHITESPACE = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
 
 # The strings pandas.read_csv treats as missing by default
 # (public pandas documentation, ``na_values``), in documented order.
@@ -23,10 +22,11 @@ PANDAS_NA_TOKENS = (
 def pystrip(col: Column | str) -> Column:
     """Trim leading/trailing whitespace exactly like Python's ``str.strip``.
 
-    Spark's ``trim`` removes only the space character.
+    Spark's one-argument ``trim`` removes only the space character; with an
+    explicit character set it trims any of them (no regex, codegen'd).
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c, _STRIP_PATTERN, "")
+    return F.trim(c, F.lit(PY_WHITESPACE))
 
 
 def na_to_null(col: Column | str) -> Column:

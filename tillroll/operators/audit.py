@@ -15,7 +15,14 @@ from ..schemas import GUEST_CUSTOMER_ID, VARCHAR_LIMITS
 DUPLICATE_KEYS = ("invoice_no", "product_code", "date_key", "quantity", "unit_price")
 
 
-def audit_duplicates(fact: DataFrame, keys=DUPLICATE_KEYS, limit: int | None = 100) -> DataFrame:
+# Row numbers of one duplicate group are generated in chunks of this size, and
+# the chunks are spread over tasks, so a hot group does not emit all its rows
+# from a single task.
+DUPLICATE_CHUNK = 1_000_000
+
+
+def audit_duplicates(fact: DataFrame, keys=DUPLICATE_KEYS, limit: int | None = 100,
+                     chunk: int = DUPLICATE_CHUNK) -> DataFrame:
     """Rows whose ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY sales_id)`` is
     > 1, listed as the keys plus ``row_num``.
 
@@ -24,13 +31,22 @@ def audit_duplicates(fact: DataFrame, keys=DUPLICATE_KEYS, limit: int | None = 1
     never lands in one window task) and ``sequence(2, c)``.  With a limit, the
     listing is ordered by keys and row number; a group can contribute at most
     ``limit`` rows to it, so the sequence is cut at ``limit + 1`` — exact, since
-    later row numbers sort after the first ``limit`` of the same group.
+    later row numbers sort after the first ``limit`` of the same group.  Without
+    a limit, the numbers are produced per chunk after a shuffle of the (small)
+    chunk descriptors.
     """
     counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    top = F.col("_n") if limit is None else F.least(F.col("_n"), F.lit(limit + 1))
-    out = counts.select(
-        *[F.col(k) for k in keys],
-        F.explode(F.sequence(F.lit(2).cast("long"), top.cast("long"))).alias("row_num"))
+    n = F.col("_n").cast("long")
+    if limit is not None:
+        out = counts.select(*[F.col(k) for k in keys], F.explode(
+            F.sequence(F.lit(2).cast("long"), F.least(n, F.lit(limit + 1).cast("long")))).alias("row_num"))
+    else:
+        chunks = counts.select(*keys, n.alias("_n"), F.explode(
+            F.sequence(F.lit(0).cast("long"), F.floor((n - 2) / chunk).cast("long"))).alias("_c"))
+        chunks = chunks.repartition(*[F.col(k) for k in keys], F.col("_c"))
+        lo = F.col("_c") * chunk + 2
+        hi = F.least(F.col("_n"), lo + (chunk - 1))
+        out = chunks.select(*keys, F.explode(F.sequence(lo, hi)).alias("row_num"))
     if "unit_price" in keys:
         out = out.withColumn("unit_price", F.col("unit_price").cast("double"))
     if limit is not None:

@@ -56,16 +56,19 @@ def product_matrix(star) -> DataFrame:
 
 def price_quantity(star) -> DataFrame:
     """Price/quantity points per product (purchases only) and the log-log slope
-    (price elasticity) of each product's points; NULL with a single price."""
+    (price elasticity) of each product's points; NULL with a single price.
+
+    The slope is a partial aggregate per product joined back to the points,
+    so a product with very many price points never sits in one window task."""
     pts = (star.fact.where(~F.col("is_return"))
            .groupBy("product_code", "unit_price").agg(F.sum("quantity").alias("quantity")))
-    w = Window.partitionBy("product_code")
     x, y = F.ln(F.col("unit_price").cast("double")), F.ln(F.col("quantity").cast("double"))
-    ok = (F.min("unit_price").over(w) < F.max("unit_price").over(w)) & (F.min("quantity").over(w) > 0)
-    slope = F.when(ok, F.regr_slope(y, x).over(w))
-    return pts.select("product_code", F.col("unit_price").cast("double").alias("unit_price"),
-                      F.col("quantity").cast("long").alias("quantity"),
-                      round_half_up(slope, 6).alias("slope"))
+    per = pts.groupBy("product_code").agg(
+        F.when((F.min("unit_price") < F.max("unit_price")) & (F.min("quantity") > 0),
+               F.regr_slope(y, x)).alias("slope"))
+    return pts.join(per, "product_code").select(
+        "product_code", F.col("unit_price").cast("double").alias("unit_price"),
+        F.col("quantity").cast("long").alias("quantity"), round_half_up(F.col("slope"), 6).alias("slope"))
 
 
 def guest_split(star) -> DataFrame:

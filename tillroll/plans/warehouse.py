@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,20 +70,32 @@ def _star_dir(spark: SparkSession, sf_dir: str) -> str:
 
 
 def build_star(spark: SparkSession, raw: DataFrame, base: str) -> None:
-    """Run the ETL and write every table under ``base``."""
+    """Run the ETL and write every table under ``base``.
+
+    After the cleaned lines are written, the independent outputs (the calendar,
+    customers, products, and branches → fact) are submitted as concurrent Spark
+    jobs, so small dimension jobs do not leave the cluster idle."""
     lines = C.clean_lines(raw)
     lines.write.mode("overwrite").partitionBy("status").parquet(join_path(base, "lines"))
     clean = C.clean_only(spark.read.parquet(join_path(base, "lines")))
 
-    D.dim_branches(clean).coalesce(1).write.mode("overwrite").parquet(join_path(base, "dim_branches"))
-    D.dim_date(clean).coalesce(1).write.mode("overwrite").parquet(join_path(base, "dim_date"))
-    D.dim_customers(clean).write.mode("overwrite").parquet(join_path(base, "dim_customers"))
-    D.dim_products(clean).write.mode("overwrite").parquet(join_path(base, "dim_products"))
-
-    branches = spark.read.parquet(join_path(base, "dim_branches"))
-    fact = fact_sales(clean, branches)
-    (fact.sortWithinPartitions("date_key", "sales_id")
-         .write.mode("overwrite").parquet(join_path(base, "fact_sales")))
+    def write(df: DataFrame, name: str, single_file: bool = False) -> None:
+        (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(join_path(base, name))
+
+    def branches_then_fact() -> None:
+        write(D.dim_branches(clean), "dim_branches", single_file=True)
+        branches = spark.read.parquet(join_path(base, "dim_branches"))
+        fact = fact_sales(clean, branches)
+        (fact.sortWithinPartitions("date_key", "sales_id")
+             .write.mode("overwrite").parquet(join_path(base, "fact_sales")))
+
+    jobs = [branches_then_fact,
+            lambda: write(D.dim_date(clean), "dim_date", single_file=True),
+            lambda: write(D.dim_customers(clean), "dim_customers"),
+            lambda: write(D.dim_products(clean), "dim_products")]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
     spark.createDataFrame([(base,)], "star string").write.mode("overwrite").parquet(
         join_path(base, "_complete"))
 
