@@ -86,3 +86,10 @@ def test_count_identities(spark):
     ri = q["audit_referential"](spark, SF001).first()
     assert ri.total_fact_rows == ri.matching_customers == ri.matching_products == \
         ri.matching_branches == ri.matching_dates
+
+
+def test_observed_etl_report_equals_clean_report(spark):
+    from tillroll.plans.warehouse import etl_report
+    s = open_star(spark, SF001)
+    rep = E.queries()["clean_report"](spark, SF001).first().asDict()
+    assert etl_report(spark, s) == rep

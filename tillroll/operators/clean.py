@@ -75,13 +75,15 @@ def clean_flat(lines: DataFrame) -> DataFrame:
     return clean_only(lines).select(*CLEAN_COLUMNS)
 
 
+def report_columns() -> list:
+    s = F.col("status")
+    return [F.count(F.lit(1)).alias("rows_in"),
+            F.count_if(s == STATUS_QUARANTINED).alias("quarantined"),
+            F.count_if(s == STATUS_DROPPED_PRICE).alias("dropped_price"),
+            F.count_if(s == STATUS_DROPPED_QUANTITY).alias("dropped_quantity"),
+            F.count_if(s == STATUS_CLEAN).alias("rows_out")]
+
+
 def clean_report(lines: DataFrame) -> DataFrame:
     """Row reconciliation of the cleaning step, one pass with conditional counts."""
-    s = F.col("status")
-    return lines.agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(s == STATUS_QUARANTINED).alias("quarantined"),
-        F.count_if(s == STATUS_DROPPED_PRICE).alias("dropped_price"),
-        F.count_if(s == STATUS_DROPPED_QUANTITY).alias("dropped_quantity"),
-        F.count_if(s == STATUS_CLEAN).alias("rows_out"),
-    )
+    return lines.agg(*report_columns())

@@ -21,7 +21,7 @@ import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -45,6 +45,7 @@ class Star:
     sf_dir: str
 
 
+REPORT_FIELDS = ("rows_in", "quarantined", "dropped_price", "dropped_quantity", "rows_out")
 _LOCK = threading.Lock()
 _STARS: dict = {}
 
@@ -75,7 +76,10 @@ def build_star(spark: SparkSession, raw: DataFrame, base: str) -> None:
     After the cleaned lines are written, the independent outputs (the calendar,
     customers, products, and branches → fact) are submitted as concurrent Spark
     jobs, so small dimension jobs do not leave the cluster idle."""
-    lines = C.clean_lines(raw)
+    # The reconciliation counts are observed while the lines are written (no
+    # second pass) and kept with the completion marker.
+    observed = Observation("clean_report")
+    lines = C.clean_lines(raw).observe(observed, *C.report_columns())
     lines.write.mode("overwrite").partitionBy("status").parquet(join_path(base, "lines"))
     clean = C.clean_only(spark.read.parquet(join_path(base, "lines")))
 
@@ -96,8 +100,17 @@ def build_star(spark: SparkSession, raw: DataFrame, base: str) -> None:
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
         for f in [pool.submit(j) for j in jobs]:
             f.result()
-    spark.createDataFrame([(base,)], "star string").write.mode("overwrite").parquet(
-        join_path(base, "_complete"))
+    report = observed.get
+    spark.createDataFrame(
+        [(base, *[int(report[k]) for k in REPORT_FIELDS])],
+        "star string, " + ", ".join(f"{k} long" for k in REPORT_FIELDS),
+    ).write.mode("overwrite").parquet(join_path(base, "_complete"))
+
+
+def etl_report(spark: SparkSession, star: "Star") -> dict:
+    """Counts observed during the ETL write (rows_in … rows_out)."""
+    row = spark.read.parquet(join_path(star.base, "_complete")).first()
+    return {k: row[k] for k in REPORT_FIELDS}
 
 
 def _read_star(spark: SparkSession, base: str, sf_dir: str) -> Star:
