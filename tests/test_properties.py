@@ -30,16 +30,17 @@ def test_pystrip_matches_python(spark, values):
     assert got == [v.strip() for v in values]
 
 
-@settings(max_examples=20, deadline=None)
+@settings(max_examples=25, deadline=None)
 @given(st.lists(st.datetimes(min_value=dt.datetime(2009, 1, 1), max_value=dt.datetime(2012, 12, 31)),
-                min_size=1, max_size=30))
-def test_week_label_matches_pandas_w_mon(spark, stamps):
-    df = spark.createDataFrame([(s,) for s in stamps], "ts timestamp_ntz")
-    got = [r.w for r in df.select(week_ending_monday("ts").alias("w")).collect()]
-    s = pd.Series(1, index=pd.DatetimeIndex(stamps))
-    # the resample label of each point: the bucket whose closing Monday covers it
-    labels = s.resample("W-MON").sum().index
-    want = [labels[labels.searchsorted(pd.Timestamp(x.date()))].date() for x in stamps]
+                min_size=1, max_size=30, unique=True))
+def test_week_buckets_match_pandas_resample(spark, stamps):
+    # value 2**i per point: every bucket sum identifies exactly which points it holds
+    vals = [float(2 ** i) for i in range(len(stamps))]
+    df = spark.createDataFrame(list(zip(stamps, vals)), "ts timestamp_ntz, v double")
+    got = {r.w: r.v for r in df.groupBy(week_ending_monday("ts").alias("w"))
+           .agg(F.sum("v").alias("v")).collect()}
+    want = pd.Series(vals, index=pd.DatetimeIndex(stamps)).resample("W-MON").sum()
+    want = {k.date(): v for k, v in want.items() if v != 0}
     assert got == want
 
 
