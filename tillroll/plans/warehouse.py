@@ -18,12 +18,12 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators import clean as C
 from ..operators import dims as D
@@ -54,7 +54,7 @@ def _code_fingerprint() -> str:
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.sha1()
     for sub in ("sources", "operators/clean.py", "operators/dims.py", "operators/fact.py",
-                "plans/warehouse.py", "functions"):
+                "plans/warehouse.py", "functions", "schemas.py", "session.py"):
         p = os.path.join(root, sub)
         files = [p] if p.endswith(".py") else sorted(
             os.path.join(p, f) for f in os.listdir(p) if f.endswith(".py"))
@@ -64,10 +64,65 @@ def _code_fingerprint() -> str:
     return h.hexdigest()[:12]
 
 
-def _star_dir(spark: SparkSession, sf_dir: str) -> str:
-    key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{_code_fingerprint()}".encode()).hexdigest()[:16]
-    app = spark.sparkContext.applicationId
-    return join_path(checkpoint_base(spark), "tillroll-star", app, key)
+def _input_fingerprint(sf_dir: str) -> str:
+    """Path plus name/size/mtime of every input file (when locally listable)."""
+    parts = [sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)]
+    if os.path.isdir(sf_dir):
+        for name in sorted(os.listdir(sf_dir)):
+            st = os.stat(os.path.join(sf_dir, name))
+            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
+    return "|".join(parts)
+
+
+def _key_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of all builds for these inputs and this code version."""
+    key = hashlib.sha1(f"{_input_fingerprint(sf_dir)}|{_code_fingerprint()}".encode()).hexdigest()[:16]
+    return join_path(checkpoint_base(spark), "tillroll-star", key)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem of the path (any scheme)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
+def _current(spark: SparkSession, key_dir: str, name: str) -> str | None:
+    """Path of the last completed build ``name`` under ``key_dir``, if any.
+
+    The pointer is written only after a build finished, so a build that died
+    half-way is never picked up; a pointer being replaced just means "build
+    again"."""
+    pointer = join_path(key_dir, f"_current_{name}")
+    if not _exists(spark, pointer):
+        return None
+    try:
+        row = spark.read.parquet(pointer).first()
+    except Exception:  # noqa: BLE001 - replaced between the check and the read
+        return None
+    return row.path if row else None
+
+
+def _publish(spark: SparkSession, key_dir: str, name: str, path: str) -> None:
+    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").parquet(
+        join_path(key_dir, f"_current_{name}"))
+
+
+def _materialize(spark: SparkSession, sf_dir: str, name: str, build, rebuild: bool = False) -> str:
+    """Build once per (inputs, code version); later calls — also from other
+    applications sharing the checkpoint folder — reuse the completed build.
+    Each build writes to its own folder, so concurrent builders never mix."""
+    key_dir = _key_dir(spark, sf_dir)
+    memo = (key_dir, name)
+    with _LOCK:
+        if not rebuild and memo in _STARS:
+            return _STARS[memo]
+        path = None if rebuild else _current(spark, key_dir, name)
+        if path is None:
+            path = join_path(key_dir, f"{name}-{uuid.uuid4().hex[:12]}")
+            build(path)
+            _publish(spark, key_dir, name, path)
+        _STARS[memo] = path
+        return path
 
 
 def build_star(spark: SparkSession, raw: DataFrame, base: str) -> None:
@@ -122,25 +177,12 @@ def _read_star(spark: SparkSession, base: str, sf_dir: str) -> Star:
                 fact=r("fact_sales"), sf_dir=sf_dir)
 
 
-def _complete(spark: SparkSession, base: str) -> bool:
-    try:
-        spark.read.parquet(join_path(base, "_complete")).schema
-        return True
-    except AnalysisException:
-        return False
-
-
-def open_star(spark: SparkSession, sf_dir: str) -> Star:
+def open_star(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
     """Star for the driver tables in ``sf_dir`` (built on first use)."""
-    base = _star_dir(spark, sf_dir)
-    with _LOCK:
-        star = _STARS.get(base)
-        if star is None:
-            if not _complete(spark, base):
-                build_star(spark, raw_from_driver_tables(spark, sf_dir), base)
-            star = _read_star(spark, base, sf_dir)
-            _STARS[base] = star
-    return star
+    base = _materialize(spark, sf_dir, "star",
+                        lambda path: build_star(spark, raw_from_driver_tables(spark, sf_dir), path),
+                        rebuild)
+    return _read_star(spark, base, sf_dir)
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,18 +190,11 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def open_extracts(spark: SparkSession, sf_dir: str) -> str:
-    """The six regional CSV extracts derived from the driver tables (written once
-    per application), as the regional systems would deliver them."""
+    """The six regional CSV extracts derived from the driver tables (written once),
+    as the regional systems would deliver them."""
     from ..sources.raw import write_sources
-    base = join_path(_star_dir(spark, sf_dir), "extracts")
-    with _LOCK:
-        if base not in _STARS:
-            if not _complete(spark, base):
-                write_sources(raw_from_driver_tables(spark, sf_dir), join_path(base, "csv"))
-                spark.createDataFrame([(base,)], "star string").write.mode("overwrite").parquet(
-                    join_path(base, "_complete"))
-            _STARS[base] = base
-    return join_path(base, "csv")
+    return _materialize(spark, sf_dir, "extracts",
+                        lambda path: write_sources(raw_from_driver_tables(spark, sf_dir), path))
 
 
 def write_star(star: Star, path: str) -> None:
