@@ -177,12 +177,21 @@ def _read_star(spark: SparkSession, base: str, sf_dir: str) -> Star:
                 fact=r("fact_sales"), sf_dir=sf_dir)
 
 
+_OPEN: dict = {}
+
+
 def open_star(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
-    """Star for the driver tables in ``sf_dir`` (built on first use)."""
+    """Star for the driver tables in ``sf_dir`` (built on first use; the table
+    readers are created once per build and session)."""
     base = _materialize(spark, sf_dir, "star",
                         lambda path: build_star(spark, raw_from_driver_tables(spark, sf_dir), path),
                         rebuild)
-    return _read_star(spark, base, sf_dir)
+    key = (id(spark), base)
+    with _LOCK:
+        star = _OPEN.get(key)
+        if star is None:
+            star = _OPEN[key] = _read_star(spark, base, sf_dir)
+    return star
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
