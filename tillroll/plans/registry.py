@@ -5,9 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import audit as D
+from ..operators import clean as B
+from ..operators import dashboard as G
+from ..operators import dims as DM
+from ..operators import fact as FT
 from ..operators import business as E
-from .warehouse import open_star
+from ..operators import forecast as I
+from ..operators import measures as M
+from ..operators import report as H
+from ..operators import timeintel as TI
+from ..schemas import FACT_COLUMNS
+from ..session import join_path
+from ..sources import fixtures as FX
+from ..sources import raw as RW
+from .warehouse import open_extracts, open_star, write_star
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -54,7 +68,6 @@ def _segments(spark, sf):
 
 
 # ---------------------------------------------------------------- audits (D)
-from ..operators import audit as D  # noqa: E402
 
 
 @query("audit_duplicates")
@@ -100,8 +113,6 @@ def _dups_line(spark, sf):
 
 
 # ---------------------------------------------------------------- measures (F)
-from ..operators import measures as M  # noqa: E402
-from ..operators import timeintel as TI  # noqa: E402
 
 _BY_COUNTRY = {
     "m_core": ("net_sales", "gross_sales", "returns_value", "return_rate", "total_transactions",
@@ -142,7 +153,6 @@ def _ret(spark, sf):
 
 
 # ---------------------------------------------------------------- dashboard (G)
-from ..operators import dashboard as G  # noqa: E402
 
 for _k, _fn in {"dash_cards": G.cards, "dash_trend": G.trend, "dash_region_share": G.region_share,
                 "dash_country": G.country_sales, "dash_sliced": G.sliced_cards,
@@ -152,7 +162,6 @@ for _k, _fn in {"dash_cards": G.cards, "dash_trend": G.trend, "dash_region_share
 
 
 # ---------------------------------------------------------------- report (H)
-from ..operators import report as H  # noqa: E402
 
 for _k, _fn in {"rep_quarter_share": H.quarter_share, "rep_q1_dip": H.q1_dip,
                 "rep_return_rate": H.return_rate_by_country,
@@ -161,16 +170,7 @@ for _k, _fn in {"rep_quarter_share": H.quarter_share, "rep_q1_dip": H.q1_dip,
 
 
 # ---------------------------------------------------------------- sources, cleaning, star (A, B, C)
-from pyspark.sql import functions as F  # noqa: E402
 
-from ..operators import clean as B  # noqa: E402
-from ..operators import dims as DM  # noqa: E402
-from ..operators import fact as FT  # noqa: E402
-from ..schemas import FACT_COLUMNS  # noqa: E402
-from ..session import join_path  # noqa: E402
-from ..sources import fixtures as FX  # noqa: E402
-from ..sources import raw as RW  # noqa: E402
-from .warehouse import open_extracts, write_star  # noqa: E402
 
 _RAW_COLS = ("invoice", "stock_code", "description", "quantity", "invoice_date", "price",
              "customer_id", "country", "source_rank")
@@ -283,7 +283,6 @@ def _star_view(spark, sf):
 
 
 # ---------------------------------------------------------------- forecasting (I)
-from ..operators import forecast as I  # noqa: E402
 
 
 def _filled(spark, sf):
