@@ -58,3 +58,13 @@ def test_retention_ignores_guest(spark):
     r = {(x.year, x.month): x for x in TI.retention(s).collect()}
     assert (r[(2010, 2)].customers_prev, r[(2010, 2)].customers_retained) == (2, 1)
     assert r[(2010, 2)].retention_rate == 0.5 and r[(2010, 1)].retention_rate == 0.0
+
+
+def test_evaluate_by_invoice_and_customer(spark):
+    s = _star(spark)
+    r = {x.invoice_no: x for x in M.evaluate(s, ("net_sales", "total_transactions"),
+                                             by=("invoice_no",)).collect()}
+    assert r["1"].net_sales == 25.0 and r["1"].total_transactions == 1
+    c = {x.customer_id: x.active_customers
+         for x in M.evaluate(s, ("active_customers",), by=("customer_id",)).collect()}
+    assert c == {1: 1, 2: 1, 99999: 0}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.ratios import round2, round_half_up, safe_div
 from ..schemas import GUEST_CUSTOMER_ID
 from .measures import evaluate
-from .timeintel import _months
+from .timeintel import spine_net
 
 CARD_MEASURES = ("net_sales", "total_transactions", "aov", "return_rate")
 
@@ -29,7 +29,7 @@ def sliced_cards(star, slicers=None) -> DataFrame:
 
 def trend(star) -> DataFrame:
     """Monthly net sales with the same month of the previous year overlaid."""
-    m = _months(star).withColumn("ly", F.lag("net", 12).over(Window.orderBy("idx")))
+    m = spine_net(star).withColumn("ly", F.lag("net", 12).over(Window.orderBy("idx")))
     return m.select("year", "month", F.col("net").cast("double").alias("net_sales"),
                     F.col("ly").cast("double").alias("net_sales_ly"))
 

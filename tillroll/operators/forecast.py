@@ -211,7 +211,3 @@ def forecast_future(series: DataFrame, h: int = HOLDOUT_WEEKS, m: int = ANNUAL_S
     """Annual-season model on the full series; the next ``h`` Mondays."""
     return series.groupBy("series_key").applyInPandas(_future_group(h, m), FUTURE_SCHEMA)
 
-
-def future_weeks(last_week: F.Column, h: int = HOLDOUT_WEEKS) -> F.Column:
-    """The ``h`` Mondays after ``last_week`` as an array column."""
-    return F.sequence(F.date_add(last_week, 7), F.date_add(last_week, 7 * h), F.expr("INTERVAL 7 DAYS"))

@@ -89,11 +89,17 @@ def _sums(prefix: str = "") -> list:
 
 def evaluate(star, measures=MEASURES, by=(), where=None, *, margin: float = DEFAULT_MARGIN,
              growth: float = DEFAULT_GROWTH) -> DataFrame:
+    """One row per ``by`` group with the requested measures, after ``where``.
+
+    ``by``/``where`` may name fact columns or dimension attributes (country,
+    region, year, month, product_name, customer_country, …); only the needed
+    dimensions are joined."""
     by = list(by)
     base = apply_where(context(star, by + _where_columns(where)), where)
     if set(measures) & _DISTINCT_MEASURES:
         guest = F.col("customer_id") == GUEST_CUSTOMER_ID
-        lvl1 = base.groupBy(*by, "invoice_no", "customer_id").agg(
+        grain = by + [c for c in ("invoice_no", "customer_id") if c not in by]
+        lvl1 = base.groupBy(*grain).agg(
             *[c.alias(f"_{n}") for c, n in zip(_sums(), ("net", "gross", "returns", "units"))],
             F.bool_or(~F.col("is_return")).alias("_purchase"))
         agg = lvl1.groupBy(*by).agg(

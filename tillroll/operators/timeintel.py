@@ -36,7 +36,9 @@ def _growth(cur: F.Column, base: F.Column) -> F.Column:
     return dax_div(F.coalesce(cur, F.lit(0)) - base, base)
 
 
-def _months(star) -> DataFrame:
+def spine_net(star) -> DataFrame:
+    """Every calendar month (year, month, idx) with its DECIMAL net sales, NULL
+    for a month without sales."""
     spine = month_spine(star.dim_date)
     m = monthly_sales(star.fact, star.dim_date).select("idx", "net")
     return spine.join(m, "idx", "left")
@@ -45,7 +47,7 @@ def _months(star) -> DataFrame:
 def prev_month(star) -> DataFrame:
     """Net sales, previous *calendar* month, and MoM growth (first month → 0)."""
     w = Window.orderBy("idx")
-    m = _months(star).withColumn("pm", F.lag("net", 1).over(w))
+    m = spine_net(star).withColumn("pm", F.lag("net", 1).over(w))
     return m.select("year", "month",
                     F.col("net").cast("double").alias("net_sales"),
                     F.col("pm").cast("double").alias("net_sales_pm"),
@@ -54,7 +56,7 @@ def prev_month(star) -> DataFrame:
 
 def ytd(star) -> DataFrame:
     """Year-to-date, prior-year YTD (same months a year earlier) and YoY growth."""
-    m = _months(star)
+    m = spine_net(star)
     run = Window.partitionBy("year").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
     m = m.withColumn("ytd", F.sum(F.coalesce(F.col("net"), F.lit(0))).over(run))
     m = m.withColumn("ly_ytd", F.lag("ytd", 12).over(Window.orderBy("idx")))

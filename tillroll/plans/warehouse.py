@@ -194,10 +194,6 @@ def open_star(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
     return star
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_from_driver_tables(spark, sf_dir)
-
-
 def open_extracts(spark: SparkSession, sf_dir: str) -> str:
     """The six regional CSV extracts derived from the driver tables (written once),
     as the regional systems would deliver them."""
