@@ -128,6 +128,16 @@ def _fit_best(y, m, fixed=None):
                 mae_in_sample=float(sae[k] / (len(y) - m)))
 
 
+def _by_series(series: DataFrame) -> DataFrame:
+    """Spread series over all cores before the per-series fits.
+
+    The weekly data is tiny, so AQE would coalesce every series into one
+    partition and run all the (compute-heavy) grid fits in one task; an explicit
+    partition count is kept as is, and the following groupBy reuses it."""
+    n = series.sparkSession.sparkContext.defaultParallelism
+    return series.repartition(n, "series_key")
+
+
 FIT_SCHEMA = ("series_key string, n int, status string, level double, trend double, sse double, "
               "alpha double, beta double, gamma double, mae_in_sample double")
 
@@ -152,7 +162,8 @@ def _fit_group(m: int, fixed=None, train_only: bool = False):
 
 def fit(series: DataFrame, m: int, fixed=None, train_only: bool = False) -> DataFrame:
     """One row per series: state after the last point, SSE, chosen parameters."""
-    return series.groupBy("series_key").applyInPandas(_fit_group(m, fixed, train_only), FIT_SCHEMA)
+    return _by_series(series).groupBy("series_key").applyInPandas(
+        _fit_group(m, fixed, train_only), FIT_SCHEMA)
 
 
 EVAL_SCHEMA = "series_key string, n_test int, mae double, rmse double, mape double, accuracy double"
@@ -183,7 +194,7 @@ def _eval_group(pdf_key, pdf):
 def evaluate_holdout(series: DataFrame) -> DataFrame:
     """Validation fit (m=13, grid) on all but the last 13 weeks, forecast the
     13 held-out weeks, score MAE / RMSE / MAPE (actual > 5000) / accuracy."""
-    return series.groupBy("series_key").applyInPandas(_eval_group, EVAL_SCHEMA)
+    return _by_series(series).groupBy("series_key").applyInPandas(_eval_group, EVAL_SCHEMA)
 
 
 FUTURE_SCHEMA = "series_key string, h int, week date, yhat double"
@@ -209,5 +220,5 @@ def _future_group(h: int, m: int):
 
 def forecast_future(series: DataFrame, h: int = HOLDOUT_WEEKS, m: int = ANNUAL_SEASON) -> DataFrame:
     """Annual-season model on the full series; the next ``h`` Mondays."""
-    return series.groupBy("series_key").applyInPandas(_future_group(h, m), FUTURE_SCHEMA)
+    return _by_series(series).groupBy("series_key").applyInPandas(_future_group(h, m), FUTURE_SCHEMA)
 

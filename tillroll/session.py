@@ -9,15 +9,20 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, app_name: str = "tillroll",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None,
+                local_memory: str = "8g") -> SparkSession:
     """Build (or reuse) a session with the settings the library assumes.
 
     On a cluster the master and most sizing come from spark-submit; only the
-    semantic settings (UTC session zone, AQE) are forced here.
+    semantic settings (UTC session zone, AQE) are forced here.  A local master
+    runs every task inside the driver JVM, whose default heap (1g) starves
+    concurrent parquet writers, so local sessions get ``local_memory``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", local_memory)
     builder = (
         builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
