@@ -135,3 +135,21 @@ def test_audit_duplicates_chunked_listing(spark):
     got = sorted((r.invoice_no, r.row_num) for r in
                  D.audit_duplicates(s.fact, keys=("invoice_no",), limit=None, chunk=2).collect())
     assert got == [("8", 2)] + [("9", k) for k in range(2, 8)]
+
+
+def test_queries_on_an_empty_star(spark):
+    from tillroll.operators import dashboard as G
+    from tillroll.operators import forecast as I
+    from tillroll.operators import measures as M
+    from tillroll.operators import timeintel as TI
+    s = star_from_raw(spark, [dict(price=0.0), dict(quantity=None)])
+    assert s.fact.count() == 0 and s.dim_date.count() == 0
+    k = E.kpi_totals(s.fact).collect()
+    assert len(k) == 1 and k[0].net_sales_gbp is None and k[0].return_rate_pct is None
+    assert E.mom_growth(s.fact, s.dim_date).count() == 0
+    assert E.top_products(s.fact, s.dim_products).count() == 0
+    assert D.audit_guest(s.fact).count() == 0
+    assert D.audit_referential(s).first().total_fact_rows == 0
+    assert M.evaluate(s, M.MEASURES).count() == 1
+    assert TI.retention(s).count() == 0 and G.price_quantity(s).count() == 0
+    assert I.fit(I.gap_fill(I.weekly_series(s)), 13).count() == 0
