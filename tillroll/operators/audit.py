@@ -70,10 +70,10 @@ def audit_guest(fact: DataFrame) -> DataFrame:
 
 
 def _fk_specs(star):
-    return (("customers", "customer_id", star.dim_customers, False),
-            ("products", "product_code", star.dim_products, False),
-            ("branches", "branch_id", star.dim_branches, True),
-            ("dates", "date_key", star.dim_date, True))
+    return (("customers", "customer_id", star.dim_customers),
+            ("products", "product_code", star.dim_products),
+            ("branches", "branch_id", star.dim_branches),
+            ("dates", "date_key", star.dim_date))
 
 
 def fk_match_counts(star) -> DataFrame:
@@ -81,10 +81,10 @@ def fk_match_counts(star) -> DataFrame:
     key.  The fact is first reduced to one row per distinct key value, so the
     join with the dimension never shuffles fact rows."""
     parts = []
-    for name, key, dim, small in _fk_specs(star):
+    for name, key, dim in _fk_specs(star):
         per_key = star.fact.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
         d = dim.select(key, F.lit(True).alias("_m"))
-        j = per_key.join(F.broadcast(d) if small else d, key, "left")
+        j = per_key.join(d, key, "left")
         parts.append(j.agg(
             F.lit(name).alias("dimension"),
             F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
@@ -100,7 +100,7 @@ def audit_referential(star) -> DataFrame:
     return m.agg(
         F.max("rows").alias("total_fact_rows"),
         *[F.sum(F.when(d == name, F.col("matched"))).alias(f"matching_{name}")
-          for name, *_ in _fk_specs(star)])
+          for name, _, _ in _fk_specs(star)])
 
 
 def audit_orphans(star) -> DataFrame:

@@ -39,7 +39,7 @@ def monthly_net(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Net sales per (year, month) through the date dimension.  The fact is
     pre-aggregated per day first, so only one row per date meets the join."""
     daily = fact.groupBy("date_key").agg(F.sum(_lt()).alias("net"))
-    dd = F.broadcast(dim_date.select("date_key", "year", "month"))
+    dd = dim_date.select("date_key", "year", "month")
     return daily.join(dd, "date_key").groupBy("year", "month").agg(F.sum("net").alias("net_sales"))
 
 
@@ -99,7 +99,7 @@ def branch_share(fact: DataFrame, dim_branches: DataFrame) -> DataFrame:
     the per-branch aggregate keeps the NULL/orphan groups for the total."""
     per_branch = fact.groupBy("branch_id").agg(F.sum(_lt()).alias("net"))
     with_total = per_branch.withColumn("total", F.sum("net").over(Window.partitionBy()))
-    j = with_total.join(F.broadcast(dim_branches), "branch_id")
+    j = with_total.join(dim_branches, "branch_id")
     return j.select(
         "branch_id", "branch_name", "country",
         _money(F.col("net")).alias("net_sales_gbp"),

@@ -42,7 +42,7 @@ def _share(df: DataFrame, key: str) -> DataFrame:
 
 def region_share(star) -> DataFrame:
     per_branch = star.fact.groupBy("branch_id").agg(F.sum("line_total").alias("net"))
-    j = per_branch.join(F.broadcast(star.dim_branches.select("branch_id", "region")), "branch_id", "left")
+    j = per_branch.join(star.dim_branches.select("branch_id", "region"), "branch_id", "left")
     return _share(j.groupBy("region").agg(F.sum("net").alias("net")), "region")
 
 

@@ -10,10 +10,11 @@ from ..schemas import FACT_COLUMNS
 
 
 def fact_sales(clean: DataFrame, dim_branches: DataFrame) -> DataFrame:
-    """Cleaned lines → fact rows.  ``branch_id`` is a left lookup by country; the
-    branch dimension has one row per country, so broadcasting it is bounded by
-    the number of countries, not by the data."""
-    branches = F.broadcast(dim_branches.select("country", "branch_id"))
+    """Cleaned lines → fact rows.  ``branch_id`` is a left lookup by country.
+    The branch dimension (one row per distinct country) is broadcast by Spark's
+    own size check — statically from the parquet size, or at run time by AQE —
+    so the lookup is map-side unless the country column explodes."""
+    branches = dim_branches.select("country", "branch_id")
     return (clean.join(branches, "country", "left")
             .select(F.col("line_id").alias("sales_id"),
                     F.col("invoice").alias("invoice_no"),
@@ -36,12 +37,14 @@ def bi_projection(fact: DataFrame) -> DataFrame:
 def star_view(star) -> DataFrame:
     """Fact with its four dimensions (each dimension filters the fact one way).
 
-    Date and branch dimensions are broadcast (bounded by days and countries);
-    customers and products are left to Catalyst/AQE, which broadcast them only
-    when their measured size is under the threshold."""
+    No join hints: Catalyst broadcasts a dimension whose measured size is under
+    ``spark.sql.autoBroadcastJoinThreshold`` (calendar and branches always are
+    in practice), AQE converts at run time when a shuffled side turns out small,
+    and a large customer/product dimension is shuffle-joined with AQE splitting
+    hot keys (the guest id)."""
     f = star.fact
-    dd = F.broadcast(star.dim_date.select("date_key", "year", "month"))
-    db = F.broadcast(star.dim_branches.select("branch_id", "branch_name"))
+    dd = star.dim_date.select("date_key", "year", "month")
+    db = star.dim_branches.select("branch_id", "branch_name")
     dp = star.dim_products.select("product_code", "product_name")
     dc = star.dim_customers.select("customer_id", F.col("country").alias("customer_country"))
     return (f.join(dd, "date_key", "left").join(db, "branch_id", "left")

@@ -38,8 +38,8 @@ def weekly_series(star, per_country: bool = True) -> DataFrame:
     whole business (``ALL``) and, optionally, each branch country."""
     daily = (star.fact.where(~F.col("is_return"))
              .groupBy("branch_id", "date_key").agg(F.sum("line_total").alias("y")))
-    dd = F.broadcast(star.dim_date.select("date_key", "date"))
-    db = F.broadcast(star.dim_branches.select("branch_id", "country"))
+    dd = star.dim_date.select("date_key", "date")
+    db = star.dim_branches.select("branch_id", "country")
     d = (daily.join(dd, "date_key").join(db, "branch_id", "left")
          .select(F.coalesce(F.col("country"), F.lit("UNKNOWN")).alias("country"),
                  week_ending_monday("date").alias("week"), "y"))

@@ -44,11 +44,11 @@ def context(star, columns=()) -> DataFrame:
     f = star.fact
     need = {_DIM_COLUMNS[c] for c in columns if c in _DIM_COLUMNS}
     if "branch" in need:
-        f = f.join(F.broadcast(star.dim_branches.select("branch_id", "country", "region",
-                                                        "branch_name")), "branch_id", "left")
+        f = f.join(star.dim_branches.select("branch_id", "country", "region",
+                                                        "branch_name"), "branch_id", "left")
     if "date" in need:
-        f = f.join(F.broadcast(star.dim_date.select("date_key", "year", "quarter", "month", "date",
-                                                    "day_of_week", "is_weekend")),
+        f = f.join(star.dim_date.select("date_key", "year", "quarter", "month", "date",
+                                                    "day_of_week", "is_weekend"),
                    "date_key", "left")
     if "product" in need:
         f = f.join(star.dim_products.select("product_code", "product_name"), "product_code", "left")

@@ -13,7 +13,7 @@ from .timeintel import monthly_sales
 def quarter_share(star) -> DataFrame:
     """Each quarter's share of its year's net sales."""
     q = (star.fact.groupBy("date_key").agg(F.sum("line_total").alias("net"))
-         .join(F.broadcast(star.dim_date.select("date_key", "year", "quarter")), "date_key")
+         .join(star.dim_date.select("date_key", "year", "quarter"), "date_key")
          .groupBy("year", "quarter").agg(F.sum("net").alias("net")))
     year_total = F.sum("net").over(Window.partitionBy("year"))
     return q.select("year", "quarter", F.col("net").cast("double").alias("net_sales"),

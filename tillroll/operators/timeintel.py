@@ -24,9 +24,9 @@ def month_spine(dim_date: DataFrame) -> DataFrame:
 
 def monthly_sales(fact: DataFrame, dim_date: DataFrame, by=()) -> DataFrame:
     """DECIMAL net sales per (by…, year, month, idx); the fact is reduced per day
-    before meeting the (broadcast) calendar."""
+    before meeting the calendar."""
     daily = fact.groupBy(*by, "date_key").agg(F.sum("line_total").alias("net"))
-    dd = F.broadcast(dim_date.select("date_key", "year", "month"))
+    dd = dim_date.select("date_key", "year", "month")
     return (daily.join(dd, "date_key").groupBy(*by, "year", "month")
             .agg(F.sum("net").alias("net"))
             .withColumn("idx", month_index("year", "month")))
@@ -76,7 +76,7 @@ def same_store(star) -> DataFrame:
     keys = cur.select("branch_id", "idx").unionByName(
         cur.select("branch_id", (F.col("idx") + 12).alias("idx"))).distinct()
     ly = cur.select("branch_id", (F.col("idx") + 12).alias("idx"), F.col("net").alias("ly"))
-    rows = (keys.join(F.broadcast(spine), "idx")
+    rows = (keys.join(spine, "idx")
             .join(cur, ["branch_id", "idx"], "left")
             .join(ly, ["branch_id", "idx"], "left"))
     return rows.select("year", "month", "branch_id",
