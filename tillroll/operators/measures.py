@@ -39,6 +39,11 @@ MEASURES = (
 )
 
 
+def _with_fact(star, fact: DataFrame):
+    from dataclasses import replace
+    return replace(star, fact=fact)
+
+
 def context(star, columns=()) -> DataFrame:
     """Fact rows joined to exactly the dimensions that ``columns`` need."""
     f = star.fact
@@ -63,6 +68,30 @@ def _where_columns(where) -> list:
     return list(where.keys()) if isinstance(where, dict) else []
 
 
+def _date_key_range(col: str, v):
+    """Calendar slicer → equivalent YYYYMMDD range on the fact's own key, so the
+    predicate also reaches the fact scan (row groups of the date-sorted files
+    are skipped).  Only exact translations: a year (or year range) and a date
+    (or date range); other calendar attributes stay dimension filters."""
+    lo, hi = (v if isinstance(v, tuple) and len(v) == 2 else (v, v))
+    if col == "year" and isinstance(lo, int) and isinstance(hi, int):
+        return lo * 10000 + 101, hi * 10000 + 1231
+    if col == "date" and hasattr(lo, "strftime") and hasattr(hi, "strftime"):
+        return int(lo.strftime("%Y%m%d")), int(hi.strftime("%Y%m%d"))
+    return None
+
+
+def _fact_side(where) -> list:
+    if not isinstance(where, dict):
+        return []
+    out = []
+    for col, v in where.items():
+        rng = _date_key_range(col, v)
+        if rng is not None:
+            out.append(F.col("date_key").between(*rng))
+    return out
+
+
 def apply_where(df: DataFrame, where) -> DataFrame:
     """``where`` is a Column, or a dict {column: value | list | (lo, hi)}."""
     if where is None:
@@ -95,6 +124,8 @@ def evaluate(star, measures=MEASURES, by=(), where=None, *, margin: float = DEFA
     region, year, month, product_name, customer_country, …); only the needed
     dimensions are joined."""
     by = list(by)
+    for cond in _fact_side(where):
+        star = _with_fact(star, star.fact.where(cond))
     base = apply_where(context(star, by + _where_columns(where)), where)
     if set(measures) & _DISTINCT_MEASURES:
         guest = F.col("customer_id") == GUEST_CUSTOMER_ID
