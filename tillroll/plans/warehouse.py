@@ -64,20 +64,31 @@ def _code_fingerprint() -> str:
     return h.hexdigest()[:12]
 
 
-def _input_fingerprint(sf_dir: str) -> str:
-    """Path plus name/size/mtime of every input file (when locally listable)."""
-    parts = [sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)]
-    if os.path.isdir(sf_dir):
-        for name in sorted(os.listdir(sf_dir)):
-            st = os.stat(os.path.join(sf_dir, name))
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
+def _input_fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Qualified path plus name/size/modification time of every input file, read
+    through the Hadoop FileSystem of the path (local, HDFS, object stores)."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = [str(fs.makeQualified(path))]
+    if fs.exists(path):
+        for st in sorted(fs.listStatus(path), key=lambda x: str(x.getPath().getName())):
+            parts.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
     return "|".join(parts)
 
 
+_KEYS: dict = {}
+
+
 def _key_dir(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of all builds for these inputs and this code version."""
-    key = hashlib.sha1(f"{_input_fingerprint(sf_dir)}|{_code_fingerprint()}".encode()).hexdigest()[:16]
-    return join_path(checkpoint_base(spark), "tillroll-star", key)
+    """Folder of all builds for these inputs and this code version (the
+    fingerprints are taken once per process and input folder)."""
+    base = checkpoint_base(spark)
+    memo = (base, sf_dir)
+    if memo not in _KEYS:
+        key = hashlib.sha1(f"{_input_fingerprint(spark, sf_dir)}|{_code_fingerprint()}".encode())
+        _KEYS[memo] = join_path(base, "tillroll-star", key.hexdigest()[:16])
+    return _KEYS[memo]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
