@@ -197,7 +197,7 @@ def open_star(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
     base = _materialize(spark, sf_dir, "star",
                         lambda path: build_star(spark, raw_from_driver_tables(spark, sf_dir), path),
                         rebuild)
-    key = (id(spark), base)
+    key = (spark.sparkContext.applicationId, id(spark), base)
     with _LOCK:
         star = _OPEN.get(key)
         if star is None:
