@@ -68,3 +68,12 @@ def test_evaluate_by_invoice_and_customer(spark):
     c = {x.customer_id: x.active_customers
          for x in M.evaluate(s, ("active_customers",), by=("customer_id",)).collect()}
     assert c == {1: 1, 2: 1, 99999: 0}
+
+
+def test_relative_date_slider(spark):
+    s = _star(spark)   # calendar ends 2011-01-07
+    r = M.evaluate(s, ("net_sales", "total_transactions"), where={"last_months": 12}).first()
+    # window 2010-01-08 .. 2011-01-07: C2 (2010-01-09, -10), 3 (2010-02-01, 4), 4 (2011-01-07, 50)
+    assert r.net_sales == 44.0 and r.total_transactions == 3
+    r2 = M.evaluate(s, ("net_sales",), by=("country",), where={"last_months": 1}).collect()
+    assert [(x.country, x.net_sales) for x in r2] == [("Japan", 50.0)]

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import date_key
 from ..functions.ratios import dax_div
 from ..schemas import GUEST_CUSTOMER_ID
 
@@ -81,11 +82,21 @@ def _date_key_range(col: str, v):
     return None
 
 
-def _fact_side(where) -> list:
+RELATIVE_MONTHS = "last_months"
+
+
+def _fact_side(star, where) -> list:
+    """Fact-side predicates implied by the slicers (see ``_date_key_range``),
+    plus the relative date slider: the last n calendar months up to the last day
+    of the calendar, as a scalar subquery (nothing is collected)."""
     if not isinstance(where, dict):
         return []
     out = []
     for col, v in where.items():
+        if col == RELATIVE_MONTHS:
+            last = star.dim_date.agg(F.max("date")).scalar()
+            out.append(F.col("date_key") >= date_key(F.date_add(F.add_months(last, -int(v)), 1)))
+            continue
         rng = _date_key_range(col, v)
         if rng is not None:
             out.append(F.col("date_key").between(*rng))
@@ -93,7 +104,8 @@ def _fact_side(where) -> list:
 
 
 def apply_where(df: DataFrame, where) -> DataFrame:
-    """``where`` is a Column, or a dict {column: value | list | (lo, hi)}."""
+    """``where`` is a Column, or a dict {column: value | list | (lo, hi)}
+    (``evaluate`` also accepts ``last_months: n``, the relative date slider)."""
     if where is None:
         return df
     if isinstance(where, Column):
@@ -124,8 +136,10 @@ def evaluate(star, measures=MEASURES, by=(), where=None, *, margin: float = DEFA
     region, year, month, product_name, customer_country, …); only the needed
     dimensions are joined."""
     by = list(by)
-    for cond in _fact_side(where):
+    for cond in _fact_side(star, where):
         star = _with_fact(star, star.fact.where(cond))
+    if isinstance(where, dict):
+        where = {k: v for k, v in where.items() if k != RELATIVE_MONTHS}
     base = apply_where(context(star, by + _where_columns(where)), where)
     if set(measures) & _DISTINCT_MEASURES:
         guest = F.col("customer_id") == GUEST_CUSTOMER_ID
