@@ -19,11 +19,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def summarize(plan: str) -> dict:
     # after execution the adaptive plan prints a Final and an Initial plan: keep the final one
-    tree = plan.split("== Initial Plan ==")[0]
+    tree = plan.split("\n\n")[0].split("== Initial Plan ==")[0]
     count = lambda pat: len(re.findall(pat, tree))
-    pushed = sorted({m.strip() for m in re.findall(r"PushedFilters: \[(.*?)\]", tree) if m.strip()})
+    pushed = sorted({ln[len("PushedFilters: ["):-1] for ln in plan.splitlines()
+                     if ln.startswith("PushedFilters: [") and ln != "PushedFilters: []"})
     return {
-        "exchanges": count(r"(?<!Broadcast)Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)"),
+        "exchanges": count(r"(?<!Broadcast)(?<!Reused)Exchange \("),
         "broadcast_joins": count(r"BroadcastHashJoin"),
         "sort_merge_joins": count(r"SortMergeJoin"),
         "windows": count(r"\bWindow\b"),
@@ -45,7 +46,7 @@ def main() -> None:
         df.collect()
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
-            df.explain()
+            df.explain("formatted")
         rows.append((key, summarize(buf.getvalue())))
     out = ["# Physical plans of the registered queries", "",
            f"Final adaptive plans at `{os.path.basename(sf)}`, from `scripts/plan_report.py`. "
