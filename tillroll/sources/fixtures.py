@@ -3,9 +3,8 @@
 The mapping is fixed by FIXTURES.md §3: lineitem ⋈ orders ⋈ part ⋈ customer ⋈
 nation, with deliberate defects (returns, blank/odd descriptions, zero prices,
 missing customers) so the cleaning rules are exercised.  All joins are
-equi-joins on the TPC-H keys; Catalyst plans the small sides (nation, and part /
-customer when their size estimate allows) as broadcasts and prunes every scan to
-the columns used here.
+equi-joins on the TPC-H keys; Catalyst plans the small sides as broadcasts when
+their size estimate allows and prunes every scan to the columns used here.
 """
 
 from __future__ import annotations
@@ -55,10 +54,15 @@ def raw_from_driver_tables(spark: SparkSession, sf_dir: str,
     cu = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     na = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
-    joined = (li.join(od, li.l_orderkey == od.o_orderkey)
-                .join(pt, li.l_partkey == pt.p_partkey)
-                .join(cu, od.o_custkey == cu.c_custkey)
-                .join(F.broadcast(na), cu.c_nationkey == na.n_nationkey))
+    # Orders meet their customer and nation first (an orders-sized join), so
+    # lineitem-sized data is shuffled at most twice — by order key, then by part
+    # key — when orders and part are too big to broadcast.  ``nation`` is the
+    # fixed 25-row TPC-H table.
+    orders = (od.join(cu, od.o_custkey == cu.c_custkey)
+                .join(F.broadcast(na), cu.c_nationkey == na.n_nationkey)
+                .select("o_orderkey", "o_custkey", "o_orderdate", "n_nationkey", "n_name"))
+    joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+                .join(pt, li.l_partkey == pt.p_partkey))
 
     is_credit = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
     ln = F.col("l_linenumber")
