@@ -70,15 +70,17 @@ def ytd(star) -> DataFrame:
 def same_store(star) -> DataFrame:
     """Same-store growth per branch and month: sales vs the same month one year
     earlier.  Rows exist where the branch has sales this month or twelve months
-    before (within the calendar) — the rows a visual would show."""
-    spine = month_spine(star.dim_date)
+    before (within the calendar) — the rows a visual would show.
+
+    One aggregation instead of self-joins: each branch-month contributes its
+    sales as ``cur`` at its own month and as ``ly`` twelve months later."""
+    spine = month_spine(star.dim_date).select("idx", "year", "month")
     cur = monthly_sales(star.fact, star.dim_date, by=("branch_id",)).select("branch_id", "idx", "net")
-    keys = cur.select("branch_id", "idx").unionByName(
-        cur.select("branch_id", (F.col("idx") + 12).alias("idx"))).distinct()
-    ly = cur.select("branch_id", (F.col("idx") + 12).alias("idx"), F.col("net").alias("ly"))
-    rows = (keys.join(spine, "idx")
-            .join(cur, ["branch_id", "idx"], "left")
-            .join(ly, ["branch_id", "idx"], "left"))
+    none = F.lit(None).cast(cur.schema["net"].dataType)
+    tagged = cur.select("branch_id", "idx", F.col("net").alias("cur"), none.alias("ly")).unionByName(
+        cur.select("branch_id", (F.col("idx") + 12).alias("idx"), none.alias("cur"), F.col("net").alias("ly")))
+    rows = tagged.groupBy("branch_id", "idx").agg(F.sum("cur").alias("net"), F.sum("ly").alias("ly"))
+    rows = rows.join(spine, "idx")
     return rows.select("year", "month", "branch_id",
                        F.col("net").cast("double").alias("net_sales"),
                        F.col("ly").cast("double").alias("sales_ly"),
