@@ -61,3 +61,23 @@ def test_year_slicer_reaches_fact_scan(spark):
     ref = (s.fact.join(s.dim_date, "date_key").where(F.col("year") == 1997).groupBy("month")
            .agg(F.sum("line_total").cast("double").alias("net")))
     assert sorted((r.month, r.net_sales) for r in df.collect()) == sorted(tuple(r) for r in ref.collect())
+
+
+def test_forecast_fits_keep_explicit_series_partitioning(spark):
+    plan = _formatted(E.queries()["hw_grid"](spark, SF001))
+    assert "REPARTITION_BY_NUM" in plan and "FlatMapGroupsInPandas" in plan
+
+
+def test_fact_build_from_clean_lines_is_narrow(spark):
+    from tillroll.operators.fact import fact_sales
+    from tillroll.plans.warehouse import open_star
+    s = open_star(spark, SF001)
+    plan = _formatted(fact_sales(s.clean, s.dim_branches).sortWithinPartitions("date_key"))
+    tree = plan.split("\n\n")[0]
+    shuffles = [ln for ln in tree.splitlines() if "Exchange" in ln and "BroadcastExchange" not in ln]
+    assert not shuffles, shuffles
+
+
+def test_retention_has_no_self_join(spark):
+    plan = _formatted(E.queries()["m_retention"](spark, SF001))
+    assert "SortMergeJoin" not in plan and "Window" in plan
