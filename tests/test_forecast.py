@@ -91,3 +91,15 @@ def test_write_forecast_round_trip(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p")).collect() == df.collect()
     back = spark.read.option("header", "true").schema(df.schema).csv(str(tmp_path / "c")).collect()
     assert back == df.collect()
+
+
+def test_jvm_fold_equals_numpy_fold(spark):
+    weeks = pd.date_range("2010-01-04", periods=70, freq="7D").date
+    rng = np.random.default_rng(3)
+    rows = [("A", w, float(1000 + 100 * np.sin(i / 3) + rng.normal(0, 5))) for i, w in enumerate(weeks)]
+    rows += [("short", w, 1.0) for w in weeks[:20]]
+    df = spark.createDataFrame(rows, "series_key string, week date, y double")
+    jvm = {r.series_key: tuple(r) for r in I.fit_fixed(df, 13).collect()}
+    py = {r.series_key: tuple(r) for r in I.fit(df, 13, fixed=I.FIXED_PARAMS)
+          .select("series_key", "n", "status", "level", "trend", "sse").collect()}
+    assert jvm == py and jvm["short"][2].startswith("skipped")

@@ -166,6 +166,50 @@ def fit(series: DataFrame, m: int, fixed=None, train_only: bool = False) -> Data
         _fit_group(m, fixed, train_only), FIT_SCHEMA)
 
 
+def fit_fixed(series: DataFrame, m: int, params=FIXED_PARAMS) -> DataFrame:
+    """Holt-Winters with one fixed (alpha, beta, gamma), entirely JVM-side.
+
+    Per series, the weeks are folded with the ``aggregate`` higher-order
+    function over the week-sorted array (bounded by the calendar span); the
+    state is (level, trend, seasonals, sse, t) and the arithmetic is the same,
+    in the same order, as ``hw_run``.  Series shorter than two seasons are
+    listed as skipped."""
+    a, b, g = (float(v) for v in params)
+    a1, b1, g1 = 1.0 - a, 1.0 - b, 1.0 - g
+    pts = series.groupBy("series_key").agg(
+        F.sort_array(F.collect_list(F.struct("week", "y"))).alias("pts"))
+    ys = F.transform("pts", lambda p: p["y"])
+    n = F.size(ys)
+    total = lambda arr: F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
+    first = total(F.slice(ys, 1, m)) / F.lit(float(m))
+    second = total(F.slice(ys, m + 1, m)) / F.lit(float(m))
+    init = F.struct(first.alias("l"), ((second - first) / F.lit(float(m))).alias("b"),
+                    F.transform(F.slice(ys, 1, m), lambda v: v - first).alias("s"),
+                    F.lit(0.0).alias("sse"), F.lit(m).alias("t"))
+
+    def step(acc, y):
+        j = acc["t"] % m
+        sj = F.element_at(acc["s"], j + 1)
+        lb = acc["l"] + acc["b"]
+        e = y - (lb + sj)
+        nl = F.lit(a) * (y - sj) + F.lit(a1) * lb
+        return F.struct(
+            nl.alias("l"),
+            (F.lit(b) * (nl - acc["l"]) + F.lit(b1) * acc["b"]).alias("b"),
+            F.transform(acc["s"], lambda v, i: F.when(i == j, F.lit(g) * (y - nl) + F.lit(g1) * sj)
+                        .otherwise(v)).alias("s"),
+            (acc["sse"] + e * e).alias("sse"),
+            (acc["t"] + 1).alias("t"))
+
+    state = F.aggregate(F.slice(ys, m + 1, F.greatest(n - m, F.lit(1))), init, step)
+    ok = n >= 2 * m
+    return pts.select(
+        "series_key", n.cast("int").alias("n"),
+        F.when(ok, F.lit("fitted")).otherwise(F.lit(f"skipped: fewer than {2 * m} weeks")).alias("status"),
+        F.when(ok, state["l"]).alias("level"), F.when(ok, state["b"]).alias("trend"),
+        F.when(ok, state["sse"]).alias("sse"))
+
+
 EVAL_SCHEMA = "series_key string, n_test int, mae double, rmse double, mape double, accuracy double"
 
 

@@ -306,8 +306,8 @@ def _split(spark, sf):
 
 @query("hw_fixed")
 def _hw_fixed(spark, sf):
-    return I.fit(_filled(spark, sf), I.VALIDATION_SEASON, fixed=I.FIXED_PARAMS).select(
-        "series_key", "n", "status", "level", "trend", "sse")
+    """Fixed-parameter fit, folded JVM-side (no Python)."""
+    return I.fit_fixed(_filled(spark, sf), I.VALIDATION_SEASON, I.FIXED_PARAMS)
 
 
 @query("hw_grid")
