@@ -77,3 +77,44 @@ def test_relative_date_slider(spark):
     assert r.net_sales == 44.0 and r.total_transactions == 3
     r2 = M.evaluate(s, ("net_sales",), by=("country",), where={"last_months": 1}).collect()
     assert [(x.country, x.net_sales) for x in r2] == [("Japan", 50.0)]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_line = st.fixed_dictionaries({
+    "invoice": st.sampled_from(["1", "2", "3", "C4", "C5", "6"]),
+    "customer_id": st.sampled_from([1.0, 2.0, 3.0, None]),
+    "quantity": st.integers(min_value=-3, max_value=5).filter(lambda q: q != 0),
+    "price": st.sampled_from([0.5, 1.25, 3.0]),
+    "country": st.sampled_from(["France", "Japan"]),
+})
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(_line, min_size=1, max_size=25))
+def test_measures_match_pandas(spark, rows):
+    import pandas as pd
+    s = star_from_raw(spark, [line(r["invoice"], **{k: v for k, v in r.items() if k != "invoice"})
+                              for r in rows])
+    got = {r.country: r for r in M.evaluate(s, M.MEASURES, by=("country",)).collect()}
+    df = pd.DataFrame(rows)
+    df["cust"] = df["customer_id"].fillna(99999).astype(int)
+    df["lt"] = df["quantity"] * df["price"]
+    df["ret"] = df["invoice"].str.startswith("C")
+    for country, g in df.groupby("country"):
+        r = got[country]
+        gross = g.loc[~g.ret, "lt"].sum() if (~g.ret).any() else None
+        returns = g.loc[g.ret, "lt"].sum() if g.ret.any() else None
+        purchase = g.loc[~g.ret, "invoice"].nunique()
+        customers = g.loc[g.cust != 99999, "cust"].nunique()
+        net = g["lt"].sum()
+        assert abs(r.net_sales - net) < 1e-9
+        assert (r.gross_sales is None) == (gross is None) and (gross is None or abs(r.gross_sales - gross) < 1e-9)
+        assert (r.returns_value is None) == (returns is None)
+        assert r.total_transactions == g["invoice"].nunique() and r.net_transactions == purchase
+        assert r.active_customers == customers
+        assert abs(r.items_per_basket - (g["quantity"].sum() / purchase if purchase else 0.0)) < 1e-9
+        assert abs(r.avg_clv - (net / customers if customers else 0.0)) < 1e-9
+        want_rate = abs(returns) / gross if (returns is not None and gross) else 0.0
+        assert abs(r.return_rate - want_rate) < 1e-9
