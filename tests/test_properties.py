@@ -94,3 +94,41 @@ def test_observed_etl_report_equals_clean_report(spark):
     s = open_star(spark, SF001)
     rep = E.queries()["clean_report"](spark, SF001).first().asDict()
     assert etl_report(spark, s) == rep
+
+
+_desc = st.sampled_from(["mug", "cup", "bowl", "MUG"])
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), _desc, st.sampled_from([1.0, 2.0, 3.0]),
+                          st.sampled_from(["France", "Japan", "EIRE"])), min_size=1, max_size=30))
+def test_dims_match_pandas(spark, rows):
+    from helpers import star_from_raw
+    base = dt.datetime(2010, 1, 1)
+    lines = [dict(invoice=str(i), stock_code=c, description=d, customer_id=cid, country=co,
+                  invoice_date=base + dt.timedelta(hours=i)) for i, (c, d, cid, co) in enumerate(rows)]
+    s = star_from_raw(spark, lines)
+    pdf = pd.DataFrame(lines)
+    # product name: pandas mode (sorted, first) per code
+    want_p = pdf.groupby("stock_code")["description"].agg(lambda x: x.mode()[0]).to_dict()
+    got_p = {r.product_code: r.product_name for r in s.dim_products.collect()}
+    assert got_p == want_p
+    # customer country: last country after sorting by time (timestamps are unique here)
+    want_c = (pdf.sort_values("invoice_date").groupby("customer_id")["country"].last()
+              .rename(index=lambda v: int(v)).to_dict())
+    got_c = {r.customer_id: r.country for r in s.dim_customers.collect()}
+    assert got_c == want_c
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.datetimes(min_value=dt.datetime(2010, 1, 1), max_value=dt.datetime(2010, 6, 30)),
+                          st.integers(min_value=1, max_value=9)), min_size=1, max_size=25))
+def test_gap_filled_weekly_series_matches_pandas(spark, points):
+    from helpers import star_from_raw
+    from tillroll.operators.forecast import gap_fill, weekly_series
+    s = star_from_raw(spark, [dict(invoice=str(i), invoice_date=t, quantity=q, price=1.0)
+                              for i, (t, q) in enumerate(points)])
+    got = [(r.week, r.y) for r in gap_fill(weekly_series(s, per_country=False)).orderBy("week").collect()]
+    ts = pd.Series([float(q) for _, q in points], index=pd.DatetimeIndex([t for t, _ in points]))
+    want = [(k.date(), v) for k, v in ts.resample("W-MON").sum().items()]
+    assert got == want
