@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, packing
+from . import bpe, chat, langid, multiset, packing, secrets
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,45 @@ def _op8(spark, sf_dir):
 @query("op10_bpe")
 def _op10(spark, sf_dir):
     return bpe.token_digests(table(spark, sf_dir, "documents"))
+
+
+#: The extra conversation that op4 formats beside the table.
+CONTROL_CASE = "</s>[INST] ok [/INST]"
+
+
+@query("op1_secrets")
+def _op1(spark, sf_dir):
+    return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op4_chat")
+def _op4(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.sql(f"""
+        SELECT -7L AS conv_id, 0L AS turn, 'user' AS role, '{CONTROL_CASE}' AS text
+        UNION ALL SELECT -7L, 1L, 'assistant', '{CONTROL_CASE}'""")
+    turns = turns.unionByName(extra)
+    return chat.digests(chat.format_chats(turns.withColumn("parts", chat.text_parts(turns["text"]))))
+
+
+ORACLE["op4_chat"] = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{CONTROL_CASE}'
+  UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_CASE}'),
+sized AS (
+  SELECT *, length(role) + length(text)
+         + length(regexp_replace(role || text, '[^\\\\<\\[]', '', 'g')) + {len(chat.TURN + chat.SAYS + chat.END)} AS n
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(n)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+@query("op9_multiset")
+def _op9(spark, sf_dir):
+    return multiset.compare_edited(table(spark, sf_dir, "documents"))
