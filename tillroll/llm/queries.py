@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, langid, multiset, packing, secrets
+from . import bpe, chat, langid, multiset, packing, pages, quality, secrets
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,13 @@ FROM sized GROUP BY conv_id
 @query("op9_multiset")
 def _op9(spark, sf_dir):
     return multiset.compare_edited(table(spark, sf_dir, "documents"))
+
+
+@query("op2_quality")
+def _op2(spark, sf_dir):
+    return quality.assess(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+@query("op7_html")
+def _op7(spark, sf_dir):
+    return pages.extract(table(spark, sf_dir, "pages"))
