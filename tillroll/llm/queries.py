@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, langid, multiset, packing, pages, quality, secrets
+from . import bpe, chat, langid, multiset, packing, pages, quality, secrets, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,9 @@ def _op2(spark, sf_dir):
 @query("op7_html")
 def _op7(spark, sf_dir):
     return pages.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op6_simhash")
+def _op6(spark, sf_dir):
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(simhash.F.col("fp")).alias("fingerprint"), "component_id")
