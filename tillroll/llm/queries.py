@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, langid, multiset, packing, pages, quality, secrets, simhash
+from . import bpe, chat, langid, multiset, packing, pages, quality, secrets, simhash, suffix
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def _op7(spark, sf_dir):
 def _op6(spark, sf_dir):
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(simhash.F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op5_suffix")
+def _op5(spark, sf_dir):
+    return suffix.dedup_digests(table(spark, sf_dir, "documents"))
