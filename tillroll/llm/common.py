@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 from collections.abc import Iterator
+from uuid import uuid4
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -37,24 +40,32 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = 4 << 20) -> Iterator[p
         yield batch.slice(at)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a copy in the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder, ``spark.checkpoint.dir`` of the session.
 
-    The folder is ``spark.checkpoint.dir`` of the session.  Where it is unset and
-    the master is local (tests) a temporary folder is used; on a cluster without
-    the setting this fails instead of writing to one machine's disk.
+    Where it is unset and everything runs in one process (tests) a temporary folder
+    is used; on a cluster without the setting this fails instead of writing to one
+    machine's disk.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
-            if not (sc.master or "").startswith("local"):
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master or ""):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            import tempfile
             shared = tempfile.mkdtemp(prefix="tillroll-checkpoint-")
         sc.setCheckpointDir(shared)
+    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a copy in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-__all__ = ["checkpointed", "slices", "table", "text_of"]
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new place in the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
