@@ -42,13 +42,13 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    """A block element: its tag, parent, path of tags, and whether it or an ancestor is boilerplate."""
+    """A block element: its tag, parent, number of its path of tags, and whether it or an ancestor is boilerplate."""
 
     __slots__ = ("tag", "parent", "path", "beside", "depth")
 
-    def __init__(self, tag: str, parent: Node | None, beside: bool):
+    def __init__(self, tag: str, parent: Node | None, beside: bool, paths: dict[tuple[int, str], int]):
         self.tag, self.parent = tag, parent
-        self.path = (parent.path + "/" if parent else "") + tag
+        self.path = paths.setdefault((parent.path if parent else 0, tag), len(paths) + 1)
         self.beside = beside or bool(parent and parent.beside)
         self.depth = parent.depth + 1 if parent else 0
 
@@ -68,7 +68,8 @@ def _beside(tag: str, attributes: str, in_article: bool) -> bool:
 
 def blocks(html: str) -> list[tuple[Node, str]]:
     """Text blocks in page order with the element that holds each; character references decoded, white space joined."""
-    root = Node("#", None, False)
+    paths: dict[tuple[int, str], int] = {}
+    root = Node("#", None, False, paths)
     at, node = 0, root
     out: list[tuple[Node, str]] = []
     pending: list[str] = []
@@ -136,7 +137,7 @@ def blocks(html: str) -> list[tuple[Node, str]]:
                 if tag == "tr" and node.tag == "tr":
                     node = node.parent
         articles += tag in CONTENT
-        node = Node(tag, node, tag in HEAD_ONLY or _beside(tag, m[3], articles > 0))
+        node = Node(tag, node, tag in HEAD_ONLY or _beside(tag, m[3], articles > 0), paths)
         if m[3].endswith("/") and tag not in CLOSES_P:
             node = node.parent
     flush()

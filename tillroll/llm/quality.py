@@ -126,7 +126,7 @@ class Model:
         for k in range(ORDER):
             gram = key & ((1 << (BITS * (k + 1))) - 1)
             p = _find(self.contexts[k], self.backoffs[k], gram >> BITS, 1.0) * p + _find(self.keys[k], self.probs[k], gram, 0.0)
-        return np.log(p)
+        return np.log(np.maximum(p, 1e-12))      # a tiny corpus may leave no weight for the unseen
 
     @property
     def table(self) -> tuple[np.ndarray, np.ndarray]:
