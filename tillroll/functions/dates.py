@@ -15,6 +15,11 @@ def date_key(col: Column | str) -> Column:
     return F.date_format(_c(col), "yyyyMMdd").cast("int")
 
 
+def month_key(col: Column | str) -> Column:
+    """YYYYMM integer of a date or timestamp."""
+    return F.date_format(_c(col), "yyyyMM").cast("int")
+
+
 def iso_weekday(col: Column | str) -> Column:
     """1 = Monday … 7 = Sunday (Spark's ``dayofweek`` starts on Sunday)."""
     return (F.weekday(_c(col)) + F.lit(1)).cast("int")

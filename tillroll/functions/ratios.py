@@ -14,11 +14,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def to_double(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("double")
-
-
 def safe_div(num: Column, den: Column) -> Column:
     """num / den in DOUBLE; NULL when den is 0 or NULL."""
     return F.try_divide(num.cast("double"), den.cast("double"))

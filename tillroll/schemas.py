@@ -6,19 +6,6 @@ from pyspark.sql import types as T
 
 GUEST_CUSTOMER_ID = 99999
 
-# The raw extract as written by the regional systems: every field is text on
-# disk; typing happens in ``sources.raw.type_raw`` with try_cast.
-RAW_TEXT = T.StructType([
-    T.StructField("invoice", T.StringType()),
-    T.StructField("stock_code", T.StringType()),
-    T.StructField("description", T.StringType()),
-    T.StructField("quantity", T.StringType()),
-    T.StructField("invoice_date", T.StringType()),
-    T.StructField("price", T.StringType()),
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("country", T.StringType()),
-])
-
 # Header names used by the regional extracts (fixed values of the source format).
 RAW_HEADER = ("Invoice", "StockCode", "Description", "Quantity", "InvoiceDate",
               "Price", "Customer ID", "Country")
@@ -89,6 +76,9 @@ VARCHAR_LIMITS = {
     ("fact_sales", "product_code"): 50,
 }
 
+# Partition column of the stored fact (YYYYMM of date_key); not a business column.
+MONTH_PARTITION = "sales_month"
+
 FACT_COLUMNS = ("invoice_no", "customer_id", "product_code", "branch_id", "date_key",
                 "transaction_time", "quantity", "unit_price", "line_total", "is_return")
 

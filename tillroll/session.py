@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,16 +40,19 @@ def get_session(master: str | None = None, app_name: str = "tillroll",
 
 
 def checkpoint_base(spark: SparkSession) -> str:
-    """Shared folder for materialised tables.
+    """Shared folder for materialised tables: ``spark.checkpoint.dir`` of the session
+    or the context's checkpoint folder.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir).  Only when neither is set (local tests) a private temp folder is
-    created and registered as the checkpoint dir.
+    Only a session that runs in one process (a local master, as in tests) may do
+    without: it gets a private temp folder.  On a cluster every executor would
+    write such a folder on its own disk, so there the missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master or ""):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -58,18 +62,3 @@ def join_path(base: str, *parts: str) -> str:
     if "://" in base or base.startswith("file:"):
         return "/".join([base.rstrip("/"), *parts])
     return os.path.join(base, *parts)
-
-
-def spread_if_narrow(df):
-    """Round-robin a scan that has fewer splits than the cluster has cores.
-
-    A small input stored as one parquet row group is a single task; every
-    narrow step after it (joins with broadcast sides, cleaning regexes, the
-    first write) would run on one core.  Large inputs already have at least as
-    many splits as cores and pass through untouched (no extra shuffle).
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

@@ -7,10 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schemas import FACT_COLUMNS
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
-
-
 def write_clean(df: DataFrame, path: str) -> None:
     """Cleaned flat lines, one parquet dataset; ``status`` is a partition column so
     rejected rows stay auditable and clean reads prune to ``status=clean``."""
