@@ -69,7 +69,9 @@ def test_short_series_skipped_and_future_mondays(spark):
                                 "series_key string, week date, y double")
     fut = I.forecast_future(df2).orderBy("h").collect()
     assert [r.week for r in fut] == list(pd.date_range("2011-12-19", periods=13, freq="7D").date)
-    assert I.forecast_future(df).count() == 0
+    short = I.forecast_future(df).collect()         # listed with its status, without weeks
+    assert [(r.series_key, r.h, r.week, r.yhat) for r in short] == [("short", None, None, None)]
+    assert short[0].status.startswith("skipped")
 
 
 def test_mape_ignores_small_actuals(spark):

@@ -43,8 +43,12 @@ def test_ytd_and_sssg(spark):
     s = _star(spark)
     y = {(r.year, r.month): r for r in TI.ytd(s).collect()}
     assert y[(2010, 2)].sales_ytd == 19.0 and y[(2011, 1)].sales_ytd == 50.0
-    assert y[(2011, 1)].sales_ly_ytd == 15.0
-    assert abs(y[(2011, 1)].yoy_growth - (50.0 - 15.0) / 15.0) < 1e-12
+    # the calendar ends on 7 January: like for like, the return of the 9th a year before does not count
+    assert y[(2011, 1)].sales_ly_ytd == 25.0
+    assert abs(y[(2011, 1)].yoy_growth - (50.0 - 25.0) / 25.0) < 1e-12
+    whole = {(r.year, r.month): r for r in TI.ytd(s, whole_months=True).collect()}
+    assert whole[(2011, 1)].sales_ly_ytd == 15.0
+    assert abs(whole[(2011, 1)].yoy_growth - (50.0 - 15.0) / 15.0) < 1e-12
     ss = {(r.year, r.month, r.branch_id): r for r in TI.same_store(s).collect()}
     jp = [k for k in ss if k[:2] == (2011, 1)]
     assert len(jp) == 2   # Japan (this year) and France (last year's January)
@@ -118,3 +122,38 @@ def test_measures_match_pandas(spark, rows):
         assert abs(r.avg_clv - (net / customers if customers else 0.0)) < 1e-9
         want_rate = abs(returns) / gross if (returns is not None and gross) else 0.0
         assert abs(r.return_rate - want_rate) < 1e-9
+
+
+def test_no_slicers_means_unfiltered(spark):
+    s = _star(spark)
+    assert G.sliced_cards(s, {}).collect() == G.sliced_cards(s).collect() == G.cards(s).collect()
+
+
+def test_column_filter_on_a_dimension_attribute(spark):
+    from pyspark.sql import functions as F
+    s = _star(spark)
+    assert M.evaluate(s, ("net_sales",), where=F.col("country") == "France").first().net_sales == 15.0
+
+
+def test_open_last_month_is_compared_like_for_like(spark):
+    s = star_from_raw(spark, [line("1", (2010, 12, 5, 1), price=10.0, country="France"),
+                              line("2", (2010, 12, 25, 1), price=90.0, country="France"),
+                              line("3", (2011, 12, 9, 1), price=20.0, country="France")])
+    last = {True: None, False: None}
+    for whole in last:
+        last[whole] = [r for r in TI.same_store(s, whole_months=whole).collect() if (r.year, r.month) == (2011, 12)][0]
+    assert (last[False].sales_ly, last[False].sssg) == (10.0, 1.0)
+    assert (last[True].sales_ly, last[True].sssg) == (100.0, -0.8)
+    y = [r for r in TI.ytd(s).collect() if (r.year, r.month) == (2011, 12)][0]
+    assert (y.sales_ly_ytd, y.yoy_growth) == (10.0, 1.0)
+
+
+def test_time_measures_under_groups_and_slicers(spark):
+    s = _star(spark)
+    rows = {(r.country, r.year, r.month): r for r in
+            M.evaluate(s, ("net_sales", "net_sales_pm", "sales_ytd", "customers_prev"), by=("country",)).collect()}
+    assert len(rows) == 2 * 13                                   # every month of the calendar for both countries
+    assert rows["France", 2010, 2].net_sales_pm == 15.0 and rows["France", 2010, 2].net_sales is None
+    assert rows["France", 2010, 2].customers_prev == 1 and rows["Japan", 2010, 2].customers_prev == 0
+    only = M.evaluate(s, ("net_sales_pm",), where={"country": "France", "date_key": (20100201, 20100228)}).collect()
+    assert [(r.year, r.month, r.net_sales_pm) for r in only] == [(2010, 2, 15.0)]

@@ -66,6 +66,17 @@ def clean_lines(raw: DataFrame) -> DataFrame:
     return df.withColumn("status", status).drop("_price")
 
 
+def clean_rows(raw: DataFrame) -> DataFrame:
+    """The clean lines only, for a single pass over raw lines.
+
+    What a base column already rules out is filtered on that column, before the
+    strings are stripped and the amounts computed; the status then settles the rest."""
+    price = F.col("price")
+    possible = (F.col("invoice").isNotNull() & F.col("invoice_date").isNotNull() & F.col("country").isNotNull()
+                & (F.col("quantity") != 0) & (price > 0) & ~F.isnan(price))
+    return clean_only(clean_lines(raw.where(possible)))
+
+
 def clean_only(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("status") == STATUS_CLEAN)
 
@@ -75,6 +86,11 @@ def clean_flat(lines: DataFrame) -> DataFrame:
     return clean_only(lines).select(*CLEAN_COLUMNS)
 
 
+def clean_flat_from_raw(raw: DataFrame) -> DataFrame:
+    """The same straight from the raw lines."""
+    return clean_rows(raw).select(*CLEAN_COLUMNS)
+
+
 def report_columns() -> list:
     s = F.col("status")
     return [F.count(F.lit(1)).alias("rows_in"),

@@ -8,28 +8,25 @@ from pyspark.sql import functions as F
 from ..functions.ratios import round2, round_half_up, safe_div
 from ..schemas import GUEST_CUSTOMER_ID
 from .measures import evaluate
-from .timeintel import spine_net
+from .timeintel import shifted
 
 CARD_MEASURES = ("net_sales", "total_transactions", "aov", "return_rate")
 
-# Default slicer state of the executive page (date range and branch countries).
-DEFAULT_SLICERS = {"date_key": (19970101, 19981231),
-                   "country": ["United Kingdom", "Germany", "France"]}
-
 
 def cards(star) -> DataFrame:
     return evaluate(star, CARD_MEASURES)
 
 
 def sliced_cards(star, slicers=None) -> DataFrame:
-    """KPI cards under slicers; a ``date_key`` range reaches the fact scan as a
-    pushed filter, a branch-country list filters through the branch dimension."""
-    return evaluate(star, CARD_MEASURES, where=slicers or DEFAULT_SLICERS)
+    """KPI cards under slicers; a ``date_key`` range reaches the fact scan as
+    partition and pushed filters, a branch-country list filters through the branch
+    dimension.  No slicers (None or empty) means unfiltered."""
+    return evaluate(star, CARD_MEASURES, where=slicers)
 
 
 def trend(star) -> DataFrame:
-    """Monthly net sales with the same month of the previous year overlaid."""
-    m = spine_net(star).withColumn("ly", F.lag("net", 12).over(Window.orderBy("idx")))
+    """Monthly net sales with the whole same month of the previous year overlaid."""
+    m = shifted(star, whole_months=True)
     return m.select("year", "month", F.col("net").cast("double").alias("net_sales"),
                     F.col("ly").cast("double").alias("net_sales_ly"))
 

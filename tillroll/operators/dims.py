@@ -24,10 +24,13 @@ ASIA_PAC_COUNTRIES = ("Australia", "Japan", "Singapore", "Hong Kong")
 
 def dim_customers(clean: DataFrame) -> DataFrame:
     """Country of each customer's latest line; ties on the timestamp are settled
-    by invoice, then country (largest wins).  The guest id gets a row too."""
-    latest = F.max_by(F.col("country"),
-                      F.struct(F.col("invoice_date"), F.col("invoice"), F.col("country")))
-    return clean.groupBy("customer_id").agg(latest.alias("country"))
+    by invoice, then country (largest wins).  The guest id gets a row too.
+
+    The lines are hash-aggregated to one timestamp per (customer, invoice,
+    country); the ordered pick, which sorts, runs over those."""
+    seen = clean.groupBy("customer_id", "invoice", "country").agg(F.max("invoice_date").alias("last"))
+    latest = F.max_by(F.col("country"), F.struct("last", "invoice", "country"))
+    return seen.groupBy("customer_id").agg(latest.alias("country"))
 
 
 def dim_products(clean: DataFrame) -> DataFrame:
@@ -52,8 +55,8 @@ def dim_branches(clean: DataFrame) -> DataFrame:
     """One branch per country, numbered by first appearance: the earliest source
     extract holding the country, then the earliest line in it, then the name.
     The numbering window runs over the distinct countries only."""
-    first = clean.groupBy("country").agg(
-        F.min(F.struct(F.col("source_rank"), F.col("invoice_date"))).alias("first_seen"))
+    seen = clean.groupBy("country", "source_rank").agg(F.min("invoice_date").alias("first"))
+    first = seen.groupBy("country").agg(F.min(F.struct("source_rank", "first")).alias("first_seen"))
     w = Window.orderBy(F.col("first_seen"), F.col("country"))
     region = region_of(F.col("country"))
     return first.select(

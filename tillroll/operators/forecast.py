@@ -74,11 +74,11 @@ def split_holdout(weekly: DataFrame, n: int = HOLDOUT_WEEKS) -> DataFrame:
 
 
 # ------------------------------------------------------------------ model (numpy)
-def _grid(fixed=None):
+def _grid(fixed=None, steps=GRID_STEPS):
     if fixed is not None:
         a, b, g = (np.array([v]) for v in fixed)
         return a, b, g
-    mesh = np.array(np.meshgrid(GRID_STEPS, GRID_STEPS, GRID_STEPS, indexing="ij")).reshape(3, -1)
+    mesh = np.array(np.meshgrid(steps, steps, steps, indexing="ij")).reshape(3, -1)
     return mesh[0], mesh[1], mesh[2]
 
 
@@ -119,8 +119,8 @@ def hw_forecast(level, trend, season, n: int, m: int, h: int) -> np.ndarray:
     return level + steps * trend + season[(n - 1 + steps) % m]
 
 
-def _fit_best(y, m, fixed=None):
-    a, b, g = _grid(fixed)
+def _fit_best(y, m, fixed=None, steps=GRID_STEPS):
+    a, b, g = _grid(fixed, steps)
     level, trend, season, sse, sae, _ = hw_run(y, m, a, b, g)
     k = int(np.argmin(sse))  # first minimum in (alpha, beta, gamma) order
     return dict(alpha=float(a[k]), beta=float(b[k]), gamma=float(g[k]), level=float(level[k]),
@@ -139,31 +139,43 @@ def _by_series(series: DataFrame) -> DataFrame:
 
 
 FIT_SCHEMA = ("series_key string, n int, status string, level double, trend double, sse double, "
-              "alpha double, beta double, gamma double, mae_in_sample double")
+              "alpha double, beta double, gamma double, mae_in_sample double, last_week date, season array<double>")
+#: A fit's figures without its state.
+FIT_FIGURES = ("series_key", "n", "status", "sse", "mae_in_sample", "alpha", "beta", "gamma")
 
 
-def _fit_group(m: int, fixed=None, train_only: bool = False):
+def _fit_group(m: int, fixed=None, train_only: bool = False, steps=GRID_STEPS):
     def fn(key, pdf):
         pdf = pdf.sort_values("week")
         if train_only:
             pdf = pdf.iloc[:-HOLDOUT_WEEKS] if len(pdf) > HOLDOUT_WEEKS else pdf.iloc[:0]
         y = pdf["y"].to_numpy(dtype=float)
         row = dict(series_key=key[0], n=len(y), status="fitted", level=None, trend=None, sse=None,
-                   alpha=None, beta=None, gamma=None, mae_in_sample=None)
+                   alpha=None, beta=None, gamma=None, mae_in_sample=None,
+                   last_week=pdf["week"].iloc[-1] if len(pdf) else None, season=None)
         if len(y) < 2 * m:
             row["status"] = f"skipped: fewer than {2 * m} weeks"
         else:
-            best = _fit_best(y, m, fixed)
-            best.pop("season")
+            best = _fit_best(y, m, fixed, steps)
+            best["season"] = best["season"].tolist()
             row.update(best)
         return pd.DataFrame([row])
     return fn
 
 
-def fit(series: DataFrame, m: int, fixed=None, train_only: bool = False) -> DataFrame:
-    """One row per series: state after the last point, SSE, chosen parameters."""
+def fit(series: DataFrame, m: int, fixed=None, train_only: bool = False, steps=GRID_STEPS) -> DataFrame:
+    """One row per series: the state after the last point (level, trend, one value per
+    season slot), SSE, chosen parameters.  ``steps`` are the values tried for each of
+    the three parameters.  Scores and projections are computed from this output, so
+    a grid is searched once."""
     return _by_series(series).groupBy("series_key").applyInPandas(
-        _fit_group(m, fixed, train_only), FIT_SCHEMA)
+        _fit_group(m, fixed, train_only, tuple(steps)), FIT_SCHEMA)
+
+
+def _ahead(h: F.Column, m: int) -> F.Column:
+    """h steps after a fit's last point."""
+    slot = (F.col("n") - 1 + h) % m
+    return F.col("level") + h * F.col("trend") + F.element_at("season", (slot + 1).cast("int"))
 
 
 def fit_fixed(series: DataFrame, m: int, params=FIXED_PARAMS) -> DataFrame:
@@ -210,59 +222,40 @@ def fit_fixed(series: DataFrame, m: int, params=FIXED_PARAMS) -> DataFrame:
         F.when(ok, state["sse"]).alias("sse"))
 
 
-EVAL_SCHEMA = "series_key string, n_test int, mae double, rmse double, mape double, accuracy double"
-
-
-def _eval_group(pdf_key, pdf):
-    pdf = pdf.sort_values("week")
-    y = pdf["y"].to_numpy(dtype=float)
-    train, test = y[:-HOLDOUT_WEEKS], y[-HOLDOUT_WEEKS:]
-    row = dict(series_key=pdf_key[0], n_test=len(test), mae=None, rmse=None, mape=None, accuracy=None)
-    if len(y) <= HOLDOUT_WEEKS or len(train) < 2 * VALIDATION_SEASON:
-        return pd.DataFrame([row])
-    best = _fit_best(train, VALIDATION_SEASON)
-    pred = hw_forecast(best["level"], best["trend"], best["season"], len(train), VALIDATION_SEASON,
-                       HOLDOUT_WEEKS)
-    err = test - pred
-    # plain left-to-right sums (not numpy's pairwise) so the figures are
-    # reproducible bit for bit by any engine that adds in week order
-    row["mae"] = float(sum(abs(e) for e in err) / len(err))
-    row["rmse"] = float(np.sqrt(sum(e * e for e in err) / len(err)))
-    pct = [abs(e / a) * 100.0 for e, a in zip(err, test) if a > MAPE_MIN_ACTUAL]
-    if pct:
-        row["mape"] = float(sum(pct) / len(pct))
-        row["accuracy"] = 100.0 - row["mape"]
-    return pd.DataFrame([row])
-
-
-def evaluate_holdout(series: DataFrame) -> DataFrame:
-    """Validation fit (m=13, grid) on all but the last 13 weeks, forecast the
-    13 held-out weeks, score MAE / RMSE / MAPE (actual > 5000) / accuracy."""
-    return _by_series(series).groupBy("series_key").applyInPandas(_eval_group, EVAL_SCHEMA)
-
-
-FUTURE_SCHEMA = "series_key string, h int, week date, yhat double"
-
-
-def _future_group(h: int, m: int):
-    def fn(key, pdf):
-        pdf = pdf.sort_values("week")
-        y = pdf["y"].to_numpy(dtype=float)
-        if len(y) < 2 * m:
-            return pd.DataFrame({"series_key": pd.Series([], dtype=object),
-                                 "h": pd.Series([], dtype="int32"),
-                                 "week": pd.Series([], dtype=object),
-                                 "yhat": pd.Series([], dtype="float64")})
-        best = _fit_best(y, m)
-        yhat = hw_forecast(best["level"], best["trend"], best["season"], len(y), m, h)
-        last = pd.Timestamp(pdf["week"].iloc[-1])
-        weeks = [(last + pd.Timedelta(weeks=int(i))).date() for i in range(1, h + 1)]
-        return pd.DataFrame({"series_key": key[0], "h": np.arange(1, h + 1, dtype="int32"),
-                             "week": weeks, "yhat": yhat})
-    return fn
-
-
-def forecast_future(series: DataFrame, h: int = HOLDOUT_WEEKS, m: int = ANNUAL_SEASON) -> DataFrame:
-    """Annual-season model on the full series; the next ``h`` Mondays."""
-    return _by_series(series).groupBy("series_key").applyInPandas(_future_group(h, m), FUTURE_SCHEMA)
-
+def score(fits: DataFrame, series: DataFrame, m: int = VALIDATION_SEASON, min_actual: float = MAPE_MIN_ACTUAL) -> DataFrame:
+    """MAE / RMSE / MAPE (actual > ``min_actual``) / accuracy of fits over the training
+    weeks on the weeks held out; a skipped series keeps a row without figures.  Sums
+    run in week order, so any engine that adds in that order gets the same bits."""
+    test = split_holdout(series).where("is_test").groupBy("series_key").agg(
+        F.sort_array(F.collect_list(F.struct("week", "y"))).alias("pts"))
+    rows = fits.join(test, "series_key")
+    h = F.sequence(F.lit(1), F.size("pts"))
+    errors = F.zip_with("pts", h, lambda p, i: F.struct(p["y"].alias("y"), (p["y"] - _ahead(i, m)).alias("e")))
+    rows = rows.withColumn("errors", F.when(F.col("status") == "fitted", errors))
+    n = F.size("pts").cast("int")
+    mean = lambda arr: F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x) / F.size(arr)
+    large = F.filter("errors", lambda p: p["y"] > min_actual)
+    mape = F.when(F.size(large) > 0, mean(F.transform(large, lambda p: F.abs(p["e"] / p["y"]) * 100.0)))
+    out = rows.select("series_key", n.alias("n_test"), mean(F.transform("errors", lambda p: F.abs(p["e"]))).alias("mae"),
+                      F.sqrt(mean(F.transform("errors", lambda p: p["e"] * p["e"]))).alias("rmse"), mape.alias("mape"))
+    return out.withColumn("accuracy", F.lit(100.0) - F.col("mape"))
+
+
+def evaluate_holdout(series: DataFrame, steps=GRID_STEPS) -> DataFrame:
+    """Validation fit (m=13, grid) on all but the last 13 weeks, scored on those."""
+    return score(fit(series, VALIDATION_SEASON, train_only=True, steps=steps), series)
+
+
+def future_of(fits: DataFrame, h: int = HOLDOUT_WEEKS, m: int = ANNUAL_SEASON) -> DataFrame:
+    """The next ``h`` Mondays of every fitted series, and one row with its status, and
+    neither week nor value, for every skipped one."""
+    fitted = F.col("status") == "fitted"
+    steps = F.when(fitted, F.sequence(F.lit(1), F.lit(h))).otherwise(F.array(F.lit(None).cast("int")))
+    rows = fits.withColumn("h", F.explode(steps))
+    return rows.select("series_key", "h", F.date_add("last_week", 7 * F.col("h")).alias("week"),
+                       F.when(fitted, _ahead(F.col("h"), m)).alias("yhat"), "status")
+
+
+def forecast_future(series: DataFrame, h: int = HOLDOUT_WEEKS, m: int = ANNUAL_SEASON, steps=GRID_STEPS) -> DataFrame:
+    """Annual-season model on the full series, projected."""
+    return future_of(fit(series, m, steps=steps), h, m)

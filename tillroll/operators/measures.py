@@ -1,22 +1,24 @@
 """The BI measure library: each measure is evaluated under any grouping
 (``by``) and filter (``where``) — the filter context of the semantic model.
 
-Additive measures are sums over fact lines.  Distinct-count measures (orders,
-purchase orders, active customers) are computed from a first aggregate at
-(by, invoice, customer) grain: every additive sum rides along, the distinct
-counts become counts over that much smaller set, and the guest/hot-key rows are
-already collapsed before the second shuffle.  Ratios follow DAX
+Additive measures are sums over fact lines.  Orders and purchase orders count the
+rows of a first aggregate at (by, invoice) grain, which also carries the sums;
+active customers count the rows of a second one at (by, customer) grain; the two
+meet at ``by`` grain.  No distinct aggregate is left, so nothing is expanded, and
+the guest rows collapse before the first shuffle.  Ratios follow DAX
 ``DIVIDE(a, b, 0)``.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import date_key
+from ..functions.dates import date_key, month_key
 from ..functions.ratios import dax_div
-from ..schemas import GUEST_CUSTOMER_ID
+from ..schemas import GUEST_CUSTOMER_ID, MONTH_PARTITION
 
 DEFAULT_MARGIN = 0.40
 DEFAULT_GROWTH = 0.10
@@ -30,8 +32,8 @@ _DIM_COLUMNS = {
     "customer_country": "customer",
 }
 
-_DISTINCT_MEASURES = {"total_transactions", "net_transactions", "aov", "items_per_basket",
-                      "active_customers", "avg_clv"}
+_ORDER_MEASURES = {"total_transactions", "net_transactions", "aov", "items_per_basket"}
+_CUSTOMER_MEASURES = {"active_customers", "avg_clv"}
 
 MEASURES = (
     "net_sales", "gross_sales", "returns_value", "return_rate", "total_transactions",
@@ -40,6 +42,11 @@ MEASURES = (
 )
 
 
+#: Measures that shift or run over months, evaluated by ``timeintel.evaluate_monthly``.
+TIME_MEASURES = ("net_sales_pm", "mom_growth", "sales_ytd", "sales_ly_ytd", "yoy_growth", "sales_ly", "sssg",
+                 "customers_prev", "customers_retained", "retention_rate")
+
+
 def _with_fact(star, fact: DataFrame):
     from dataclasses import replace
     return replace(star, fact=fact)
@@ -66,15 +73,22 @@ def context(star, columns=()) -> DataFrame:
 
 
 def _where_columns(where) -> list:
-    return list(where.keys()) if isinstance(where, dict) else []
+    """Columns that the filter names; a Column's are found in its expression."""
+    if isinstance(where, dict):
+        return list(where.keys())
+    if isinstance(where, Column):
+        words = set(re.findall(r"[A-Za-z_][A-Za-z_0-9]*", str(where)))
+        return [c for c in _DIM_COLUMNS if c in words]
+    return []
 
 
 def _date_key_range(col: str, v):
     """Calendar slicer → equivalent YYYYMMDD range on the fact's own key, so the
-    predicate also reaches the fact scan (row groups of the date-sorted files
-    are skipped).  Only exact translations: a year (or year range) and a date
-    (or date range); other calendar attributes stay dimension filters."""
+    predicate also reaches the fact scan.  Only exact translations: a key, a year or
+    a date, alone or as a range; other calendar attributes stay dimension filters."""
     lo, hi = (v if isinstance(v, tuple) and len(v) == 2 else (v, v))
+    if col == "date_key" and isinstance(lo, int) and isinstance(hi, int):
+        return lo, hi
     if col == "year" and isinstance(lo, int) and isinstance(hi, int):
         return lo * 10000 + 101, hi * 10000 + 1231
     if col == "date" and hasattr(lo, "strftime") and hasattr(hi, "strftime"):
@@ -86,20 +100,27 @@ RELATIVE_MONTHS = "last_months"
 
 
 def _fact_side(star, where) -> list:
-    """Fact-side predicates implied by the slicers (see ``_date_key_range``),
+    """Fact-side predicates implied by the slicers (see ``_date_key_range``), on the
+    key and, where the fact is stored by month, on its partition column,
     plus the relative date slider: the last n calendar months up to the last day
     of the calendar, as a scalar subquery (nothing is collected)."""
     if not isinstance(where, dict):
         return []
     out = []
+    stored = MONTH_PARTITION in star.fact.columns
     for col, v in where.items():
         if col == RELATIVE_MONTHS:
             last = star.dim_date.agg(F.max("date")).scalar()
-            out.append(F.col("date_key") >= date_key(F.date_add(F.add_months(last, -int(v)), 1)))
+            first = F.date_add(F.add_months(last, -int(v)), 1)
+            out.append(F.col("date_key") >= date_key(first))
+            if stored:
+                out.append(F.col(MONTH_PARTITION) >= month_key(first))
             continue
         rng = _date_key_range(col, v)
         if rng is not None:
             out.append(F.col("date_key").between(*rng))
+            if stored:
+                out.append(F.col(MONTH_PARTITION).between(rng[0] // 100, rng[1] // 100))
     return out
 
 
@@ -128,32 +149,46 @@ def _sums(prefix: str = "") -> list:
             F.sum(F.when(ret, lt)).alias("returns"), F.sum("quantity").alias("units")]
 
 
+def _grain(by: list, key: str) -> list:
+    return by + [c for c in (key,) if c not in by]
+
+
 def evaluate(star, measures=MEASURES, by=(), where=None, *, margin: float = DEFAULT_MARGIN,
              growth: float = DEFAULT_GROWTH) -> DataFrame:
     """One row per ``by`` group with the requested measures, after ``where``.
 
+    Measures over time (``TIME_MEASURES``) give a row per group and
+    calendar month; they cannot be mixed with the others in one call.
+
     ``by``/``where`` may name fact columns or dimension attributes (country,
     region, year, month, product_name, customer_country, …); only the needed
     dimensions are joined."""
     by = list(by)
+    if set(measures) & set(TIME_MEASURES):
+        from .timeintel import evaluate_monthly
+        return evaluate_monthly(star, measures, by, where)
     for cond in _fact_side(star, where):
         star = _with_fact(star, star.fact.where(cond))
     if isinstance(where, dict):
         where = {k: v for k, v in where.items() if k != RELATIVE_MONTHS}
     base = apply_where(context(star, by + _where_columns(where)), where)
-    if set(measures) & _DISTINCT_MEASURES:
-        guest = F.col("customer_id") == GUEST_CUSTOMER_ID
-        grain = by + [c for c in ("invoice_no", "customer_id") if c not in by]
-        lvl1 = base.groupBy(*grain).agg(
-            *[c.alias(f"_{n}") for c, n in zip(_sums(), ("net", "gross", "returns", "units"))],
+    names = ("net", "gross", "returns", "units")
+    if set(measures) & _ORDER_MEASURES:
+        lines = base.groupBy(*_grain(by, "invoice_no")).agg(
+            *[c.alias(f"_{n}") for c, n in zip(_sums(), names)],
             F.bool_or(~F.col("is_return")).alias("_purchase"))
-        agg = lvl1.groupBy(*by).agg(
-            *_sums("_"),
-            F.count_distinct("invoice_no").alias("orders"),
-            F.count_distinct(F.when(F.col("_purchase"), F.col("invoice_no"))).alias("purchase_orders"),
-            F.count_distinct(F.when(~guest, F.col("customer_id"))).alias("customers"))
+        named = F.col("invoice_no").isNotNull()
+        agg = lines.groupBy(*by).agg(*_sums("_"), F.count_if(named).alias("orders"),
+                                     F.count_if(named & F.col("_purchase")).alias("purchase_orders"))
     else:
         agg = base.groupBy(*by).agg(*_sums())
+    if set(measures) & _CUSTOMER_MEASURES:
+        # the same groups from the same rows: one line of each kind per group, added up
+        buyers = base.groupBy(*_grain(by, "customer_id")).agg(F.lit(1).alias("_one")).groupBy(*by).agg(
+            F.count_if(F.col("customer_id") != GUEST_CUSTOMER_ID).alias("customers"))
+        sums = [c for c in agg.columns if c not in by]
+        both = agg.unionByName(buyers, allowMissingColumns=True)
+        agg = both.groupBy(*by).agg(*[F.sum(c).alias(c) for c in (*sums, "customers")])
 
     net, gross, returns = (F.col(c).cast("double") for c in ("net", "gross", "returns"))
     profit = net * F.lit(margin)
