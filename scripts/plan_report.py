@@ -30,7 +30,7 @@ def summarize(plan: str) -> dict:
         "windows": count(r"\bWindow\b"),
         "group_limits": count(r"WindowGroupLimit"),
         "python": count(r"FlatMapGroupsInPandas|ArrowEvalPython|BatchEvalPython"),
-        "pushed": "; ".join(p[:120] for p in pushed)[:300],
+        "pushed": "; ".join(pushed),
     }
 
 

@@ -64,10 +64,49 @@ def test_year_slicer_reaches_fact_scan(spark):
 
 
 def test_forecast_fits_keep_explicit_series_partitioning(spark):
-    plan = _formatted(E.queries()["hw_grid"](spark, SF001))
+    from tillroll.operators import forecast as I
+    from tillroll.plans.warehouse import open_star
+    plan = _formatted(I.fit(I.gap_fill(I.weekly_series(open_star(spark, SF001))), I.VALIDATION_SEASON))
     assert "REPARTITION_BY_NUM" in plan and "FlatMapGroupsInPandas" in plan
 
 
+def test_scores_and_projections_read_one_fit(spark):
+    for key in ("hw_grid", "hw_annual", "forecast_eval", "forecast_future"):
+        assert "FlatMapGroupsInPandas" not in _formatted(E.queries()[key](spark, SF001)), key
+
+
+def test_month_slicer_reads_its_months_only(spark):
+    from tillroll.operators.measures import evaluate
+    from tillroll.plans.warehouse import open_star
+    df = evaluate(open_star(spark, SF001), ("net_sales",), where={"date_key": (19970301, 19970331)})
+    scan = [b for b in _formatted(df).split("\n\n") if "fact_sales" in b and "PartitionFilters" in b]
+    line = next(ln for ln in scan[0].splitlines() if ln.startswith("PartitionFilters"))
+    assert "sales_month" in line and "199703" in line
+    files = evaluate(open_star(spark, SF001), ("net_sales",), by=("date_key",), where={"date_key": (19970301, 19970331)})
+    assert {r.date_key // 100 for r in files.collect()} == {199703}
+
+
+def test_distinct_counts_do_not_expand(spark):
+    for key in ("m_core", "m_customers", "dash_cards"):
+        assert "Expand" not in _formatted(E.queries()[key](spark, SF001)), key
+
+
+def test_dimensions_do_not_sort_the_lines(spark):
+    from tillroll.operators import dims as D
+    from tillroll.plans.warehouse import open_star
+    clean = open_star(spark, SF001).clean
+    for df in (D.dim_customers(clean), D.dim_branches(clean)):
+        tree = _formatted(df).split("\n\n")[0].splitlines()
+        partial = tree[max(i for i, ln in enumerate(tree) if "Exchange" in ln) + 1:]     # below the first shuffle
+        assert any("HashAggregate" in ln for ln in partial) and not any("SortAggregate" in ln for ln in partial), partial
+
+
+def test_key_audit_shuffles_the_key_only(spark):
+    plan = _formatted(E.queries()["audit_constraints"](spark, SF001))
+    reads = [ln for b in plan.split("\n\n") if "fact_sales" in b for ln in b.splitlines() if ln.startswith("ReadSchema")]
+    assert any(ln.startswith("ReadSchema: struct<sales_id:bigint>") for ln in reads), reads
+
+
 def test_fact_build_from_clean_lines_is_narrow(spark):
     from tillroll.operators.fact import fact_sales
     from tillroll.plans.warehouse import open_star

@@ -1,5 +1,6 @@
 """Command line: ``python -m tillroll <command> …``.
 
+  split     --raw PATH --extracts DIR --uk-cutoff DATE   split raw CSV data into six regional extracts
   etl       --extracts DIR --warehouse DIR       load six regional CSV extracts into a star
   sql       --warehouse DIR --query TEXT         run Spark SQL over the star's views
   forecast  --warehouse DIR --out DIR [--fmt csv|parquet]
@@ -9,13 +10,19 @@ from __future__ import annotations
 
 import argparse
 
-from .plans.app import open_warehouse, register_views, run_etl, run_forecast
+from .plans.app import open_warehouse, register_views, rejected, run_etl, run_forecast
 from .session import get_session
+from .sources.raw import split_extract
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="tillroll")
     sub = ap.add_subparsers(dest="cmd", required=True)
+    s = sub.add_parser("split")
+    s.add_argument("--raw", required=True)
+    s.add_argument("--extracts", required=True)
+    s.add_argument("--uk-cutoff", required=True, help="first day of the second UK extract")
+    s.add_argument("--multi-line", action="store_true", help="fields hold quoted line breaks")
     e = sub.add_parser("etl")
     e.add_argument("--extracts", required=True)
     e.add_argument("--warehouse", required=True)
@@ -31,9 +38,12 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
 
     spark = get_session(args.master)
-    if args.cmd == "etl":
+    if args.cmd == "split":
+        split_extract(spark, args.raw, args.extracts, args.uk_cutoff, multi_line=args.multi_line)
+    elif args.cmd == "etl":
         star = run_etl(spark, args.extracts, args.warehouse)
         print(f"star written to {star.base}")
+        rejected(star).orderBy("source_rank", "reason").show(truncate=False)
     elif args.cmd == "sql":
         register_views(spark, open_warehouse(spark, args.warehouse))
         spark.sql(args.query).show(args.rows, truncate=False)

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import forecast as I
-from ..session import join_path, spread_if_narrow
-from ..sources.raw import read_sources
+from ..session import join_path
+from ..sources.raw import read_sources, with_line_id
 from ..sources.sinks import write_forecast
 from .warehouse import Star, _read_star, build_star
 
@@ -24,19 +24,29 @@ STAR_TABLES = {"dim_date": "dim_date", "dim_customers": "dim_customers",
                "fact_sales": "fact"}
 
 
-def raw_from_extracts(spark: SparkSession, extracts: str) -> DataFrame:
-    """All six extracts (each must exist), with a line id taken right after the
-    scan (stable per file split) and spread over the cores if the scan is narrow."""
-    raw = read_sources(spark, extracts).withColumn("line_id", F.monotonically_increasing_id())
-    return spread_if_narrow(raw)
+def raw_from_extracts(spark: SparkSession, extracts: str, **read) -> DataFrame:
+    """All six extracts (each must exist), with a line id that depends on the lines alone."""
+    return with_line_id(read_sources(spark, extracts, **read))
 
 
-def run_etl(spark: SparkSession, extracts: str, warehouse: str) -> Star:
-    """Extract → clean → dimensions and fact, written under ``warehouse``."""
-    build_star(spark, raw_from_extracts(spark, extracts), warehouse)
+def run_etl(spark: SparkSession, extracts: str, warehouse: str, **read) -> Star:
+    """Extract → clean → dimensions and fact, written under ``warehouse``.  ``read``
+    are the options of ``read_sources``."""
+    build_star(spark, raw_from_extracts(spark, extracts, **read), warehouse)
     return open_warehouse(spark, warehouse)
 
 
+def rejected(star: Star) -> DataFrame:
+    """Lines that cleaning turned away, by source and reason: a date layout that no
+    format fits shows as a whole source without a date."""
+    reason = (F.when(F.col("status") != "quarantined", F.col("status"))
+               .when(F.col("invoice").isNull(), "no invoice").when(F.col("invoice_date").isNull(), "no date")
+               .when(F.col("quantity").isNull(), "no quantity").when(F.col("country").isNull(), "no country")
+               .otherwise("amount out of range"))
+    return (star.lines.where("status <> 'clean'")
+            .groupBy("source_rank", reason.alias("reason")).agg(F.count(F.lit(1)).alias("rows")))
+
+
 def open_warehouse(spark: SparkSession, warehouse: str) -> Star:
     return _read_star(spark, warehouse, sf_dir="")
 
@@ -51,10 +61,16 @@ def register_views(spark: SparkSession, star: Star, prefix: str = "") -> list[st
     return names
 
 
-def run_forecast(star: Star, out: str, fmt: str = "csv", per_country: bool = True) -> dict:
-    """Write the 13-week projection and the holdout scores next to each other."""
+def run_forecast(star: Star, out: str, fmt: str = "csv", per_country: bool = True, steps=I.GRID_STEPS) -> dict:
+    """Write the 13-week projection, the holdout scores and the fits: in-sample figures,
+    chosen parameters, and a status for every series, also the skipped ones."""
     series = I.gap_fill(I.weekly_series(star, per_country=per_country))
-    write_forecast(I.forecast_future(series), join_path(out, "forecast_projections"), fmt)
-    write_forecast(I.evaluate_holdout(series), join_path(out, "forecast_scores"), fmt)
-    return {"projections": join_path(out, "forecast_projections"),
-            "scores": join_path(out, "forecast_scores")}
+    fits = I.fit(series, I.ANNUAL_SEASON, steps=steps)
+    spark = series.sparkSession
+    state = join_path(out, "forecast_state")
+    fits.write.mode("overwrite").parquet(state)
+    fits = spark.read.parquet(state)
+    write_forecast(I.future_of(fits), join_path(out, "forecast_projections"), fmt)
+    write_forecast(I.evaluate_holdout(series, steps=steps), join_path(out, "forecast_scores"), fmt)
+    write_forecast(fits.select(*I.FIT_FIGURES), join_path(out, "forecast_fits"), fmt)
+    return {name: join_path(out, f"forecast_{name}") for name in ("projections", "scores", "fits")}

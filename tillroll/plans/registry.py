@@ -18,10 +18,10 @@ from ..operators import measures as M
 from ..operators import report as H
 from ..operators import timeintel as TI
 from ..schemas import FACT_COLUMNS
-from ..session import join_path
+from ..session import checkpoint_base, join_path
 from ..sources import fixtures as FX
 from ..sources import raw as RW
-from .warehouse import open_extracts, open_star, write_star
+from .warehouse import load_star, open_extracts, open_fit, open_star
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -72,6 +72,12 @@ def _segments(spark, sf):
 
 @query("audit_duplicates")
 def _dups(spark, sf):
+    return D.audit_duplicates(open_star(spark, sf).fact, limit=100)
+
+
+@query("audit_duplicates_all")
+def _dups_all(spark, sf):
+    """The same five keys, the whole listing."""
     return D.audit_duplicates(open_star(spark, sf).fact)
 
 
@@ -109,7 +115,7 @@ def _constraints(spark, sf):
 def _dups_line(spark, sf):
     """Whole duplicate listing on line-level keys (invoice, day, time of day)."""
     return D.audit_duplicates(open_star(spark, sf).fact,
-                              keys=("invoice_no", "date_key", "transaction_time"), limit=None)
+                              keys=("invoice_no", "date_key", "transaction_time"))
 
 
 # ---------------------------------------------------------------- measures (F)
@@ -139,12 +145,18 @@ def _pm(spark, sf):
 
 @query("m_sssg")
 def _sssg(spark, sf):
+    return TI.same_store(open_star(spark, sf), whole_months=True)
+
+
+@query("m_sssg_aligned")
+def _sssg_aligned(spark, sf):
+    """Like for like: the open last month against the same days a year earlier."""
     return TI.same_store(open_star(spark, sf))
 
 
 @query("m_ytd")
 def _ytd(spark, sf):
-    return TI.ytd(open_star(spark, sf))
+    return TI.ytd(open_star(spark, sf), whole_months=True)
 
 
 @query("m_retention")
@@ -152,10 +164,38 @@ def _ret(spark, sf):
     return TI.retention(open_star(spark, sf))
 
 
+@query("m_prev_month_by_country")
+def _pm_country(spark, sf):
+    return M.evaluate(open_star(spark, sf), ("net_sales", "net_sales_pm", "mom_growth"), by=("country",))
+
+
+@query("m_ytd_by_region")
+def _ytd_region(spark, sf):
+    return TI.ytd(open_star(spark, sf), by=("region",), whole_months=True)
+
+
+@query("m_sssg_sliced")
+def _sssg_sliced(spark, sf):
+    return TI.same_store(open_star(spark, sf), where={"region": "EUROPE", "year": (1997, 1998)}, whole_months=True)
+
+
+@query("m_retention_by_country")
+def _ret_country(spark, sf):
+    return M.evaluate(open_star(spark, sf), ("customers_prev", "customers_retained", "retention_rate"), by=("country",))
+
+
+@query("m_core_monthly")
+def _core_monthly(spark, sf):
+    return M.evaluate(open_star(spark, sf), _BY_COUNTRY["m_core"], by=("year", "month"))
+
+
 # ---------------------------------------------------------------- dashboard (G)
 
+# The slicer state that dash_sliced shows.
+PAGE_SLICERS = {"date_key": (19970101, 19981231), "country": ["United Kingdom", "Germany", "France"]}
+
 for _k, _fn in {"dash_cards": G.cards, "dash_trend": G.trend, "dash_region_share": G.region_share,
-                "dash_country": G.country_sales, "dash_sliced": G.sliced_cards,
+                "dash_country": G.country_sales, "dash_sliced": lambda star: G.sliced_cards(star, PAGE_SLICERS),
                 "dash_product_matrix": G.product_matrix, "dash_price_qty": G.price_quantity,
                 "dash_guest_split": G.guest_split}.items():
     QUERIES[_k] = (lambda fn: lambda spark, sf: fn(open_star(spark, sf)))(_fn)
@@ -210,7 +250,7 @@ def _clean_nan(spark, sf):
 @query("clean_flat")
 def _clean_flat(spark, sf):
     """Cleaning as one lazy plan straight from the driver tables."""
-    return _money_out(B.clean_flat(B.clean_lines(FX.raw_from_driver_tables(spark, sf))))
+    return _money_out(B.clean_flat_from_raw(FX.raw_from_driver_tables(spark, sf)))
 
 
 @query("sink_clean")
@@ -259,8 +299,8 @@ def _dim_dedupe(spark, sf):
 
 @query("fact_build")
 def _fact_build(spark, sf):
-    """Fact builder as one lazy plan from the driver tables."""
-    clean = B.clean_only(B.clean_lines(FX.raw_from_driver_tables(spark, sf)))
+    """Fact builder over the cleaned lines, branches numbered from the same lines."""
+    clean = open_star(spark, sf).clean
     return _money_out(FT.fact_sales(clean, DM.dim_branches(clean)).select(*FACT_COLUMNS))
 
 
@@ -271,9 +311,8 @@ def _bi(spark, sf):
 
 @query("sink_star")
 def _sink_star(spark, sf):
-    star = open_star(spark, sf)
-    path = join_path(star.base, "warehouse_load")
-    write_star(star, path)
+    """The star loaded into a warehouse folder of its own for each call, read back."""
+    path = load_star(open_star(spark, sf), join_path(checkpoint_base(spark), "tillroll-warehouse"))
     return _money_out(spark.read.parquet(join_path(path, "fact_sales")).select(*FACT_COLUMNS))
 
 
@@ -310,23 +349,32 @@ def _hw_fixed(spark, sf):
     return I.fit_fixed(_filled(spark, sf), I.VALIDATION_SEASON, I.FIXED_PARAMS)
 
 
+def _validation_fit(spark, sf):
+    return open_fit(spark, sf, "fit-validation",
+                    lambda: I.fit(_filled(spark, sf), I.VALIDATION_SEASON, train_only=True))
+
+
+def _annual_fit(spark, sf):
+    return open_fit(spark, sf, "fit-annual", lambda: I.fit(_filled(spark, sf), I.ANNUAL_SEASON))
+
+
 @query("hw_grid")
 def _hw_grid(spark, sf):
-    return I.fit(_filled(spark, sf), I.VALIDATION_SEASON, train_only=True).select(
+    return _validation_fit(spark, sf).select(
         "series_key", "n", "status", "level", "trend", "sse", "alpha", "beta", "gamma")
 
 
 @query("forecast_eval")
 def _feval(spark, sf):
-    return I.evaluate_holdout(_filled(spark, sf))
+    return I.score(_validation_fit(spark, sf), _filled(spark, sf))
 
 
 @query("hw_annual")
 def _hw_annual(spark, sf):
-    return I.fit(_filled(spark, sf), I.ANNUAL_SEASON).select(
-        "series_key", "n", "status", "sse", "mae_in_sample", "alpha", "beta", "gamma")
+    return _annual_fit(spark, sf).select(*I.FIT_FIGURES)
 
 
 @query("forecast_future")
 def _ffuture(spark, sf):
-    return I.forecast_future(_filled(spark, sf))
+    """Projected weeks, and a row with its status for every series too short to fit."""
+    return I.future_of(_annual_fit(spark, sf))

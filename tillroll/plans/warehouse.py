@@ -6,18 +6,22 @@ cuts the lineage (a lost executor recomputes from parquet, not from the raw
 joins), lets later queries use parquet pushdown/pruning, and mirrors the
 reference's ETL-then-warehouse flow.
 
-Physical layout of the fact: every write task sorts its rows by ``date_key``
-before writing (a local sort, no shuffle), so each parquet row group covers a
-narrow date range and date slicers skip row groups by their min/max statistics.
-A global range shuffle of the whole fact would buy little more at the price of
-re-shuffling the largest table once per load.
+Physical layout of the fact: partitioned by month (``sales_month``, YYYYMM), sorted
+by ``date_key`` inside.  Rows are dealt by month before the write, and Spark splits a
+large month and joins small ones (a rebalance), so a month is a few files of a useful
+size.  Date slicers become filters on the partition column and read their months only.
+
+A build is kept per inputs and code version; ``prune_builds`` removes those that newer
+ones replaced.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
+import importlib
+import inspect
 import threading
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -28,7 +32,9 @@ from pyspark.sql import functions as F
 from ..operators import clean as C
 from ..operators import dims as D
 from ..operators.fact import fact_sales
+from ..schemas import MONTH_PARTITION
 from ..session import checkpoint_base, join_path
+from ..sources.sinks import write_clean
 from ..sources.fixtures import raw_from_driver_tables
 
 
@@ -46,49 +52,63 @@ class Star:
 
 
 REPORT_FIELDS = ("rows_in", "quarantined", "dropped_price", "dropped_quantity", "rows_out")
-_LOCK = threading.Lock()
-_STARS: dict = {}
+_LOCK = threading.RLock()      # a fit that is being built opens the star
 
 
 def _code_fingerprint() -> str:
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    """Version of the code that decides a build's content, also when the package is a zip."""
     h = hashlib.sha1()
-    for sub in ("sources", "operators/clean.py", "operators/dims.py", "operators/fact.py",
-                "plans/warehouse.py", "functions", "schemas.py", "session.py"):
-        p = os.path.join(root, sub)
-        files = [p] if p.endswith(".py") else sorted(
-            os.path.join(p, f) for f in os.listdir(p) if f.endswith(".py"))
-        for f in files:
-            with open(f, "rb") as fh:
-                h.update(fh.read())
+    for name in ("sources.raw", "sources.fixtures", "operators.clean", "operators.dims", "operators.fact",
+                 "operators.forecast", "plans.warehouse", "functions.text", "functions.dates", "schemas"):
+        h.update(inspect.getsource(importlib.import_module(f"tillroll.{name}")).encode())
     return h.hexdigest()[:12]
 
 
 def _input_fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Qualified path plus name/size/modification time of every input file, read
-    through the Hadoop FileSystem of the path (local, HDFS, object stores)."""
+    """Qualified path plus name, size and modification time of every input file at any
+    depth, read through the Hadoop FileSystem of the path (local, HDFS, object stores)."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(sf_dir)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    parts = [str(fs.makeQualified(path))]
+    parts = []
     if fs.exists(path):
-        for st in sorted(fs.listStatus(path), key=lambda x: str(x.getPath().getName())):
-            parts.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
-    return "|".join(parts)
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            st = files.next()
+            parts.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
+    return "|".join([str(fs.makeQualified(path)), *sorted(parts)])
 
 
-_KEYS: dict = {}
+def _key_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of all builds for these inputs and this code version.  The inputs are
+    listed on every call, so a changed part file is seen at once."""
+    key = hashlib.sha1(f"{_input_fingerprint(spark, sf_dir)}|{_code_fingerprint()}".encode())
+    return join_path(checkpoint_base(spark), "tillroll-star", key.hexdigest()[:16])
 
 
-def _key_dir(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of all builds for these inputs and this code version (the
-    fingerprints are taken once per process and input folder)."""
-    base = checkpoint_base(spark)
-    memo = (base, sf_dir)
-    if memo not in _KEYS:
-        key = hashlib.sha1(f"{_input_fingerprint(spark, sf_dir)}|{_code_fingerprint()}".encode())
-        _KEYS[memo] = join_path(base, "tillroll-star", key.hexdigest()[:16])
-    return _KEYS[memo]
+def prune_builds(spark: SparkSession, older_than_days: float) -> list[str]:
+    """Remove builds that a newer one of the same name and inputs replaced, and folders of
+    inputs or code versions without a build since, when they are older than the given
+    age (no running application should still read them).  Returns the removed paths."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(join_path(checkpoint_base(spark), "tillroll-star"))
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    limit = (time.time() - older_than_days * 86400) * 1000
+    removed = []
+    if not fs.exists(root):
+        return removed
+    for key in fs.listStatus(root):
+        inside = list(fs.listStatus(key.getPath()))
+        current = {_current(spark, str(key.getPath()), st.getPath().getName().removeprefix("_current_"))
+                   for st in inside if st.getPath().getName().startswith("_current_")}
+        kept = {p.rstrip("/").rsplit("/", 1)[-1] for p in current if p}
+        for st in inside:
+            name = st.getPath().getName()
+            if name.startswith("_current_") or name in kept or st.getModificationTime() > limit:
+                continue
+            fs.delete(st.getPath(), True)
+            removed.append(str(st.getPath()))
+    return removed
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -123,19 +143,23 @@ def _materialize(spark: SparkSession, sf_dir: str, name: str, build, rebuild: bo
     applications sharing the checkpoint folder — reuse the completed build.
     Each build writes to its own folder, so concurrent builders never mix."""
     key_dir = _key_dir(spark, sf_dir)
-    memo = (key_dir, name)
     with _LOCK:
-        if not rebuild and memo in _STARS:
-            return _STARS[memo]
         path = None if rebuild else _current(spark, key_dir, name)
         if path is None:
             path = join_path(key_dir, f"{name}-{uuid.uuid4().hex[:12]}")
             build(path)
             _publish(spark, key_dir, name, path)
-        _STARS[memo] = path
         return path
 
 
+def write_fact(fact: DataFrame, path: str) -> None:
+    """The fact partitioned by month, sorted by day inside its files."""
+    by_month = fact.withColumn(MONTH_PARTITION, F.floor(F.col("date_key") / 100).cast("int"))
+    (by_month.hint("rebalance", MONTH_PARTITION)
+     .sortWithinPartitions(MONTH_PARTITION, "date_key", "sales_id")
+     .write.mode("overwrite").partitionBy(MONTH_PARTITION).parquet(path))
+
+
 def build_star(spark: SparkSession, raw: DataFrame, base: str) -> None:
     """Run the ETL and write every table under ``base``.
 
@@ -146,7 +170,7 @@ def build_star(spark: SparkSession, raw: DataFrame, base: str) -> None:
     # second pass) and kept with the completion marker.
     observed = Observation("clean_report")
     lines = C.clean_lines(raw).observe(observed, *C.report_columns())
-    lines.write.mode("overwrite").partitionBy("status").parquet(join_path(base, "lines"))
+    write_clean(lines, join_path(base, "lines"))
     clean = C.clean_only(spark.read.parquet(join_path(base, "lines")))
 
     def write(df: DataFrame, name: str, single_file: bool = False) -> None:
@@ -156,8 +180,7 @@ def build_star(spark: SparkSession, raw: DataFrame, base: str) -> None:
         write(D.dim_branches(clean), "dim_branches", single_file=True)
         branches = spark.read.parquet(join_path(base, "dim_branches"))
         fact = fact_sales(clean, branches)
-        (fact.sortWithinPartitions("date_key", "sales_id")
-             .write.mode("overwrite").parquet(join_path(base, "fact_sales")))
+        write_fact(fact, join_path(base, "fact_sales"))
 
     jobs = [branches_then_fact,
             lambda: write(D.dim_date(clean), "dim_date", single_file=True),
@@ -213,8 +236,17 @@ def open_extracts(spark: SparkSession, sf_dir: str) -> str:
                         lambda path: write_sources(raw_from_driver_tables(spark, sf_dir), path))
 
 
-def write_star(star: Star, path: str) -> None:
-    """Warehouse load into ``path``: dimensions first, the fact last."""
+def load_star(star: Star, folder: str) -> str:
+    """Warehouse load into a new place under ``folder``: dimensions first, the fact last.
+    Returns the path; earlier loads stay as they are."""
+    path = join_path(folder, f"load-{uuid.uuid4().hex[:12]}")
     for name in ("dim_date", "dim_customers", "dim_products", "dim_branches"):
-        getattr(star, name).write.mode("overwrite").parquet(join_path(path, name))
-    star.fact.write.mode("overwrite").parquet(join_path(path, "fact_sales"))
+        getattr(star, name).write.parquet(join_path(path, name))
+    write_fact(star.fact, join_path(path, "fact_sales"))
+    return path
+
+
+def open_fit(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A fit that several queries read, searched once per inputs and code version."""
+    path = _materialize(spark, sf_dir, name, lambda p: build().write.parquet(p))
+    return spark.read.parquet(path)

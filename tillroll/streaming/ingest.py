@@ -3,9 +3,11 @@
 The batch ETL reads all six extracts at once.  When extracts keep landing as
 new CSV files (``<landing>/source=<name>/*.csv``), the same typing and cleaning
 run as a file-source stream: the checkpoint remembers which files were
-processed, each micro-batch is cleaned and appended to the ``lines`` table
-(partitioned by ``status``), and ``availableNow`` processes whatever is there
-and stops — a scheduled incremental load rather than a long-running server.
+processed, each micro-batch is cleaned and written to its own ``batch_id=<n>``
+folder of the ``lines`` table (partitioned by ``status`` below), and
+``availableNow`` processes whatever is there and stops — a scheduled incremental
+load rather than a long-running server.  A batch that is replayed after a failure
+overwrites its own folder, so no line is written twice.
 
 ``line_id`` is unique within a micro-batch; ``batch_id`` completes the key.
 """
@@ -18,30 +20,29 @@ from pyspark.sql import types as T
 
 from ..operators.clean import clean_lines
 from ..schemas import RAW_HEADER
-from ..sources.raw import _CSV_OPTS, source_rank_of, type_raw
+from ..sources.raw import _CSV_OPTS, source_rank_of, type_raw, with_line_id
 
 LANDING_SCHEMA = T.StructType([T.StructField(h, T.StringType()) for h in RAW_HEADER]
                               + [T.StructField("source", T.StringType())])
 
 
-def cleaned_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def landed_lines(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(LANDING_SCHEMA).options(**_CSV_OPTS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = type_raw(reader.csv(landing_dir))
     raw = raw.withColumn("source_rank", source_rank_of(F.col("source")))
-    return clean_lines(raw)
+    return raw
 
 
 def ingest_extracts(spark: SparkSession, landing_dir: str, lines_path: str, checkpoint: str,
-                    available_now: bool = True):
+                    available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start (and, with ``available_now``, finish) an incremental load."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-              .withColumn("line_id", F.monotonically_increasing_id())
-              .write.mode("append").partitionBy("status").parquet(lines_path))
+        (clean_lines(with_line_id(batch)).write.mode("overwrite").partitionBy("status")
+         .parquet(f"{lines_path.rstrip('/')}/batch_id={batch_id}"))
 
-    writer = (cleaned_stream(spark, landing_dir).writeStream
+    writer = (landed_lines(spark, landing_dir, max_files_per_trigger).writeStream
               .foreachBatch(write_batch).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
