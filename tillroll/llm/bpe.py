@@ -28,7 +28,7 @@ from .common import slices
 
 NONE = np.int64(1 << 40)
 SHORT = 64                # bytes up to which pieces are merged together, by equal length
-MAX_WORDS = 600_000       # cached words of a worker; the cache is emptied and refilled beyond that
+MAX_WORDS = 1_000_000     # cached words of a worker; the cache is emptied and refilled beyond that
 
 
 def default_vocabulary() -> str:
@@ -90,7 +90,6 @@ class WordBPE:
             if len(raw) == 1 or self.merge(raw, end) == [i]:     # a token that BPE can reach
                 (self.final if end else self.inner)[raw] = i
         self.words: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
         self.first_of, self.last_of = np.array(self.first, np.int64), np.array(self.last, np.int64)
         self.made = np.array([z for _, z in self.rank.values()], np.int64)
         self.grow_tree()
@@ -266,20 +265,18 @@ class WordBPE:
     def _bytes(ids: list[int]) -> bytes:
         return pack(f"<{len(ids)}I", *ids)
 
-    def learn(self, words: set[str]) -> None:
-        """Put the ids of new white-space words into the cache."""
-        if len(self.words) + len(words) > MAX_WORDS:
-            self.words.clear()
-            self.known.clear()
-        new = words - self.words.keys()
-        if not new:
-            return
-        cut = {w: self.pieces(w) for w in new}
-        fresh = list({p for ps in cut.values() for p in ps} - self.known.keys())
-        self.known.update(zip(fresh, self.encode_pieces(fresh)))
-        known = self.known
+    def learn(self, new: set[str]) -> None:
+        """Put the ids of new white-space words into the cache, and of the pieces that they are cut into."""
+        words = self.words
+        if len(words) + len(new) > MAX_WORDS:
+            words.clear()
+        cut = {w: ps for w in new if (ps := self.pieces(w)) != [w]}
+        fresh = [w for w in new if w not in cut]
+        fresh += {p for ps in cut.values() for p in ps if p not in words and p not in new} | (
+            {p for ps in cut.values() for p in ps} & cut.keys())
+        words.update(zip(fresh, self.encode_pieces(fresh)))
         for w, ps in cut.items():
-            self.words[w] = known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])
+            words[w] = words[ps[0]] if len(ps) == 1 else b"".join([words[p] for p in ps])
 
     def _split(self, text: str) -> list[str]:
         """Normalised white-space words; special-token strings stand alone, marked by a leading NUL NUL."""
@@ -300,13 +297,18 @@ class WordBPE:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids (little-endian unsigned 32-bit) of each text."""
         split = [self._split(t) for t in texts]
-        words = set().union(*split) if split else set()
-        marked = {w for w in words if w.startswith("\0\0<|") and w[2:] in self.special}
-        self.learn(words - marked)
-        for w in marked:
-            self.words[w] = self._bytes([self.special[w[2:]]])
-        get = self.words.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        get = self.words.get
+        ids = [list(map(get, ws)) for ws in split]
+        gaps = [(ws, got, k) for ws, got in zip(split, ids) for k in _gaps(got)]
+        if gaps:
+            missing = {ws[k] for ws, _, k in gaps}
+            marked = [w for w in missing if w.startswith("\0\0<|") and w[2:] in self.special]
+            self.learn(missing.difference(marked))
+            for w in marked:
+                self.words[w] = self._bytes([self.special[w[2:]]])
+            for ws, got, k in gaps:
+                got[k] = self.words[ws[k]]
+        return list(map(b"".join, ids))
 
     def decode(self, ids: bytes) -> str:
         """The tokens' names joined by spaces, as a tokenizer without a decoder gives them."""
@@ -314,6 +316,17 @@ class WordBPE:
         return " ".join([names[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
+def _gaps(got: list) -> list[int]:
+    """Where ``got`` is None."""
+    out, k = [], -1
+    try:
+        while True:
+            k = got.index(None, k + 1)
+            out.append(k)
+    except ValueError:
+        return out
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> WordBPE:
     """The vocabulary at ``path``, read once in each Python worker."""

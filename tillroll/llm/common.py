@@ -23,7 +23,7 @@ def text_of(col) -> F.Column:
     return F.coalesce(col, F.lit(""))
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut an Arrow batch into runs of rows whose texts hold about ``limit`` bytes.
 
     A row is never cut: one very long text is a run of its own.  Whole rows of
