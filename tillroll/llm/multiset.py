@@ -30,18 +30,27 @@ def paragraphs(text: Column) -> Column:
 
 
 def fingerprint(parts: Column) -> Column:
-    """Array of integers: the number of paragraphs, then the lanes, three in each."""
-    sums = []
-    for salt in SALTS:
-        hashes = F.transform(parts, (lambda s: lambda p: F.xxhash64(F.concat(F.lit(s), p) if s else p))(salt))
-        sums.append(F.transform(F.sequence(F.lit(0), F.lit(STRIDE - 1)), (lambda h: lambda j: F.aggregate(
-            h, F.lit(0).cast("long"),
-            lambda acc, x: (acc + F.call_function("shiftrightunsigned", x, j).bitwiseAND(ONES)).bitwiseAND(MASK)))(hashes)))
-    return F.concat(F.array(F.size(parts).cast("long")), *sums)
+    """Array of integers: the number of paragraphs, then the lanes, three in each.
+
+    One fold over the paragraphs' hashes adds all lanes at once; the paragraphs are
+    found and hashed once.
+    """
+    hashes = F.transform(parts, lambda p: F.struct(
+        *(F.xxhash64(F.concat(F.lit(s), p) if s else p).alias(f"h{i}") for i, s in enumerate(SALTS))))
+    lanes = [(i, j) for i in range(len(SALTS)) for j in range(STRIDE)]
+    zero = F.lit(0).cast("long")
+    start = F.struct(zero.alias("n"), *(zero.alias(f"l{i}_{j}") for i, j in lanes))
+
+    def add(acc, x):
+        one = lambda i, j: F.shiftrightunsigned(x[f"h{i}"], j).bitwiseAND(F.lit(ONES))
+        return F.struct((acc["n"] + 1).alias("n"), *(
+            (acc[f"l{i}_{j}"] + one(i, j)).bitwiseAND(F.lit(MASK)).alias(f"l{i}_{j}") for i, j in lanes))
+
+    return F.aggregate(hashes, start, add, lambda acc: F.array(acc["n"], *(acc[f"l{i}_{j}"] for i, j in lanes)))
 
 
 def insert(one: Column, other: Column) -> Column:
-    """Fingerprint of the two multisets together."""
+    """Fingerprint of the two multisets together.  Both arguments are columns that hold fingerprints already."""
     return _merge(one, other, lambda a, b: (a + b).bitwiseAND(MASK), 1)
 
 
