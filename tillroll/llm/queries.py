@@ -45,6 +45,48 @@ def _op1(spark, sf_dir):
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def _secrets_sql(max_owners: int = 3) -> str:
+    """The scan as SQL: matches and the text between them give positions by running sums of lengths."""
+    words = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
+                     for w in ("password", "passwd", "secret", "token", "api_?key"))
+    assign = f"({words})[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+    patterns = (assign, secrets.ACCESS, secrets.HEX, "[A-Za-z0-9+/_=-]{12,}")
+    places = " UNION ALL ".join(f"""
+        SELECT rid, {kind} AS kind, unnest(ms) AS s, unnest(gs[1:len(ms)]) AS g, unnest(range(1, len(ms) + 1)) AS i
+        FROM (SELECT rid, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS gs FROM d)"""
+                                for kind, p in enumerate(patterns))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner,
+                  concat_ws('/', source, lang) AS repo FROM documents),
+m AS (SELECT *, sum(length(g) + length(s)) OVER (PARTITION BY rid, kind ORDER BY i) AS e FROM ({places})),
+spans AS (SELECT rid, kind, CAST(e - length(s) AS BIGINT) AS b, CAST(e AS BIGINT) AS e,
+                 CASE WHEN kind = 0 THEN regexp_extract(s, '{assign}', 2) ELSE s END AS v FROM m),
+found AS (SELECT *, substr(sha256(rtrim(v, '.')), 1, 32) AS h FROM spans
+          WHERE CASE WHEN kind = 0 THEN length(v) >= 12 WHEN kind = 3 THEN regexp_matches(v, '[0-9]') ELSE true END),
+kept AS (SELECT * FROM found f WHERE kind < 3 OR NOT EXISTS (
+           SELECT 1 FROM found o WHERE o.rid = f.rid AND o.kind < 3 AND o.b < f.e AND o.e > f.b)),
+verdicts AS (
+  SELECT h, CASE WHEN count(DISTINCT owner) > {max_owners} THEN 'copied' WHEN bool_or(live) THEN 'live' ELSE 'weak' END AS verdict
+  FROM (SELECT k.*, d.owner,
+               regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= 8
+               AND NOT regexp_matches(v, '(?i)example|sample|dummy|changeme|placeholder|xxxx|1234567890')
+               AND len(list_filter(range(1, length(v) - 4), lambda j: replace(substr(v, j, 6), substr(v, j, 1), '') = '')) = 0 AS live
+        FROM kept k JOIN d USING (rid)) x
+  GROUP BY h HAVING bool_or(kind < 3)),
+shown AS (SELECT k.rid, k.kind, k.b, k.e, w.verdict,
+                 (['assign', 'access', 'hex', 'owned'])[k.kind + 1] || ':' || k.b || ':' || k.e AS span
+          FROM kept k LEFT JOIN verdicts w USING (h) WHERE k.kind < 3 OR w.verdict = 'live')
+SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY b, kind) FILTER (kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY b, kind), '') AS spans,
+       count(*) FILTER (kind < 3 AND verdict = 'live') AS n_live, count(*) FILTER (kind < 3 AND verdict = 'copied') AS n_copied
+FROM d LEFT JOIN shown USING (rid) GROUP BY d.rid, d.doc_id
+"""
+
+
+ORACLE["op1_secrets"] = _secrets_sql()
+
+
 @query("op4_chat")
 def _op4(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
