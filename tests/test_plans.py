@@ -120,3 +120,26 @@ def test_fact_build_from_clean_lines_is_narrow(spark):
 def test_retention_has_no_self_join(spark):
     plan = _formatted(E.queries()["m_retention"](spark, SF001))
     assert "SortMergeJoin" not in plan and "Window" in plan
+
+
+def test_guest_rows_spread_before_the_customer_join(spark):
+    """With the broadcast switched off, no task of the join gets the guest's quarter of the rows."""
+    from pyspark.sql import functions as F
+    from tillroll.operators.fact import with_customer_country
+    from tillroll.plans.warehouse import open_star
+    s = open_star(spark, SF001)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in zip(keys, ("-1", "false", "40")):
+            spark.conf.set(k, v)
+        df = with_customer_country(s.fact, s.dim_customers)
+        sizes = sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        assert "SortMergeJoin" in _formatted(df)
+        assert sizes[-1] < 0.1 * sum(sizes)
+        plain = s.fact.join(s.dim_customers.select("customer_id", F.col("country").alias("customer_country")), "customer_id", "left")
+        count = lambda d: sorted(map(tuple, d.groupBy("customer_country").count().collect()))
+        assert count(df) == count(plain)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

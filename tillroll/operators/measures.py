@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_key, month_key
 from ..functions.ratios import dax_div
 from ..schemas import GUEST_CUSTOMER_ID, MONTH_PARTITION
+from .fact import with_customer_country
 
 DEFAULT_MARGIN = 0.40
 DEFAULT_GROWTH = 0.10
@@ -66,9 +67,7 @@ def context(star, columns=()) -> DataFrame:
     if "product" in need:
         f = f.join(star.dim_products.select("product_code", "product_name"), "product_code", "left")
     if "customer" in need:
-        f = f.join(star.dim_customers.select("customer_id",
-                                             F.col("country").alias("customer_country")),
-                   "customer_id", "left")
+        f = with_customer_country(f, star.dim_customers)
     return f
 
 
