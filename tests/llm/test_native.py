@@ -207,6 +207,14 @@ def test_next_document_over_many_ranges(spark):
     assert got == set(edited_of(rows))
 
 
+def test_ranges_between_cuts(spark):
+    keys = spark.range(-3, 60).withColumn("key", F.col("id") / 2)
+    for n in (0, 1, 2, 3, 7, 9, 10, 25):
+        cuts = [2 * i + 1 for i in range(n)]
+        rows = keys.select("key", multiset._cuts_below(cuts, F.col("key")).alias("n")).collect()
+        assert all(r.n == sum(c < r.key for c in cuts) for r in rows)
+
+
 def test_lanes_are_homomorphic(spark):
     parts = [prose(i, 8) for i in range(12)]
     df = spark.createDataFrame([(parts, parts[::-1], parts[:5], parts[5:])], "a array<string>, b array<string>, c array<string>, d array<string>")

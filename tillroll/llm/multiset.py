@@ -12,6 +12,8 @@ likeness of the two multisets.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,6 +92,20 @@ def likeness(a: Column, b: Column, sa: Column, sb: Column) -> Column:
     return F.when(a == b, 1.0).when(size == 0, 0.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), dot / size)))
 
 
+def _cuts_below(cuts: list, key: Column) -> Column:
+    """How many of the sorted cuts lie below the key, found among the cuts' blocks and then in one block."""
+    if not cuts:
+        return F.lit(0)
+    width = math.isqrt(len(cuts) - 1) + 1
+    blocks = [cuts[i:i + width] for i in range(0, len(cuts), width)]
+    literal = lambda values: F.array(*(F.lit(v) for v in values))
+    below = lambda values: F.size(F.filter(values, lambda c: c < key))
+    if len(blocks) == 1:
+        return below(literal(cuts))
+    block = below(literal(b[0] for b in blocks[1:]))
+    return block * width + below(F.element_at(F.array(*map(literal, blocks)), block + 1))
+
+
 def with_next(docs: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
     """Each row with ``next``, a struct of the carried columns of the row after it by id (after the last: the first).
 
@@ -103,7 +119,7 @@ def with_next(docs: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
     cuts = docs.agg(F.percentile_approx(id_col, [i / n for i in range(1, n)] or [0.5], 10_000).alias("c")).first()["c"] or []
     cuts = sorted(set(cuts))
     key = F.col(id_col)
-    inside = F.size(F.filter(F.array(*(F.lit(c) for c in cuts)), lambda c: c < key)) if cuts else F.lit(0)
+    inside = _cuts_below(cuts, key)
     ranged = docs.withColumn("__range", F.when(key.isNull(), -1).otherwise(inside))
     firsts = sorted(((r["__range"], r["first"]) for r in
                      ranged.groupBy("__range").agg(F.min(id_col).alias("first")).collect()), key=lambda x: x[0])
