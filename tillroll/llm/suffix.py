@@ -24,6 +24,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ WIDE = LENGTH - PIECE + 1    # anchor positions in a string
 BLOCK = 8                    # neighbouring strings that are looked at together
 SEGMENT = 1 << 20            # bytes of a document that are hashed at once
 SYMBOLS = 1 << 16            # symbols of one suffix array
+TOGETHER = 500_000           # anchors whose contexts meet inside a task
+ANCHOR_COLUMNS = ["anchor", "context", "doc_id", "text_hash", "lo", "left", "span"]
 
 
 # ------------------------------------------------------------------ suffix array
@@ -190,37 +193,65 @@ def anchors(raw: bytes) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 
 def anchor_rows(rows: DataFrame) -> DataFrame:
-    """(anchor, context, doc_id, text_hash, lo, left, span) for every anchor of every whole text.
+    """Every anchor of every whole text: (sure, many, deal, anchor, context, doc_id, text_hash, lo, left, span).
 
     The anchor's strings start at lo .. lo + span; the anchor itself ``left`` bytes
-    after lo.  ``context`` is a hash of the bytes that the strings cover.
+    after lo.  ``context`` is a hash of the bytes that the strings cover.  Equal
+    contexts within a task meet before the shuffle: one row stands for them (``many``),
+    and each is also a ``sure`` row, known to be repeated.  Rows that stand for a
+    context are dealt by anchor, sure ones evenly, so however many copies a passage
+    has, its anchor gets a row or two from each task.
     """
     def run(batches):
         digest = xxhash.xxh3_64_intdigest
+        held: list[pa.RecordBatch] = []
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
-                held = []
+                found = []
                 for row, raw in enumerate(part.column("text").cast(pa.binary()).to_pylist()):
                     if raw is None or len(raw) < LENGTH:
                         continue
                     for h, p, lo, hi in anchors(raw):
                         context = [digest(raw[a:b], c) for a, b, c in zip(lo.tolist(), (hi + LENGTH).tolist(), (p - lo).tolist())]
-                        held.append((h.view(np.int64), np.array(context, np.uint64).view(np.int64), np.full(len(h), row), lo, p - lo, hi - lo))
-                if held:
-                    h, context, row, lo, left, span = (np.concatenate(c) for c in zip(*held))
-                    yield pa.RecordBatch.from_arrays(
+                        found.append((h.view(np.int64), np.array(context, np.uint64).view(np.int64), np.full(len(h), row), lo, p - lo, hi - lo))
+                if found:
+                    h, context, row, lo, left, span = (np.concatenate(c) for c in zip(*found))
+                    held.append(pa.RecordBatch.from_arrays(
                         [pa.array(h), pa.array(context), part.column("doc_id").take(pa.array(row)), part.column("text_hash").take(pa.array(row)),
-                         pa.array(lo), pa.array(left.astype(np.int16)), pa.array(span.astype(np.int16))],
-                        names=["anchor", "context", "doc_id", "text_hash", "lo", "left", "span"])
+                         pa.array(lo), pa.array(left.astype(np.int16)), pa.array(span.astype(np.int16))], names=ANCHOR_COLUMNS))
+                if sum(b.num_rows for b in held) >= TOGETHER:
+                    yield from _met(held)
+                    held = []
+        if held:
+            yield from _met(held)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "text_hash", "text").mapInArrow(
-        run, f"anchor long, context long, doc_id {kind}, text_hash long, lo long, left short, span short")
+        run, "sure boolean, many boolean, deal long, anchor long, context long, "
+             f"doc_id {kind}, text_hash long, lo long, left short, span short")
+
+
+def _met(held: list[pa.RecordBatch]):
+    """One row for each distinct context, and a sure row for each member of a repeated one."""
+    table = pa.Table.from_batches(held).combine_chunks()
+    anchor, context = table.column("anchor").to_numpy(), table.column("context").to_numpy()
+    order = np.lexsort((context, anchor))
+    anchor, context = anchor[order], context[order]
+    first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1])]))
+    size = np.diff(np.concatenate([first, [len(order)]]))
+    for sure, at, many in ((False, order[first], size > 1), (True, order[np.repeat(size > 1, size)], None)):
+        rows = table.take(pa.array(at))
+        many = np.ones(len(at), bool) if many is None else many
+        spread = np.arange(len(at), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        deal = pa.array(spread.view(np.int64)) if sure else rows.column("anchor")
+        out = pa.Table.from_arrays([pa.array(np.full(len(at), sure)), pa.array(many), deal, *rows.columns],
+                                   names=["sure", "many", "deal", *ANCHOR_COLUMNS])
+        yield from out.combine_chunks().to_batches(max_chunksize=100_000)
 
 
 def _compare(batches):
     """Over rows sorted by anchor and context: rows of repeated contexts (ask false), and one row for each distinct
-    context of an anchor that has several (ask true; ``many`` if it is repeated).  Holds a batch and a row."""
+    context of an anchor that has several (ask true; ``many`` if it is repeated).  Sure rows pass.  Holds a batch and a row."""
     names = ["ask", "many", "anchor", "doc_id", "text_hash", "lo", "left", "span"]
     carry, before, first = None, None, None      # the last row, the key before it, an anchor's first distinct context
 
@@ -228,12 +259,18 @@ def _compare(batches):
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(rows.num_rows, ask)), pa.array(many), *(rows.column(c) for c in names[2:])], names=names)
 
-    for batch in chain((b for b in batches if b.num_rows), [None]):
+    for batch in chain(batches, [None]):
         if batch is None:
             if carry is None:
-                return
+                break
             rows, n = carry, 1
         else:
+            sure = batch.filter(batch.column("sure"))
+            if sure.num_rows:
+                yield give(sure, False, np.ones(sure.num_rows, bool))
+                batch = batch.filter(pc.invert(batch.column("sure")))
+            if not batch.num_rows:
+                continue
             rows = batch if carry is None else pa.Table.from_batches([carry, batch]).combine_chunks().to_batches()[0]
             n = rows.num_rows - 1
         anchor, context = rows.column("anchor").to_numpy(), rows.column("context").to_numpy()
@@ -246,18 +283,16 @@ def _compare(batches):
                 yield give(rows.take(pa.array(cover)), False, np.ones(len(cover), bool))
             fresh = np.flatnonzero(~as_prev)
             if len(fresh):
+                many = (as_next | rows.column("many").to_numpy(zero_copy_only=False)[:n])[fresh]
                 opens = np.concatenate([[before is None or before[0] != anchor[0]], anchor[1:] != anchor[:-1]])[fresh]
                 if first is not None and not opens[0]:
                     yield give(first[0], True, np.array([first[1]]))
                     first = None
                 joined = np.concatenate([~opens[1:], [False]])
-                ask = fresh[~opens | joined]
-                if len(ask):
-                    yield give(rows.take(pa.array(ask)), True, as_next[ask])
-                if opens[-1]:
-                    first = (rows.slice(int(fresh[-1]), 1), bool(as_next[fresh[-1]]))
-                elif opens.any() or not opens[0]:
-                    first = None
+                ask = ~opens | joined
+                if ask.any():
+                    yield give(rows.take(pa.array(fresh[ask])), True, many[ask])
+                first = (rows.slice(int(fresh[-1]), 1), bool(many[-1])) if opens[-1] else None
             before = (anchor[n - 1], context[n - 1])
         carry = rows.slice(n, 1) if n < rows.num_rows else None
 
@@ -383,7 +418,7 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def compared(rows: DataFrame) -> DataFrame:
     """By document: the strings that surely repeat (sure), and the contexts to be looked at byte by byte (asks)."""
     kind = rows.schema["doc_id"].dataType.simpleString()
-    dealt = anchor_rows(rows).repartition("anchor").sortWithinPartitions("anchor", "context")
+    dealt = anchor_rows(rows).repartition("deal").sortWithinPartitions("sure", "anchor", "context")
     judged = dealt.mapInArrow(_compare, "ask boolean, many boolean, anchor long, "
                                         f"doc_id {kind}, text_hash long, lo long, left short, span short")
     by_doc = judged.groupBy("doc_id", "text_hash").agg(
