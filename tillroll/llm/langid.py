@@ -159,15 +159,18 @@ def labelled_words(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
     Documents and words are chosen by hash, from the whole texts.  Only non-null,
     non-empty languages and texts take part.
     """
-    key = F.xxhash64(F.col("lang"), F.col("text"))
     rows = (docs.select(docs[lang_col].alias("lang"), docs[text_col].cast("string").alias("text"))
             .where("lang IS NOT NULL AND lang <> '' AND text RLIKE '\\\\S'")
-            .withColumn("key", key)
-            .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("key", "text")))
-            .where(F.col("n") <= docs_per_lang))
+            .withColumn("key", F.xxhash64("lang", "text")))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+    picked = (rows.select("lang", "key").withColumn("rank", rank).where(F.col("rank") <= docs_per_lang)
+              .select("lang", "key").distinct())
     word = F.transform(F.split("text", r"\s+"), lambda w: F.struct(F.xxhash64(w, F.col("key")).alias("h"), w.alias("w")))
-    rows = rows.select("lang", F.slice(F.array_sort(F.filter(word, lambda w: F.length(w["w"]) > 0)), 1, words_per_doc)["w"].alias("ws"))
-    return [(w[:SEGMENT].encode()[:SEGMENT], r["lang"]) for r in sorted(rows.collect(), key=lambda r: (r["lang"], r["ws"])) for w in r["ws"]]
+    words = F.slice(F.array_sort(F.filter(word, lambda w: F.length(w["w"]) > 0)), 1, words_per_doc)["w"]
+    # picked holds at most docs_per_lang keys a language
+    sample = (rows.join(F.broadcast(picked), ["lang", "key"]).select("lang", "key", words.alias("ws"))
+              .dropDuplicates(["lang", "key"]).select("lang", "ws").collect())
+    return [(w[:SEGMENT].encode()[:SEGMENT], r["lang"]) for r in sorted(sample, key=lambda r: (r["lang"], r["ws"])) for w in r["ws"]]
 
 
 def fit(docs: DataFrame, **sizes) -> Network | None:
@@ -180,7 +183,7 @@ def fit(docs: DataFrame, **sizes) -> Network | None:
 class Reader:
     """Pooled word distributions with a bounded cache."""
 
-    def __init__(self, net: Network, most: int = 400_000, rows: int = 4096):
+    def __init__(self, net: Network, most: int = 250_000, rows: int = 2048):
         self.net, self.most, self.rows = net, most, rows
         self.cache: dict[str, int] = {}
         self.sums = np.zeros((0, len(net.langs)))
