@@ -253,7 +253,7 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     perplexity, band_low, band_high, base_failed, kept.  A language's band is the
     median of the log perplexity of its documents that pass the base rules, plus or
-    minus ``width`` times their median absolute deviation (at least 2 % of the
+    minus ``width`` times half their interquartile range (at least 2 % of the
     median); all documents count.  A short text's mean is noisier, so for n characters
     the band is sqrt(1 + steady_chars / n) times as wide.  Null languages share one band.  Null text is read
     as empty: it has no words, no perplexity, and fails the base rules.  Null and
@@ -265,10 +265,9 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     scored = checkpointed(scored.withColumn("base_failed", failed).withColumn("log_ppl", -F.col("log_prob"))
                           .withColumn("lang", F.coalesce("lang", F.lit(""))))
     usable = scored.where("NOT base_failed")
-    middle = usable.groupBy("lang").agg(F.percentile_approx("log_ppl", 0.5, 10_000).alias("mid"))
-    spread = (usable.join(middle, "lang").groupBy("lang", "mid")
-              .agg(F.percentile_approx(F.abs(F.col("log_ppl") - F.col("mid")), 0.5, 10_000).alias("mad")))
-    bands = spread.select("lang", "mid", (F.lit(width) * F.greatest("mad", F.lit(0.02) * F.abs("mid"))).alias("reach"))
+    cuts = usable.groupBy("lang").agg(F.percentile_approx("log_ppl", [0.25, 0.5, 0.75], 10_000).alias("q"))
+    mid, spread = F.col("q")[1], (F.col("q")[2] - F.col("q")[0]) / 2
+    bands = cuts.select("lang", mid.alias("mid"), (F.lit(width) * F.greatest(spread, F.lit(0.02) * F.abs(mid))).alias("reach"))
     reach = F.col("reach") * F.sqrt(1 + F.lit(steady_chars) / F.greatest("n_chars", F.lit(1)))
     out = scored.join(bands, "lang", "left").withColumn("low", F.col("mid") - reach).withColumn("high", F.col("mid") + reach)
     inside = F.coalesce(F.col("log_ppl").between(F.col("low"), F.col("high")), F.lit(False))
