@@ -37,6 +37,7 @@ WIDE = LENGTH - PIECE + 1    # anchor positions in a string
 BLOCK = 8                    # neighbouring strings that are looked at together
 SEGMENT = 1 << 20            # bytes of a document that are hashed at once
 SYMBOLS = 1 << 16            # symbols of one suffix array
+HASH = "__text_hash"
 TOGETHER = 500_000           # anchors whose contexts meet inside a task
 ANCHOR_COLUMNS = ["anchor", "context", "doc_id", "text_hash", "lo", "left", "span"]
 
@@ -226,7 +227,7 @@ def anchor_rows(rows: DataFrame) -> DataFrame:
             yield from _met(held)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "text_hash", "text").mapInArrow(
+    return rows.select("doc_id", F.col(HASH).alias("text_hash"), "text").mapInArrow(
         run, "sure boolean, many boolean, deal long, anchor long, context long, "
              f"doc_id {kind}, text_hash long, lo long, left short, span short")
 
@@ -242,9 +243,11 @@ def _met(held: list[pa.RecordBatch]):
     for sure, at, many in ((False, order[first], size > 1), (True, order[np.repeat(size > 1, size)], None)):
         rows = table.take(pa.array(at))
         many = np.ones(len(at), bool) if many is None else many
-        spread = np.arange(len(at), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        deal = pa.array(spread.view(np.int64)) if sure else rows.column("anchor")
-        out = pa.Table.from_arrays([pa.array(np.full(len(at), sure)), pa.array(many), deal, *rows.columns],
+        columns, deal = list(rows.columns), rows.column("anchor")
+        if sure:                                             # neither anchor nor context is asked for any more
+            columns[:2] = [pa.array(np.zeros(len(at), np.int64))] * 2
+            deal = pa.array((np.arange(len(at), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64))
+        out = pa.Table.from_arrays([pa.array(np.full(len(at), sure)), pa.array(many), deal, *columns],
                                    names=["sure", "many", "deal", *ANCHOR_COLUMNS])
         yield from out.combine_chunks().to_batches(max_chunksize=100_000)
 
@@ -304,7 +307,7 @@ def _contexts(batches):
             cols = {c: [] for c in ("anchor", "many", "lo", "left", "span", "bytes")}
             source = []
             texts = part.column("text").cast(pa.binary()).to_pylist()
-            for i, (raw, asks) in enumerate(zip(texts, part.column("asks").to_pylist())):
+            for i, (raw, asks) in enumerate(zip(texts, part.column("__asks").to_pylist())):
                 for a in asks:
                     source.append(i)
                     for c in ("anchor", "many", "lo", "left", "span"):
@@ -313,7 +316,7 @@ def _contexts(batches):
             if source:
                 at = pa.array(source)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols["anchor"], pa.int64()), part.column("doc_id").take(at), part.column("text_hash").take(at),
+                    [pa.array(cols["anchor"], pa.int64()), part.column("doc_id").take(at), part.column(HASH).take(at),
                      pa.array(cols["many"], pa.bool_()), pa.array(cols["lo"], pa.int64()), pa.array(cols["left"], pa.int16()),
                      pa.array(cols["span"], pa.int16()), pa.array(cols["bytes"], pa.binary())],
                     names=["anchor", "doc_id", "text_hash", "many", "lo", "left", "span", "bytes"])
@@ -409,10 +412,9 @@ def _judge(batches):
 # ------------------------------------------------------------------ operator
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, text), null text as empty; equal ids are told apart by the text's hash."""
-    rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs[text_col].cast("string")).alias("text"))
-    return rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the hash of the text (null as empty), which tells equal ids apart."""
+    return docs.withColumn(HASH, F.xxhash64(text_of(F.col("text"))))
 
 
 def compared(rows: DataFrame) -> DataFrame:
@@ -427,17 +429,20 @@ def compared(rows: DataFrame) -> DataFrame:
     return checkpointed(by_doc)
 
 
-def _same(left: DataFrame, right: DataFrame):
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_hash"] == right["text_hash"])
+def _same(rows: DataFrame, other: DataFrame):
+    return rows["doc_id"].eqNullSafe(other["doc_id"]) & (rows[HASH] == other["text_hash"])
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, spans): ranges (lo, hi) of bytes covered by repeated strings; only rows that have any."""
-    rows = keyed(docs, id_col, text_col)
+def repeats(rows: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, spans): ranges (lo, hi) of bytes covered by repeated strings; only rows that have any.
+
+    The texts are fetched with all columns of ``rows``, so that the caller's join of
+    the same rows with the result reads the same shuffle.
+    """
     by_doc = compared(rows)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    asked = by_doc.where("size(asks) > 0")
-    contexts = rows.join(asked, _same(rows, asked)).select(rows["doc_id"], rows["text_hash"], "text", "asks").mapInArrow(
+    asked = by_doc.where("size(asks) > 0").select("doc_id", "text_hash", F.col("asks").alias("__asks"))
+    contexts = rows.join(asked, _same(rows, asked)).select(*(rows[c] for c in rows.columns), asked["__asks"]).mapInArrow(
         _contexts, f"anchor long, doc_id {kind}, text_hash long, many boolean, lo long, left short, span short, bytes binary")
     more = contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
         _judge, f"doc_id {kind}, text_hash long, lo long, hi long")
@@ -446,6 +451,12 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return sure.unionByName(found).groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
+def _with_spans(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``__spans``, null where nothing repeats."""
+    spans = repeats(rows).withColumnRenamed("spans", "__spans")
+    return rows.join(spans, _same(rows, spans), "left").select(*(rows[c] for c in rows.columns), spans["__spans"])
+
+
 def merged(spans, n: int) -> list[tuple[int, int]]:
     """Ranges joined where they overlap or touch, in order."""
     out: list[list[int]] = []
@@ -475,15 +486,15 @@ def dedup_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     repeated rows repeat each other; null and equal ids give a row each; an empty
     table gives none; other columns are ignored.
     """
-    rows = keyed(docs, id_col, text_col)
-    spans = repeats(docs, id_col, text_col)
+    rows = keyed(docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text")))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 got = []
-                for raw, s in zip(part.column("text").cast(pa.binary()).to_pylist(), part.column("spans").to_pylist()):
+                for raw, s in zip(part.column("text").cast(pa.binary()).to_pylist(), part.column("__spans").to_pylist()):
+                    raw = raw or b""
                     gone = merged(s, len(raw))
                     kept = cut(raw, gone)
                     got.append((len(raw), len(raw) - len(kept), len(gone), sha256(kept).hexdigest()))
@@ -492,8 +503,7 @@ def dedup_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
                      pa.array(digest, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    both = rows.join(spans, _same(rows, spans), "left").select(rows["doc_id"], "text", "spans")
-    return both.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _with_spans(rows).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -501,11 +511,8 @@ def dedup(docs: DataFrame) -> DataFrame:
 
     Null texts, the rows themselves and all other columns stay as they are.
     """
-    rows = docs.withColumn("__hash", F.xxhash64(text_of(F.col("text").cast("string"))))
-    spans = repeats(docs).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__own"), F.col("spans").alias("__spans"))
-    both = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__own")), "left")
     names = docs.columns
-    both = both.select(*names, "__spans")
+    both = _with_spans(keyed(docs))
 
     def run(batches):
         for batch in batches:
