@@ -103,6 +103,60 @@ def test_bands_keep_clean_text_and_reject_noise(spark):
     assert got[901].base_failed and got[902].base_failed and not got[902].kept
 
 
+def test_scores_are_those_of_the_other_texts(spark):
+    texts = [prose(i, 25) for i in range(12)] + [prose(3, 25), "naïve Ωmega \U0001F600\U0001F601 aaaaaaaa", "", "q"]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    got = {r.doc_id: r.log_prob for r in quality.score(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+
+    before = quality.GRAM - 1
+
+    def orders(held):
+        pads = [("",) * before + tuple(t) for t in held]
+        out = {before + 1: Counter(t[i - before:i + 1] for t in pads for i in range(before, len(t)))}
+        for k in range(before, 0, -1):
+            out[k] = Counter(g[1:] for g in out[k + 1])
+        return out
+
+    whole = orders(texts)
+    cuts = {k: quality.discounts_of([sum(n == i for n in c.values()) for i in (1, 2, 3, 4)]) for k, c in whole.items()}
+
+    def p(counts, gram):
+        if not gram:
+            return 1 / (len(whole[1]) + 1)
+        k, lower = len(gram), p(counts, gram[1:])
+        alike = {g: n for g, n in counts[k].items() if g[:-1] == gram[:-1]}
+        total, d = sum(alike.values()), lambda n: cuts[k][min(n, 3)]
+        c = alike.get(gram, 0)
+        return (c - d(c)) / total + sum(map(d, alike.values())) / total * lower if total else lower
+
+    for i, t in enumerate(texts):
+        others = orders([x for x in texts if x != t])
+        padded = ("",) * before + tuple(t)
+        want = [np.log(max(p(others, padded[j - before:j + 1]), 1e-12)) for j in range(before, len(padded))]
+        assert got[i] is None if not t else abs(got[i] - np.mean(want)) < 1e-9
+
+
+def test_junk_of_the_same_letter_classes_is_rejected(spark):
+    greek = str.maketrans("abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψωάέ")
+    alike = str.maketrans({chr(c): chr(c + 15 * 1273) for c in range(0x370, 0x400)})
+    assert all(quality.CLASSES[c] == quality.CLASSES[c + 15 * 1273] for c in map(ord, map(chr, greek.values())))
+    clean = [(i, prose(i, 150 + i).translate(greek), "el") for i in range(80)]
+    junk = [(900, prose(500, 200).translate(greek).translate(alike), "el")]
+    got = {r.doc_id: r for r in quality.assess(spark.createDataFrame(clean + junk, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i].kept for i in range(80))
+    assert not got[900].kept and not got[900].base_failed and got[900].perplexity > got[900].band_high
+
+
+def test_model_grows_with_the_corpus(spark):
+    def size(n):
+        rnd = random.Random(1)
+        rows = [(i, "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789 ") for _ in range(2000)), "en") for i in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        return quality.tables(quality.run_ngrams(quality.numbered(docs.select("doc_id", "lang", "text"))))[0].count()
+
+    assert size(200) > 1.5 * size(100)          # the orders below the longest fill up first
+
+
 def test_quality_awkward_rows(spark):
     got = quality.assess(awkward(spark)).collect()
     assert Counter((r.doc_id, *(r[c] for c in quality.BASE_COLUMNS)) for r in got) == Counter((r[0], *base_of(r[1] or "")) for r in AWKWARD)

@@ -2,12 +2,15 @@
 
 Base rules count words, symbols, repeated lines and repeated word windows.  The
 method's verdict comes from a character 4-gram model with modified Kneser-Ney
-smoothing: Spark counts the n-grams of all documents, the model is stored as sorted
-arrays of n-gram keys, and every whole text is scored.  Each language has its own
-lower and upper perplexity band; documents outside it are rejected.
-
-Characters are folded to 64 classes, so an n-gram is 6 bits a character and the
-model has at most 64^4 entries whatever the size of the corpus.
+smoothing.  Characters are whole code points and n-grams are 64-bit hashes, so the
+tables grow with the corpus; they are stored by Spark and never come to one place.
+The texts are read in runs of consecutive documents: a run's distinct n-grams meet
+the tables in a join, and the run's documents are scored with the rows that come back.
+
+Every text is in the counts, and a model this large would know it by heart.  So a text
+is scored by what the other texts hold: its own counts, and those of its exact copies,
+are taken off in every order.  Each language has its own lower and upper perplexity
+band; documents outside it are rejected.
 """
 
 from __future__ import annotations
@@ -17,11 +20,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, slices
+from .common import checkpointed, slices, stored, text_of
 
+GRAM = 4                     # characters of the longest n-gram
+START = 0x110000             # stands before a text, where no character can
+STEP = 0x9E3779B97F4A7C15    # of the polynomial hash
+RUN = 32 << 20               # bytes of text whose n-grams meet the tables together
+SLICE = 1 << 20              # bytes of text in arrays at once
+#: The folded model of ``keys_of`` and ``model_of``: plain arrays, held against the formulas in tests.
 ORDER, BITS = 4, 6
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -83,34 +94,6 @@ def keys_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return key[real[pad:]], sizes
 
 
-def count_ngrams(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(key, n): how often each character 4-gram occurs in all texts, added up per task before the shuffle."""
-    def run(batches):
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def merged():
-            k = np.concatenate([a for a, _ in held])
-            n = np.concatenate([b for _, b in held])
-            one, back = np.unique(k, return_inverse=True)
-            return one, np.bincount(back, n, len(one)).astype(np.int64)
-
-        for batch in batches:
-            for part in slices(batch, "text"):
-                keys, _ = keys_of([t or "" for t in part.column("text").to_pylist()])
-                if len(keys):
-                    held.append(np.unique(keys, return_counts=True))
-                if len(held) >= 8:
-                    held = [merged()]
-        if held:
-            one, n = merged()
-            for at in range(0, len(one), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(one[at:at + 100_000], pa.int64()), pa.array(n[at:at + 100_000], pa.int64())],
-                                                 names=["key", "n"])
-
-    parts = docs.select(docs[text_col].cast("string").alias("text")).mapInArrow(run, "key long, n long")
-    return parts.groupBy("key").agg(F.sum("n").alias("n"))
-
-
 @dataclass
 class Model:
     """Sorted n-gram keys of each order with their discounted probabilities, and the contexts' backoff weights."""
@@ -128,11 +111,6 @@ class Model:
             p = _find(self.contexts[k], self.backoffs[k], gram >> BITS, 1.0) * p + _find(self.keys[k], self.probs[k], gram, 0.0)
         return np.log(np.maximum(p, 1e-12))      # a tiny corpus may leave no weight for the unseen
 
-    @property
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        """Log probabilities of the 4-grams that were counted, by sorted key."""
-        return self.keys[-1], self.log_prob(self.keys[-1])
-
 
 def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
     if not len(keys):
@@ -141,14 +119,6 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: flo
     return np.where(keys[at] == wanted, values[at], missing)
 
 
-def build_model(counts: DataFrame) -> Model:
-    """Modified Kneser-Ney from the counts.  At most 64^4 rows come to the driver, by the width of the key."""
-    got = counts.toPandas() if counts.sparkSession.conf.get("spark.sql.execution.arrow.pyspark.enabled", "false") == "true" \
-        else counts.toArrow().to_pandas()
-    order = np.argsort(got["key"].to_numpy())
-    return model_of(got["key"].to_numpy()[order].astype(np.int64), got["n"].to_numpy()[order].astype(np.int64))
-
-
 def model_of(keys: np.ndarray, counts: np.ndarray) -> Model:
     """The highest order has raw counts, each lower one counts the distinct characters before it."""
     grams = [(keys, counts)]
@@ -157,10 +127,7 @@ def model_of(keys: np.ndarray, counts: np.ndarray) -> Model:
         grams.insert(0, (lower, n.astype(np.int64)))
     model = Model([], [], [], [])
     for gram, n in grams:
-        of = [int((n == i).sum()) for i in (1, 2, 3, 4)]
-        y = of[0] / (of[0] + 2 * of[1]) if of[0] + 2 * of[1] else 0.0
-        discount = [0.0] + [min(max(i - (i + 1) * y * of[i] / of[i - 1], 0.0), i) if of[i - 1] else 0.0 for i in (1, 2, 3)]
-        d = np.array(discount)[np.minimum(n, 3)]
+        d = np.array(discounts_of([int((n == i).sum()) for i in (1, 2, 3, 4)]))[np.minimum(n, 3)]
         context, back = np.unique(gram >> BITS, return_inverse=True)
         total = np.bincount(back, n, len(context))
         model.keys.append(gram)
@@ -208,42 +175,214 @@ def _repeated(words: list[str]) -> int:
     return int((np.cumsum(cover)[:len(words)] > 0).sum())
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Base counts and mean log probability a character of every whole text, one row per input row."""
-    spark = docs.sparkSession
-    keys, logs = model.table
-    held = spark.sparkContext.broadcast((keys, logs.astype(np.float32), model))
+def hashes_of(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Hashes of the n-grams of 0 to GRAM characters that end at each place, the places of the texts' characters, and their texts.
+
+    An n-gram's hash is a polynomial in its characters; the context of the one at place
+    i is the one of an order less at i - 1, its suffix the one of an order less at i.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    pad = GRAM - 1
+    raw = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    at = np.arange(len(raw)) + pad * (owner + 1)
+    c = np.full(len(raw) + pad * len(texts), START + 1, np.uint64)
+    c[at] = raw + np.uint32(1)
+    grams = [np.zeros(len(c), np.uint64), c]
+    for k in range(2, GRAM + 1):
+        more = grams[-1].copy()
+        more[k - 1:] += c[:len(c) - k + 1] * np.uint64(pow(STEP, k - 1, 1 << 64))
+        grams.append(more)
+    return grams, at, owner
+
+
+def _alike(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A place of each distinct value, each place's number among them, and how many places each has."""
+    order = np.argsort(x)
+    held = x[order]
+    new = np.ones(len(x), bool)
+    new[1:] = held[1:] != held[:-1]
+    back = np.empty(len(x), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return order[new], back, np.diff(np.append(np.flatnonzero(new), len(x)))
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, lang, text) with the text's hash and the run of documents it belongs to."""
+    src = docs.withColumn("text", text_of(F.col("text"))).withColumn("text_hash", F.xxhash64("text"))
 
     def run(batches):
-        keys, logs, model = held.value
-
-        def mean_log(texts):
-            key, sizes = keys_of(texts)
-            if not len(key):
-                return [None] * len(texts)
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            value = logs[at].astype(np.float64)
-            new = keys[at] != key
-            if new.any():
-                value[new] = model.log_prob(key[new])
-            ends = np.cumsum(sizes)
-            total = np.concatenate([[0.0], np.cumsum(value)])
-            return [float((total[e] - total[e - n]) / n) if n else None for e, n in zip(ends.tolist(), sizes.tolist())]
+        at = TaskContext.get().partitionId() << 33
+        held = 0
+        for batch in batches:
+            sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
+            before = held + np.cumsum(sizes) - sizes
+            held += int(sizes.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(at + before // RUN, pa.int64()), *batch.columns],
+                                             names=["run", *batch.schema.names])
+
+    kind = src.schema["doc_id"].dataType.simpleString()
+    return src.mapInArrow(run, f"run long, doc_id {kind}, lang string, text string, text_hash long")
+
+
+def run_ngrams(docs: DataFrame) -> DataFrame:
+    """The distinct n-grams of each run: (run, size, gram, context, suffix, n); texts themselves are rows of size 0.
+
+    n counts the longest n-grams and the texts; it is 0 for the orders between.
+    """
+    names = ["run", "size", "gram", "context", "suffix", "n"]
 
+    def distinct(parts):
+        size, gram, context, suffix, n = map(np.concatenate, zip(*parts))
+        first, back, _ = _alike(gram)
+        return size[first], gram[first], context[first], suffix[first], np.bincount(back, n, len(first)).astype(np.int64)
+
+    def rows(run, parts):
+        size, *cols = distinct(parts)
+        for at in range(0, len(size), 100_000):
+            cut = slice(at, at + 100_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(size[cut]), run), pa.int64()), pa.array(size[cut], pa.int32()),
+                 *(pa.array(c[cut].view(np.int64), pa.int64()) for c in cols)], names=names)
+
+    def run(batches):
+        now, parts = None, []
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
-                texts = [t or "" for t in part.column("text").to_pylist()]
+            for part in slices(batch, "text", SLICE):
+                runs = part.column("run").to_numpy()
+                for one in np.unique(runs):
+                    if parts and one != now:
+                        yield from rows(now, parts)
+                        parts = []
+                    now = int(one)
+                    its = np.flatnonzero(runs == one)
+                    own = part.slice(int(its[0]), len(its))
+                    texts = own.column("text_hash").to_numpy().view(np.uint64)
+                    none = np.zeros(len(texts), np.uint64)
+                    parts.append((np.zeros(len(texts), np.int32), texts, none, none, np.ones(len(texts), np.int64)))
+                    grams, at, _ = hashes_of(own.column("text").to_pylist())
+                    first, _, n = _alike(grams[GRAM][at])
+                    at = at[first]
+                    for k in range(GRAM, 0, -1):
+                        if k < GRAM:
+                            first, _, n = _alike(grams[k][at])
+                            at, n = at[first], np.zeros(len(first), np.int64)
+                        parts.append((np.full(len(at), k, np.int32), grams[k][at], grams[k - 1][at - 1],
+                                      grams[k - 1][at], n.astype(np.int64)))
+                    if len(parts) > 8 * GRAM:
+                        parts = [distinct(parts)]
+        if parts:
+            yield from rows(now, parts)
+
+    return docs.mapInArrow(run, "run long, size int, gram long, context long, suffix long, n long")
+
+
+def tables(rows: DataFrame) -> tuple[DataFrame, dict[int, list[float]], int]:
+    """The model over all texts: its rows (gram, count, total, mass), each order's discounts, the number of characters.
+
+    The longest n-grams have raw counts, each lower one counts the distinct characters
+    before it.  total and mass are those of the n-gram's context: all counts and all
+    discounts after it.  A text's row has the number of its copies.
+    """
+    whole = rows.groupBy("gram").agg(F.first("size").alias("size"), F.first("context").alias("context"),
+                                     F.first("suffix").alias("suffix"), F.sum("n").alias("n"))
+    whole = stored(whole, "quality-ngrams")
+    lower = whole.where("size > 1").select(F.col("suffix").alias("gram"), F.lit(None).cast("int").alias("size"),
+                                           F.lit(None).cast("long").alias("context"), F.lit(1).cast("long").alias("n"))
+    counts = (whole.select("gram", "size", "context", "n").unionByName(lower).groupBy("gram")
+              .agg(F.max("size").alias("size"), F.max("context").alias("context"), F.sum("n").alias("count")))
+    counts = stored(counts, "quality-counts")
+    seen = {r["size"]: r for r in counts.where("size > 0").groupBy("size").agg(
+        F.count(F.lit(1)).alias("all"), *(F.count_if(F.col("count") == i).alias(f"n{i}") for i in (1, 2, 3, 4))).collect()}
+    discounts = {k: discounts_of([r[f"n{i}"] for i in (1, 2, 3, 4)]) for k, r in seen.items()}
+    discount = F.lit(0.0)
+    for k, d in discounts.items():
+        by_count = F.when(F.col("count") >= 3, d[3]).when(F.col("count") == 2, d[2]).otherwise(d[1])
+        discount = F.when(F.col("size") == k, by_count).otherwise(discount)
+    after = counts.where("size > 0").groupBy("size", "context").agg(F.sum("count").alias("total"), F.sum(discount).alias("mass"))
+    table = counts.join(after, ["size", "context"], "left").select("gram", "count", "total", "mass")
+    return table, discounts, seen[1]["all"] if 1 in seen else 0
+
+
+def discounts_of(of: list[int]) -> list[float]:
+    """Modified Kneser-Ney's discounts of the counts 0, 1, 2 and 3 or more, from how many n-grams have the counts 1 to 4."""
+    y = of[0] / (of[0] + 2 * of[1]) if of[0] + 2 * of[1] else 0.0
+    return [0.0] + [min(max(i - (i + 1) * y * of[i] / of[i - 1], 0.0), i) if of[i - 1] else 0.0 for i in (1, 2, 3)]
+
+
+def log_probs(texts: list[str], copies: np.ndarray, table: tuple, discounts: dict[int, list[float]], characters: int) -> list[float | None]:
+    """Mean log probability a character of each text under the counts of all texts but itself and its copies.
+
+    ``table`` has the sorted hashes of at least the texts' n-grams with counts, totals and masses.
+    """
+    keys, counts, totals, masses = table
+    grams, at, owner = hashes_of(texts)
+    if not len(at):
+        return [None] * len(texts)
+    salt = owner.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    first, _, n = _alike(grams[GRAM][at] + salt)
+    at, owner, salt = at[first], owner[first], salt[first]
+    top, weight = owner, n                     # the texts' distinct n-grams, and how often each stands in its text
+    own = n * copies[owner]
+    levels = []
+    for k in range(GRAM, 0, -1):
+        gram = grams[k][at].view(np.int64)
+        row = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
+        if not (keys[row] == gram).all():
+            raise RuntimeError("the documents came in another order when they were read again: checkpoint them before")
+        d = np.array(discounts[k])
+        count = counts[row]
+        rest = np.maximum(count - own, 0)
+        kept = d[np.minimum(rest, 3)]
+        _, group, _ = _alike(grams[k - 1][at - 1] + salt)
+        total = totals[row] - np.bincount(group, own)[group]
+        mass = masses[row] + np.bincount(group, kept - d[np.minimum(count, 3)])[group]
+        some = total > 0
+        size = np.where(some, total, 1)
+        seen, back = np.where(some, (rest - kept) / size, 0.0), np.where(some, np.maximum(mass, 0.0) / size, 1.0)
+        if k > 1:
+            first, down, _ = _alike(grams[k - 1][at] + salt)
+            own = np.bincount(down, rest == 0).astype(np.int64)      # n-grams that no other text holds count before no other
+            at, salt = at[first], salt[first]
+            levels.append((seen, back, down))
+    p = seen + back / (characters + 1)
+    for seen, back, down in reversed(levels):
+        p = seen + back * p[down]
+    total = np.bincount(top, weight * np.log(np.maximum(p, 1e-12)), len(texts))   # a tiny corpus may leave no weight for the unseen
+    return [float(x / len(t)) if t else None for x, t in zip(total.tolist(), texts)]
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Base counts and mean log probability a character of every whole text, one row per input row.
+
+    The documents are read twice and must come in the same partitions and order both
+    times, as files do; if not, this fails.
+    """
+    src = numbered(docs.select(docs[id_col].alias("doc_id"), docs[lang_col].cast("string").alias("lang"),
+                               docs[text_col].cast("string").alias("text")))
+    rows = stored(run_ngrams(src), "quality-runs")
+    table, discounts, characters = tables(rows)
+    known = rows.select("run", "gram").join(table, "gram")
+
+    def run(docs, known):
+        order = np.argsort(known.column("gram").to_numpy())
+        held = tuple(known.column(c).fill_null(0).to_numpy()[order] for c in ("gram", "count", "total", "mass"))
+        out = []
+        for batch in docs.to_batches():
+            for part in slices(batch, "text", SLICE):
+                texts = part.column("text").to_pylist()
+                copies = held[1][np.minimum(np.searchsorted(held[0], part.column("text_hash").to_numpy()), len(held[0]) - 1)]
                 cols = list(zip(*map(measures, texts)))
-                yield pa.RecordBatch.from_arrays(
+                out.append(pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("lang"), *(pa.array(c, pa.int64()) for c in cols),
-                     pa.array(list(map(len, texts)), pa.int64()), pa.array(mean_log(texts), pa.float64())],
-                    names=["doc_id", "lang", *BASE_COLUMNS, "n_chars", "log_prob"])
+                     pa.array(list(map(len, texts)), pa.int64()),
+                     pa.array(log_probs(texts, copies, held, discounts, characters), pa.float64())],
+                    names=["doc_id", "lang", *BASE_COLUMNS, "n_chars", "log_prob"]))
+        return pa.Table.from_batches(out)
 
-    src = docs.select(docs[id_col].alias("doc_id"), docs[lang_col].cast("string").alias("lang"),
-                      docs[text_col].cast("string").alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, lang string, " + ", ".join(f"{c} long" for c in BASE_COLUMNS)
-                            + ", n_chars long, log_prob double")
+    return src.groupBy("run").cogroup(known.groupBy("run")).applyInArrow(
+        run, f"doc_id {kind}, lang string, " + ", ".join(f"{c} long" for c in BASE_COLUMNS) + ", n_chars long, log_prob double")
 
 
 def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_words: int = 10,
@@ -259,8 +398,7 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     as empty: it has no words, no perplexity, and fails the base rules.  Null and
     equal ids and repeated rows give a row each; an empty table gives none.
     """
-    model = build_model(count_ngrams(docs, text_col))
-    scored = score(docs, model, id_col, text_col, lang_col)
+    scored = score(docs, id_col, text_col, lang_col)
     failed = (F.col("n_words") < min_words) | (F.lit(100) * F.col("n_repeat_words") > F.lit(max_repeat_percent) * F.col("n_words"))
     scored = checkpointed(scored.withColumn("base_failed", failed).withColumn("log_ppl", -F.col("log_prob"))
                           .withColumn("lang", F.coalesce("lang", F.lit(""))))
