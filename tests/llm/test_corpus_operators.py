@@ -422,6 +422,20 @@ def test_page_without_article_tag():
     assert pages.main_text(PAGE) == "A title First <para>, with a link, bold. Second one, a little longer than the first, yes. a b"
 
 
+@pytest.mark.parametrize("before, after", [
+    ('<div class="has-sidebar">', "</div>"), ('<div class="content-sidebar-wrap"><article>', "</article></div>"),
+    ('<div class="page-with-sidebar"><main><div class="entry-header"><h1>', "</h1></div></main></div>"),
+    ('<datalist id="d"><option>One<option value="2">Two</datalist><article>', "</article>"), ("<textarea>typed<article>", "</article>"),
+    ('<iframe src="x">frame<article>', "</article>")])
+def test_wrappers_and_open_tags_do_not_hide_the_article(before, after):
+    text = " ".join(f"<p>Sentence {i}, with some words; and a few more, as articles have.</p>" for i in range(12))
+    head = "A headline</h1></div>" if "h1" in before else ""
+    tail = after.split("</h1></div>")[-1] if head else after
+    page = f'<html><body><nav>Home</nav>{before}{head}{text}{tail}<div class="sidebar"><p>Buy this</p></div></body></html>'
+    want = re.sub(r"<[^>]*>", "", text)
+    assert pages.main_text(page) == (f"A headline {want}" if head else want)
+
+
 def test_pages_awkward_rows(spark):
     rows = [(1, "u", None, 1), (2, None, "", 1), (None, "u", "plain text, no tags", 1), (4, "u", "<p>a<p>b<", 1), (4, "u", "<p>a<p>b<", 1),
             (5, "u", "<nav>menu</nav>", 1), (6, "u", "<article>" + "<div>" * 3000 + "deep" + "<p>x</p>" * 3000, 1), (7, "u", "<!-- open", 1), (8, "u", "<script>never closed", 1)]

@@ -5,7 +5,8 @@ every path the text length and the punctuation of its nodes are added up and div
 by the number of nodes; both ratios are smoothed along the page, fused, and held
 against a threshold.  The nodes above it vote, weighted by their text, for the
 container that holds the article; all text of the container outside of boilerplate
-blocks is the result.
+blocks is the result.  Class words only lower the scores of what an element holds, and
+not where it holds the page's article or most of its text.
 """
 
 from __future__ import annotations
@@ -30,26 +31,31 @@ CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer fo
                      "section table ul".split())
 NEVER_CONTENT = frozenset("nav footer aside form button dialog menu".split())
 CONTENT = ("article", "main")
-#: Words in class, id or role that mark a block beside the article.
+#: Words in class, id or role that speak for a block beside the article.
 BESIDE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adslot|adbox|banner|sponsor\w*|promo\w*|menu|nav|navbar|navigation|breadcrumbs?|sidebar|side|"
     r"footer|header|masthead|comments?|replies|disqus|cookies?|consent|notices?|newsletter|subscribe|signup|share|sharing|"
     r"social|related|recommended|popup|modal|toolbar|complementary|contentinfo|search|login|pager|pagination|widget)(?:$|[\s_-]|\d)", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+#: A headline's block: the word header does not speak against it.
+HEADLINE = re.compile(r"(?:^|[\s_-])(?:entry|article|post|story|content|page)[_-]+header(?=$|[\s_-])", re.I)
+DOUBT = 0.1                  # factor on the score of a block under such a word
+TAG = re.compile(r"</?[A-Za-z]|<!--")
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    """A block element: its tag, parent, number of its path of tags, and whether it or an ancestor is boilerplate."""
+    """A block element: its tag, parent, number of its path of tags, and whether it or an ancestor is boilerplate, whether its words say so."""
 
-    __slots__ = ("tag", "parent", "path", "beside", "depth")
+    __slots__ = ("tag", "parent", "path", "beside", "doubt", "depth")
 
-    def __init__(self, tag: str, parent: Node | None, beside: bool, paths: dict[tuple[int, str], int]):
+    def __init__(self, tag: str, parent: Node | None, beside: bool, doubt: bool, paths: dict[tuple[int, str], int]):
         self.tag, self.parent = tag, parent
         self.path = paths.setdefault((parent.path if parent else 0, tag), len(paths) + 1)
         self.beside = beside or bool(parent and parent.beside)
+        self.doubt = doubt
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -61,15 +67,24 @@ def _beside(tag: str, attributes: str, in_article: bool) -> bool:
             name = name.lower()
             if name == "hidden" or name == "aria-hidden" and value.strip("\"'").lower() == "true":
                 return True
-            if name in ("class", "id", "role") and BESIDE.search(value.strip("\"'")):
-                return True
+    return False
+
+
+def _doubt(tag: str, attributes: str, in_article: bool) -> bool:
+    """Whether a word in class, id or role speaks against the element."""
+    if attributes and tag not in ("html", "body", *CONTENT):
+        for name, value in ATTRIBUTE.findall(attributes):
+            if name.lower() in ("class", "id", "role"):
+                value = HEADLINE.sub(" ", value.strip("\"'"))
+                if BESIDE.search(value) and not (in_article and tag == "header" and value.strip().lower() == "header"):
+                    return True
     return False
 
 
 def blocks(html: str) -> list[tuple[Node, str]]:
     """Text blocks in page order with the element that holds each; character references decoded, white space joined."""
     paths: dict[tuple[int, str], int] = {}
-    root = Node("#", None, False, paths)
+    root = Node("#", None, False, False, paths)
     at, node = 0, root
     out: list[tuple[Node, str]] = []
     pending: list[str] = []
@@ -114,7 +129,10 @@ def blocks(html: str) -> list[tuple[Node, str]]:
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|$)[^>]*>?", re.I).search(html, at)
-            if tag not in ("svg", "math", "object", "select") or end:
+            if tag == "option" or not end and tag not in ("script", "style", "svg", "math", "object", "select"):
+                end = TAG.search(html, at)            # left open: its text ends at the next tag
+                at = end.start() if end else len(html)
+            elif end or tag in ("script", "style"):
                 at = end.end() if end else len(html)
             continue
         flush()
@@ -137,7 +155,8 @@ def blocks(html: str) -> list[tuple[Node, str]]:
                 if tag == "tr" and node.tag == "tr":
                     node = node.parent
         articles += tag in CONTENT
-        node = Node(tag, node, tag in HEAD_ONLY or _beside(tag, m[3], articles > 0), paths)
+        node = Node(tag, node, tag in HEAD_ONLY or _beside(tag, m[3], articles > 0),
+                    _doubt(tag, m[3], articles > 0), paths)
         if m[3].endswith("/") and tag not in CLOSES_P:
             node = node.parent
     flush()
@@ -164,15 +183,50 @@ def path_scores(items: list[tuple[Node, str]], sigma: float = 1.0) -> np.ndarray
     return smooth(text_ratio) * (1 + smooth(sign_ratio))
 
 
+def doubted(items: list[tuple[Node, str]]) -> np.ndarray:
+    """Which blocks stand under a word that speaks against them.
+
+    An element that holds the largest article, or without any article more than half
+    of the page's text, is not doubted, whatever its words.
+    """
+    size: dict[Node, int] = defaultdict(int)
+    for node, text in items:
+        while node is not None:
+            size[node] += len(text)
+            node = node.parent
+    article = max((n for n in size if n.tag in CONTENT), key=lambda n: (size[n], -n.depth), default=None)
+    cleared = set()
+    up = article
+    while up is not None:
+        cleared.add(up)
+        up = up.parent
+    total = sum(len(t) for _, t in items)
+    held: dict[Node | None, bool] = {None: False}
+
+    def under(n: Node | None) -> bool:
+        way = []
+        while n not in held:
+            way.append(n)
+            n = n.parent
+        for x in reversed(way):
+            free = x in cleared or article is None and 2 * size[x] > total
+            held[x] = held[x.parent] or x.doubt and not free
+        return held[way[0]] if way else held[n]
+
+    return np.array([under(n) for n, _ in items], bool)
+
+
 def main_text(html: str | None) -> str:
     """The article's text: its blocks in page order, joined by one space; empty if there is none."""
     items = blocks(html or "")
     items = [(n, t) for n, t in items if not n.beside]
     if not items:
         return ""
-    score = path_scores(items)
+    doubt = doubted(items)
+    score = path_scores(items) * np.where(doubt, DOUBT, 1.0)
     threshold = score.std()
     chosen = [i for i in range(len(items)) if score[i] >= threshold] or list(range(len(items)))
+    voted = set(chosen)
     weight: dict[Node, int] = defaultdict(int)
     for i in chosen:
         up = items[i][0]
@@ -196,7 +250,7 @@ def main_text(html: str | None) -> str:
             n = n.parent
         return False
 
-    return " ".join(t for n, t in items if inside(n))
+    return " ".join(t for i, (n, t) in enumerate(items) if inside(n) and (i in voted or not doubt[i]))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
