@@ -195,6 +195,16 @@ def test_held_out_accuracy(spark):
     assert sum(r.lang_pred == r.lang for r in held) >= 0.97 * len(held)
 
 
+def test_copies_and_repeated_words_do_not_fill_the_sample(spark):
+    rows = [("en", f"copy{i // 50} one") for i in range(600)] + [("en", f"single{i} two") for i in range(40)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    got = langid.labelled_words(df, docs_per_lang=60)
+    assert {w for w, _ in got} == {w.encode() for _, t in rows for w in t.split()}
+    long = " ".join(w for i in range(100) for w in [f"w{i}"] * 50)
+    got = langid.labelled_words(spark.createDataFrame([("en", long)], df.schema))
+    assert len(got) == 40 and len(set(got)) > 20
+
+
 def test_labels_of_held_out_rows_are_not_read(spark):
     docs = table(spark, SMALL, "documents").select("doc_id", "text", "lang")
     train = docs.where(~langid.held_out("doc_id"))

@@ -156,16 +156,17 @@ def labelled_words(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
                    words_per_doc: int = 40) -> list[tuple[bytes, str]]:
     """A bounded sample of labelled words: at most docs_per_lang * words_per_doc a language.
 
-    Documents and words are chosen by hash, from the whole texts.  Only non-null,
+    Distinct texts are chosen by hash, copies counting once, and words by a hash of the
+    word and its place, from the whole texts.  Only non-null,
     non-empty languages and texts take part.
     """
     rows = (docs.select(docs[lang_col].alias("lang"), docs[text_col].cast("string").alias("text"))
             .where("lang IS NOT NULL AND lang <> '' AND text RLIKE '\\\\S'")
             .withColumn("key", F.xxhash64("lang", "text")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    picked = (rows.select("lang", "key").withColumn("rank", rank).where(F.col("rank") <= docs_per_lang)
-              .select("lang", "key").distinct())
-    word = F.transform(F.split("text", r"\s+"), lambda w: F.struct(F.xxhash64(w, F.col("key")).alias("h"), w.alias("w")))
+    picked = (rows.select("lang", "key").distinct().withColumn("rank", rank).where(F.col("rank") <= docs_per_lang)
+              .select("lang", "key"))
+    word = F.transform(F.split("text", r"\s+"), lambda w, i: F.struct(F.xxhash64(w, i, F.col("key")).alias("h"), w.alias("w")))
     words = F.slice(F.array_sort(F.filter(word, lambda w: F.length(w["w"]) > 0)), 1, words_per_doc)["w"]
     # picked holds at most docs_per_lang keys a language
     sample = (rows.join(F.broadcast(picked), ["lang", "key"]).select("lang", "key", words.alias("ws"))
