@@ -9,8 +9,6 @@ sys.path.insert(0, ROOT)
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-SF001 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 
 import __spark_entry__ as E
 from tillroll.operators import business

@@ -1,6 +1,6 @@
 """Plan checks: pushdown, pruning, broadcast of bounded dims, no Python in the hot path."""
 
-from conftest import SF001
+from helpers import SF001
 
 import __spark_entry__ as E
 

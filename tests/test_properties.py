@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 
 import __spark_entry__ as E
 from tillroll.functions.dates import week_ending_monday

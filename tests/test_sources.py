@@ -104,7 +104,7 @@ def test_line_ids_do_not_depend_on_the_splits(spark):
 
 
 def test_fixture_line_ids_do_not_depend_on_the_splits(spark):
-    from conftest import SF001
+    from helpers import SF001
     from tillroll.sources.fixtures import raw_from_driver_tables
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:

@@ -6,7 +6,7 @@ import os
 import shutil
 
 import pytest
-from conftest import SF001
+from helpers import SF001
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
