@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, langid, multiset, packing, pages, quality, secrets, simhash, suffix
+from . import bpe, chat, hilbert, langid, multiset, packing, pages, quality, secrets, simhash, suffix
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,77 @@ def _op6(spark, sf_dir):
 @query("op5_suffix")
 def _op5(spark, sf_dir):
     return suffix.dedup_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_hilbert")
+def _op13(spark, sf_dir):
+    return hilbert.shard(table(spark, sf_dir, "documents"))
+
+
+def _hilbert_sql(shards: int = 16) -> str:
+    """Shards of equal counts along the curve as SQL: checksum by its table, cells by a histogram, the curve level by level."""
+    bits, fine, width = hilbert.BITS, hilbert.FINE, 2 * hilbert.IMAGE_BYTES
+    checksum = """
+        xor(4294967295, list_reduce(list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: ('0x' || x)::BIGINT),
+            lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295::BIGINT))"""
+
+    def place(c: str) -> str:
+        return f"('0x' || rpad(substr({c}, 2 * skip + 1, {width}), {width}, '0'))::BIGINT"
+
+    ends = ", ".join(f"""
+      {d}_ends AS (SELECT *, coalesce(list_min(list_filter(range(1, least(length(lo), length(hi)) // 2 + 1),
+                     lambda i: substr(lo, 2 * i - 1, 2) <> substr(hi, 2 * i - 1, 2))) - 1, least(length(lo), length(hi)) // 2) AS skip
+                   FROM (SELECT coalesce(hex(encode(min({d}))), '') AS lo, coalesce(hex(encode(max({d}))), '') AS hi FROM documents))"""
+                     for d in ("lang", "source"))
+    image = {d: place(f"hex(encode({d}))") for d in ("lang", "source")}
+    slot = {d: f"""(SELECT CASE WHEN {d} IS NULL THEN 0 ELSE
+                   ({image[d]} - {place('lo')}) * {fine - 1} // ({place('hi')} - {place('lo')} + 1) + 1 END FROM {d}_ends)"""
+            for d in ("lang", "source")}
+    key = {d: f"(SELECT CASE WHEN {d} IS NULL THEN 0 ELSE {image[d]} + 1 END FROM {d}_ends)" for d in ("lang", "source")} | {"size": "size"}
+    m = hilbert.MANTISSA
+    top = "(length(bin(size)) - 1)"
+    slot["size"] = f"({top} * {1 << m} + (CASE WHEN {top} >= {m} THEN size >> ({top} - {m}) ELSE size << ({m} - {top}) END & {(1 << m) - 1}) + 1)"
+    dims = list(hilbert.DIMENSIONS)
+    names = [f"x{i}" for i in range(len(dims))]
+    levels, last = [], "cells"
+    for level in range(bits - 1, 0, -1):
+        low, first, turned = (1 << level) - 1, "x0", []
+        for i, a in enumerate(names):
+            on = f"({a if i else 'x0'} & {1 << level}) <> 0"
+            if i:
+                swap = f"(xor({first}, {a}) & {low})"
+                turned.append(f"CASE WHEN {on} THEN {a} ELSE xor({a}, {swap}) END AS {a}")
+                first = f"CASE WHEN {on} THEN xor({first}, {low}) ELSE xor({first}, {swap}) END"
+            else:
+                first = f"CASE WHEN {on} THEN xor(x0, {low}) ELSE x0 END"
+        levels.append(f"l{level} AS (SELECT rid, {first} AS x0, {', '.join(turned)} FROM {last})")
+        last = f"l{level}"
+    gray = ", ".join([f"{a} AS {a}" if i == 0 else f"{_xor(names[:i + 1])} AS {a}" for i, a in enumerate(names)])
+    parity = _xor([f"({names[-1]} >> {k})" for k in range(1, bits)])
+    index = " + ".join(f"(((xor({a}, t) >> {level}) & 1) << {level * len(names) + i})"
+                       for level in range(bits) for i, a in enumerate(reversed(names)))
+    return f"""
+WITH RECURSIVE steps AS (SELECT range AS i, range::BIGINT AS v, 0 AS k FROM range(256)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS tab FROM steps WHERE k = 8), {ends},
+d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
+             octet_length(encode(coalesce(text, ''))) + 1 AS size FROM documents),
+sized AS (SELECT rid, doc_id, size, {checksum} AS text_crc32, {', '.join(f'{slot[x]} AS s{i}, {key[x]} AS k{i}' for i, x in enumerate(dims))} FROM d, crc),
+cells AS (SELECT rid, {', '.join(f"((rank() OVER (ORDER BY s{i}) - 1) * {1 << bits} // count(*) OVER ())::BIGINT AS x{i}" for i in range(len(dims)))} FROM sized),
+{', '.join(levels)},
+gray AS (SELECT rid, {gray} FROM {last}),
+turned AS (SELECT rid, {', '.join(names)}, {parity} AS t FROM gray),
+curve AS (SELECT rid, {index} AS curve FROM turned),
+ranked AS (SELECT *, row_number() OVER (ORDER BY curve, {', '.join(f'k{i}' for i in range(len(dims)))}, text_crc32, size, doc_id NULLS FIRST) - 1 AS r, count(*) OVER () AS n
+           FROM sized JOIN curve USING (rid))
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, (r * {shards} // n)::INT AS shard,
+       (r - ((r * {shards} // n) * n + {shards - 1}) // {shards})::BIGINT AS slot, NULL::INT AS grown_shard, curve::BIGINT AS curve
+FROM ranked
+"""
+
+
+def _xor(terms: list[str]) -> str:
+    return terms[0] if len(terms) == 1 else f"xor({_xor(terms[:-1])}, {terms[-1]})"
+
+
+ORACLE["op13_hilbert"] = _hilbert_sql()
