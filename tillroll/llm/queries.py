@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, hilbert, langid, multiset, packing, pages, quality, secrets, simhash, suffix
+from . import bpe, chat, hilbert, langid, multiset, packing, pages, quality, search, secrets, simhash, suffix
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,3 +214,33 @@ def _xor(terms: list[str]) -> str:
 
 
 ORACLE["op13_hilbert"] = _hilbert_sql()
+
+
+@query("op12_search")
+def _op12(spark, sf_dir):
+    return search.search(search.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+#: Fixed value: the characters of a term.
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+ORACLE["op12_search"] = f"""
+WITH terms AS (SELECT row_number() OVER () AS rid, doc_id,
+                      regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{TERM}') AS ts
+               FROM documents),
+held AS (SELECT rid, doc_id, len(ts) AS n, unnest(ts) AS term FROM terms),
+total AS (SELECT count(*) FILTER (len(ts) > 0)::BIGINT AS docs, sum(len(ts))::BIGINT AS size FROM terms),
+postings AS (SELECT rid, any_value(doc_id) AS doc_id, any_value(n)::BIGINT AS n, term, count(*)::BIGINT AS tf FROM held GROUP BY rid, term),
+asked AS (SELECT iid, item_id, term, count(*)::BIGINT AS times
+          FROM (SELECT row_number() OVER () AS iid, item_id,
+                       unnest(regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{TERM}')) AS term
+                FROM benchmark) GROUP BY iid, item_id, term),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+            FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), total),
+scores AS (SELECT iid, item_id, rid, doc_id,
+                  sum(times * w * (1000000000 * tf // (1000 * tf + 12 * (75 + 25 * n * docs // size))))::BIGINT AS score
+           FROM asked JOIN postings USING (term) JOIN weights USING (term), total GROUP BY iid, item_id, rid, doc_id)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 20
+"""
