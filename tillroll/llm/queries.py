@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, hilbert, langid, multiset, packing, pages, quality, search, secrets, simhash, suffix
+from . import bpe, chat, hilbert, langid, multiset, packing, pages, quality, search, secrets, simhash, suffix, vectorcodes
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -244,3 +244,46 @@ SELECT item_id, rank::INT AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM scores WHERE score > 0)
 WHERE rank <= 20
 """
+
+
+@query("op11_vector_codes")
+def _op11(spark, sf_dir):
+    return vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def _codes_sql(parts: int = vectorcodes.PARTS, entries: int = vectorcodes.ENTRIES, rounds: int = vectorcodes.ROUNDS) -> str:
+    """Codebooks and codes as SQL: every part against every entry, round by round."""
+    def assigned(r: int) -> str:
+        return f"""a{r} AS (
+  SELECT rid, part, any_value(v) AS v, min(struct_pack(d := d, e := entry)) AS best
+  FROM (SELECT rid, part, v, entry, list_sum(list_transform(list_zip(v, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM pieces JOIN c{r} USING (part)) GROUP BY rid, part)"""
+
+    def moved(r: int) -> str:
+        return f"""c{r + 1} AS (
+  SELECT part, entry, coalesce(moved, e) AS e FROM c{r} LEFT JOIN (
+    SELECT part, entry, list(x ORDER BY i) AS moved FROM (
+      SELECT part, entry, i, floor(sum(x)::DOUBLE / count(*))::BIGINT AS x
+      FROM (SELECT part, best.e AS entry, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM a{r}) GROUP BY part, entry, i)
+    GROUP BY part, entry) USING (part, entry))"""
+
+    steps = ", ".join(x for r in range(rounds) for x in (assigned(r), moved(r)))
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label,
+         list_transform(embedding, lambda x: floor({vectorcodes.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pieces AS (SELECT rid, part, v[part * len(v) // {parts} + 1 : (part + 1) * len(v) // {parts}] AS v
+           FROM kept, (SELECT unnest(range({parts})) AS part)),
+c0 AS (SELECT part, rid - 1 AS entry, v AS e FROM pieces WHERE rid <= {entries}),
+{steps}, {assigned(rounds)},
+coded AS (SELECT rid, string_agg(lower(lpad(hex(best.e), 2, '0')), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error
+          FROM a{rounds} GROUP BY rid),
+book AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, i)) AS codebooks_sha256
+         FROM (SELECT part, entry, unnest(e) AS x, unnest(range(1, len(e) + 1)) AS i FROM c{rounds}))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (rid), book
+"""
+
+
+ORACLE["op11_vector_codes"] = _codes_sql()
