@@ -32,3 +32,7 @@ def test_etl_from_extracts_equals_fixture_star(spark, tmp_path):
     out = run_forecast(star, str(tmp_path / "reports"), per_country=False)
     proj = spark.read.option("header", "true").csv(out["projections"])
     assert proj.count() == 13 and proj.where(F.col("series_key") != "ALL").count() == 0
+    grid = run_forecast(star, str(tmp_path / "grid"), fmt="parquet", per_country=False, method="grid")
+    pair = [spark.read.parquet(grid["fits"]).first(), spark.read.option("header", "true").csv(out["fits"]).first()]
+    assert [p.status for p in pair] == ["fitted"] * 2 and pair[0].n == int(pair[1].n)
+    assert 0.1 <= pair[0].alpha <= 0.9 and 0 < float(pair[1].alpha) < 1

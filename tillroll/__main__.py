@@ -3,7 +3,7 @@
   split     --raw PATH --extracts DIR --uk-cutoff DATE   split raw CSV data into six regional extracts
   etl       --extracts DIR --warehouse DIR       load six regional CSV extracts into a star
   sql       --warehouse DIR --query TEXT         run Spark SQL over the star's views
-  forecast  --warehouse DIR --out DIR [--fmt csv|parquet]
+  forecast  --warehouse DIR --out DIR [--fmt csv|parquet] [--method search|grid]
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ def main(argv=None) -> None:
     f.add_argument("--warehouse", required=True)
     f.add_argument("--out", required=True)
     f.add_argument("--fmt", default="csv", choices=("csv", "parquet"))
+    f.add_argument("--method", default="search", choices=("search", "grid"))
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
@@ -48,7 +49,7 @@ def main(argv=None) -> None:
         register_views(spark, open_warehouse(spark, args.warehouse))
         spark.sql(args.query).show(args.rows, truncate=False)
     else:
-        print(run_forecast(open_warehouse(spark, args.warehouse), args.out, args.fmt))
+        print(run_forecast(open_warehouse(spark, args.warehouse), args.out, args.fmt, method=args.method))
 
 
 if __name__ == "__main__":

@@ -8,7 +8,8 @@ in one Spark job.
   bounded by the calendar span in weeks (not by data volume), and the
   smoothing recursion is inherently sequential.  Inside the group the whole
   parameter grid is evaluated at once with numpy vectors, so one pass over the
-  weeks scores every (alpha, beta, gamma).
+  weeks scores every (alpha, beta, gamma).  ``smoothing`` searches the parameters
+  and solves the first state instead.
 * Initial state: level = mean of season 1, trend = (mean of season 2 − mean of
   season 1) / m, seasonals = season-1 values − level; the recursion starts at
   t = m and its one-step errors give SSE / in-sample MAE.
@@ -128,13 +129,16 @@ def _fit_best(y, m, fixed=None, steps=GRID_STEPS):
                 mae_in_sample=float(sae[k] / (len(y) - m)))
 
 
-def _by_series(series: DataFrame) -> DataFrame:
+def spread(series: DataFrame) -> DataFrame:
     """Spread series over all cores before the per-series fits.
 
     The weekly data is tiny, so AQE would coalesce every series into one
-    partition and run all the (compute-heavy) grid fits in one task; an explicit
-    partition count is kept as is, and the following groupBy reuses it."""
-    n = series.sparkSession.sparkContext.defaultParallelism
+    partition and run all the (compute-heavy) fits in one task; an explicit
+    partition count is kept as is, and a following groupBy reuses it.  The count is
+    the larger of the cores seen now and the session's shuffle partitions, since a
+    cluster's executors may not have registered yet."""
+    spark = series.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return series.repartition(n, "series_key")
 
 
@@ -168,7 +172,7 @@ def fit(series: DataFrame, m: int, fixed=None, train_only: bool = False, steps=G
     season slot), SSE, chosen parameters.  ``steps`` are the values tried for each of
     the three parameters.  Scores and projections are computed from this output, so
     a grid is searched once."""
-    return _by_series(series).groupBy("series_key").applyInPandas(
+    return spread(series).groupBy("series_key").applyInPandas(
         _fit_group(m, fixed, train_only, tuple(steps)), FIT_SCHEMA)
 
 

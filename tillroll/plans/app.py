@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import forecast as I
+from ..operators import smoothing as S
 from ..session import join_path
 from ..sources.raw import read_sources, with_line_id
 from ..sources.sinks import write_forecast
@@ -61,16 +62,26 @@ def register_views(spark: SparkSession, star: Star, prefix: str = "") -> list[st
     return names
 
 
-def run_forecast(star: Star, out: str, fmt: str = "csv", per_country: bool = True, steps=I.GRID_STEPS) -> dict:
+def run_forecast(star: Star, out: str, fmt: str = "csv", per_country: bool = True, method: str = "search",
+                 steps=I.GRID_STEPS) -> dict:
     """Write the 13-week projection, the holdout scores and the fits: in-sample figures,
-    chosen parameters, and a status for every series, also the skipped ones."""
+    chosen parameters, and a status for every series, also the skipped ones.
+
+    ``method`` "search" finds the parameters numerically and solves the first state;
+    "grid" tries the triples of ``steps`` from the heuristic state."""
+    if method not in ("search", "grid"):
+        raise ValueError("method is search or grid")
     series = I.gap_fill(I.weekly_series(star, per_country=per_country))
-    fits = I.fit(series, I.ANNUAL_SEASON, steps=steps)
+    if method == "search":
+        annual, validation = S.fit(series, I.ANNUAL_SEASON), S.fit(series, I.VALIDATION_SEASON, train_only=True)
+    else:
+        annual = I.fit(series, I.ANNUAL_SEASON, steps=steps)
+        validation = I.fit(series, I.VALIDATION_SEASON, train_only=True, steps=steps)
     spark = series.sparkSession
     state = join_path(out, "forecast_state")
-    fits.write.mode("overwrite").parquet(state)
+    annual.write.mode("overwrite").parquet(state)
     fits = spark.read.parquet(state)
     write_forecast(I.future_of(fits), join_path(out, "forecast_projections"), fmt)
-    write_forecast(I.evaluate_holdout(series, steps=steps), join_path(out, "forecast_scores"), fmt)
+    write_forecast(I.score(validation, series), join_path(out, "forecast_scores"), fmt)
     write_forecast(fits.select(*I.FIT_FIGURES), join_path(out, "forecast_fits"), fmt)
     return {name: join_path(out, f"forecast_{name}") for name in ("projections", "scores", "fits")}

@@ -16,6 +16,7 @@ from ..operators import business as E
 from ..operators import forecast as I
 from ..operators import measures as M
 from ..operators import report as H
+from ..operators import smoothing as S
 from ..operators import timeintel as TI
 from ..schemas import FACT_COLUMNS
 from ..session import checkpoint_base, join_path
@@ -378,3 +379,50 @@ def _hw_annual(spark, sf):
 def _ffuture(spark, sf):
     """Projected weeks, and a row with its status for every series too short to fit."""
     return I.future_of(_annual_fit(spark, sf))
+
+
+# Numeric search and solved first state (I5, I6, I10): the fits that projections should use.
+
+
+def _bound(found, grid):
+    """Squared errors of the full grid, and whether the search stays below them."""
+    pair = found.select("series_key", "n", "status", "sse").join(grid.select("series_key", F.col("sse").alias("grid_sse")), "series_key")
+    room = F.col("grid_sse") * (1 + 1e-9) + 1e-6
+    return pair.select("series_key", "n", "status", "grid_sse", (F.col("sse") <= room).alias("not_above"))
+
+
+@query("hw_optimised")
+def _hw_optimised(spark, sf):
+    fits = open_fit(spark, sf, "fit-validation-search",
+                    lambda: S.fit(_filled(spark, sf), I.VALIDATION_SEASON, estimated=False, train_only=True))
+    return _bound(fits, _validation_fit(spark, sf))
+
+
+@query("hw_annual_optimised")
+def _hw_annual_optimised(spark, sf):
+    fits = open_fit(spark, sf, "fit-annual-search", lambda: S.fit(_filled(spark, sf), I.ANNUAL_SEASON, estimated=False))
+    return _bound(fits, _annual_fit(spark, sf))
+
+
+def _digits(c):
+    """Six significant digits: the normal equations are solved in another order elsewhere."""
+    return F.when(F.col(c).isNotNull(), F.format_string("%.5e", F.col(c)).cast("double")).alias(c)
+
+
+@query("hw_estimated")
+def _hw_estimated(spark, sf):
+    """Solved first state at the fixed triple: it and the squared errors of all weeks."""
+    fits = S.fit(_filled(spark, sf), I.VALIDATION_SEASON, params=I.FIXED_PARAMS)
+    return fits.select("series_key", "n", "status", *(_digits(c) for c in ("level0", "trend0", "sse")))
+
+
+@query("forecast_eval_optimised")
+def _feval_optimised(spark, sf):
+    """Holdout scores of the model as a numeric fit gives it: parameters searched, first state solved."""
+    fits = open_fit(spark, sf, "fit-validation-solved", lambda: S.fit(_filled(spark, sf), I.VALIDATION_SEASON, train_only=True))
+    return I.score(fits, _filled(spark, sf))
+
+
+@query("forecast_future_optimised")
+def _ffuture_optimised(spark, sf):
+    return I.future_of(open_fit(spark, sf, "fit-annual-solved", lambda: S.fit(_filled(spark, sf), I.ANNUAL_SEASON)))
