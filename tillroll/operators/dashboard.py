@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ratios import round2, round_half_up, safe_div
 from ..schemas import GUEST_CUSTOMER_ID
+from .aggregates import covering
 from .measures import evaluate
 from .timeintel import shifted
 
@@ -38,7 +39,7 @@ def _share(df: DataFrame, key: str) -> DataFrame:
 
 
 def region_share(star) -> DataFrame:
-    per_branch = star.fact.groupBy("branch_id").agg(F.sum("line_total").alias("net"))
+    per_branch = covering(star, ["branch_id"], {}).fact.groupBy("branch_id").agg(F.sum("line_total").alias("net"))
     j = per_branch.join(star.dim_branches.select("branch_id", "region"), "branch_id", "left")
     return _share(j.groupBy("region").agg(F.sum("net").alias("net")), "region")
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import week_ending_monday
+from .aggregates import covering
 
 ALL_SERIES = "ALL"
 HOLDOUT_WEEKS = 13
@@ -37,7 +38,7 @@ GRID_STEPS = tuple(round(0.1 * i, 1) for i in range(1, 10))
 def weekly_series(star, per_country: bool = True) -> DataFrame:
     """Purchase sales (returns excluded) per (series, week).  Series are the
     whole business (``ALL``) and, optionally, each branch country."""
-    daily = (star.fact.where(~F.col("is_return"))
+    daily = (covering(star, ("branch_id", "date_key", "is_return"), {}).fact.where(~F.col("is_return"))
              .groupBy("branch_id", "date_key").agg(F.sum("line_total").alias("y")))
     dd = star.dim_date.select("date_key", "date")
     db = star.dim_branches.select("branch_id", "country")
@@ -136,10 +137,12 @@ def spread(series: DataFrame) -> DataFrame:
     partition and run all the (compute-heavy) fits in one task; an explicit
     partition count is kept as is, and a following groupBy reuses it.  The count is
     the larger of the cores seen now and the session's shuffle partitions, since a
-    cluster's executors may not have registered yet."""
+    cluster's executors may not have registered yet.  It is never the session's own
+    number: an aggregate before it would serve then, and be coalesced."""
     spark = series.sparkSession
-    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return series.repartition(n, "series_key")
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(spark.sparkContext.defaultParallelism, own)
+    return series.repartition(n + 1 if n == own else n, "series_key")
 
 
 FIT_SCHEMA = ("series_key string, n int, status string, level double, trend double, sse double, "

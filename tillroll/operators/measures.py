@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_key, month_key
 from ..functions.ratios import dax_div
 from ..schemas import GUEST_CUSTOMER_ID, MONTH_PARTITION
+from .aggregates import covering
 from .fact import with_customer_country
 
 DEFAULT_MARGIN = 0.40
@@ -152,6 +153,11 @@ def _grain(by: list, key: str) -> list:
     return by + [c for c in (key,) if c not in by]
 
 
+def _slicer_columns(where) -> list:
+    """Columns of a slicer dictionary; the relative date slider is one on the day."""
+    return ["date_key" if c == RELATIVE_MONTHS else c for c in where or ()]
+
+
 def evaluate(star, measures=MEASURES, by=(), where=None, *, margin: float = DEFAULT_MARGIN,
              growth: float = DEFAULT_GROWTH) -> DataFrame:
     """One row per ``by`` group with the requested measures, after ``where``.
@@ -161,11 +167,15 @@ def evaluate(star, measures=MEASURES, by=(), where=None, *, margin: float = DEFA
 
     ``by``/``where`` may name fact columns or dimension attributes (country,
     region, year, month, product_name, customer_country, …); only the needed
-    dimensions are joined."""
+    dimensions are joined.  Where a stored aggregate holds the columns asked for, it
+    is read instead of the fact (not under a Column filter)."""
     by = list(by)
     if set(measures) & set(TIME_MEASURES):
         from .timeintel import evaluate_monthly
         return evaluate_monthly(star, measures, by, where)
+    if not isinstance(where, Column):
+        counted = ["invoice_no"] * bool(set(measures) & _ORDER_MEASURES) + ["customer_id"] * bool(set(measures) & _CUSTOMER_MEASURES)
+        star = covering(star, [*by, *_slicer_columns(where), *counted], _DIM_COLUMNS)
     for cond in _fact_side(star, where):
         star = _with_fact(star, star.fact.where(cond))
     if isinstance(where, dict):

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ratios import round2, safe_div
+from .aggregates import covering
 from .measures import evaluate
 from .timeintel import monthly_sales
 
 
 def quarter_share(star) -> DataFrame:
     """Each quarter's share of its year's net sales."""
-    q = (star.fact.groupBy("date_key").agg(F.sum("line_total").alias("net"))
+    q = (covering(star, ["date_key"], {}).fact.groupBy("date_key").agg(F.sum("line_total").alias("net"))
          .join(star.dim_date.select("date_key", "year", "quarter"), "date_key")
          .groupBy("year", "quarter").agg(F.sum("net").alias("net")))
     year_total = F.sum("net").over(Window.partitionBy("year"))
@@ -22,7 +23,7 @@ def quarter_share(star) -> DataFrame:
 
 def q1_dip(star) -> DataFrame:
     """Average monthly sales of Q4 against the following Q1 (months with sales)."""
-    m = monthly_sales(star.fact, star.dim_date).withColumn(
+    m = monthly_sales(covering(star, ["date_key"], {}).fact, star.dim_date).withColumn(
         "quarter", F.quarter(F.make_date("year", "month", F.lit(1))))
     qa = m.groupBy("year", "quarter").agg(
         safe_div(F.sum("net"), F.count(F.lit(1))).alias("avg_month"))
@@ -46,7 +47,7 @@ def sku_concentration(star, top_n: int = 20) -> DataFrame:
     The top N come from an ordered limit (partial top-k per task, then a merge),
     the total from the same per-product aggregate; both meet in one final
     aggregate over N + 1 rows."""
-    per = star.fact.groupBy("product_code").agg(F.sum("line_total").alias("net"))
+    per = covering(star, ["product_code"], {}).fact.groupBy("product_code").agg(F.sum("line_total").alias("net"))
     top = (per.orderBy(F.col("net").desc(), F.col("product_code")).limit(top_n)
            .select(F.col("net").alias("top"), F.lit(None).cast(per.schema["net"].dataType).alias("all")))
     allp = per.agg(F.sum("net").alias("all")).select(

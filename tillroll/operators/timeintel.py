@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_index
 from ..functions.ratios import dax_div
 from ..schemas import GUEST_CUSTOMER_ID
+from .aggregates import covering
 from .measures import _DIM_COLUMNS, RELATIVE_MONTHS, TIME_MEASURES, apply_where, context
 
 _CALENDAR = {c for c, d in _DIM_COLUMNS.items() if d == "date"} | {"date_key"}
@@ -48,11 +49,12 @@ def _months(star, calendar: dict) -> DataFrame:
     return month_spine(apply_where(days, {c: v for c, v in calendar.items() if c != RELATIVE_MONTHS}))
 
 
-def _sales(star, by, sliced: dict) -> DataFrame:
-    """Fact rows after the slicers on the sales, with the grouping columns."""
+def _sales(star, by, sliced: dict, counted: tuple[str, ...] = ()) -> DataFrame:
+    """Fact rows, or those of a covering aggregate, after the slicers on the sales, with the grouping columns."""
     unknown = set(by) & _CALENDAR
     if unknown:
         raise ValueError(f"measures over time are given by month; {sorted(unknown)} cannot group them")
+    star = covering(star, [*by, *sliced, "date_key", *counted], _DIM_COLUMNS)
     return apply_where(context(star, [*by, *sliced]), sliced)
 
 
@@ -163,7 +165,7 @@ def retention(star, by=(), where=None) -> DataFrame:
     sliced, calendar = _split(where)
     dk = F.col("date_key")
     idx = month_index(F.floor(dk / 10000), F.floor(dk / 100) % 100)
-    cm = (_sales(star, by, sliced).where(F.col("customer_id") != GUEST_CUSTOMER_ID)
+    cm = (_sales(star, by, sliced, ("customer_id",)).where(F.col("customer_id") != GUEST_CUSTOMER_ID)
           .select(*by, "customer_id", idx.alias("idx")).distinct())
     w = Window.partitionBy(*by, "customer_id").orderBy("idx")
     flagged = cm.withColumn("_back", F.lag("idx", 1).over(w) == F.col("idx") - 1)

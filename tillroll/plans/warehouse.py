@@ -24,11 +24,12 @@ import threading
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import aggregates as A
 from ..operators import clean as C
 from ..operators import dims as D
 from ..operators.fact import fact_sales
@@ -49,6 +50,7 @@ class Star:
     dim_branches: DataFrame
     fact: DataFrame
     sf_dir: str
+    aggregates: dict[str, DataFrame] = field(default_factory=dict)      # stored totals, see operators.aggregates
 
 
 REPORT_FIELDS = ("rows_in", "quarantined", "dropped_price", "dropped_quantity", "rows_out")
@@ -59,7 +61,7 @@ def _code_fingerprint() -> str:
     """Version of the code that decides a build's content, also when the package is a zip."""
     h = hashlib.sha1()
     for name in ("sources.raw", "sources.fixtures", "operators.clean", "operators.dims", "operators.fact",
-                 "operators.forecast", "plans.warehouse", "functions.text", "functions.dates", "schemas"):
+                 "operators.forecast", "operators.smoothing", "operators.aggregates", "plans.warehouse", "functions.text", "functions.dates", "schemas"):
         h.update(inspect.getsource(importlib.import_module(f"tillroll.{name}")).encode())
     return h.hexdigest()[:12]
 
@@ -160,6 +162,17 @@ def write_fact(fact: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy(MONTH_PARTITION).parquet(path))
 
 
+def write_aggregates(spark: SparkSession, base: str) -> None:
+    """The stored totals of the written fact, each in ranges of days so that a date slicer skips files.
+
+    The day and branch totals are read off the invoice totals, so the fact is read twice."""
+    fact = spark.read.parquet(join_path(base, "fact_sales"))
+    for name, source in (("agg_invoice", fact), ("agg_day_product", fact), ("agg_day_branch", None)):
+        rows = spark.read.parquet(join_path(base, "agg_invoice")) if source is None else source
+        (A.aggregate(rows, name).repartitionByRange("date_key").sortWithinPartitions("date_key")
+         .write.mode("overwrite").parquet(join_path(base, name)))
+
+
 def build_star(spark: SparkSession, raw: DataFrame, base: str) -> None:
     """Run the ETL and write every table under ``base``.
 
@@ -181,6 +194,7 @@ def build_star(spark: SparkSession, raw: DataFrame, base: str) -> None:
         branches = spark.read.parquet(join_path(base, "dim_branches"))
         fact = fact_sales(clean, branches)
         write_fact(fact, join_path(base, "fact_sales"))
+        write_aggregates(spark, base)
 
     jobs = [branches_then_fact,
             lambda: write(D.dim_date(clean), "dim_date", single_file=True),
@@ -208,7 +222,8 @@ def _read_star(spark: SparkSession, base: str, sf_dir: str) -> Star:
     return Star(base=base, lines=lines, clean=C.clean_only(lines),
                 dim_date=r("dim_date"), dim_customers=r("dim_customers"),
                 dim_products=r("dim_products"), dim_branches=r("dim_branches"),
-                fact=r("fact_sales"), sf_dir=sf_dir)
+                fact=r("fact_sales"), sf_dir=sf_dir,
+                aggregates={name: r(name) for name in A.KEYS if _exists(spark, join_path(base, name))})
 
 
 _OPEN: dict = {}
