@@ -2,6 +2,7 @@
 
   split     --raw PATH --extracts DIR --uk-cutoff DATE   split raw CSV data into six regional extracts
   etl       --extracts DIR --warehouse DIR       load six regional CSV extracts into a star
+  load      --extracts DIR --warehouse DIR [--mode replace|months|append]   one published load
   sql       --warehouse DIR --query TEXT         run Spark SQL over the star's views
   forecast  --warehouse DIR --out DIR [--fmt csv|parquet] [--method search|grid]
 """
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import argparse
 
-from .plans.app import open_warehouse, register_views, rejected, run_etl, run_forecast
+from .plans.app import open_warehouse, register_views, rejected, run_etl, run_forecast, run_load
 from .session import get_session
 from .sources.raw import split_extract
 
@@ -26,6 +27,10 @@ def main(argv=None) -> None:
     e = sub.add_parser("etl")
     e.add_argument("--extracts", required=True)
     e.add_argument("--warehouse", required=True)
+    ld = sub.add_parser("load")
+    ld.add_argument("--extracts", required=True)
+    ld.add_argument("--warehouse", required=True)
+    ld.add_argument("--mode", default="months", choices=("replace", "months", "append"))
     q = sub.add_parser("sql")
     q.add_argument("--warehouse", required=True)
     q.add_argument("--query", required=True)
@@ -45,6 +50,10 @@ def main(argv=None) -> None:
         star = run_etl(spark, args.extracts, args.warehouse)
         print(f"star written to {star.base}")
         rejected(star).orderBy("source_rank", "reason").show(truncate=False)
+    elif args.cmd == "load":
+        star = run_load(spark, args.extracts, args.warehouse, args.mode)
+        print(f"published in {star.base}")
+        rejected(star).orderBy("source_rank", "reason").show(truncate=False)
     elif args.cmd == "sql":
         register_views(spark, open_warehouse(spark, args.warehouse))
         spark.sql(args.query).show(args.rows, truncate=False)

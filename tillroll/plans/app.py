@@ -2,6 +2,8 @@
 
 * ``etl``      – six regional CSV extracts → cleaned lines → star, written to a
                  warehouse folder (the load step).
+* ``load``     – the same into a warehouse whose loads are published in one step,
+                 and can replace single months or add to them.
 * ``views``    – register the warehouse tables as SQL views, so audit and
                  business queries can be written as plain Spark SQL.
 * ``forecast`` – weekly series → annual Holt-Winters → next 13 weeks, written
@@ -10,14 +12,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import forecast as I
 from ..operators import smoothing as S
+from ..operators.clean import clean_lines
 from ..session import join_path
 from ..sources.raw import read_sources, with_line_id
-from ..sources.sinks import write_forecast
+from ..sources.sinks import write_clean, write_forecast
+from . import published
 from .warehouse import Star, _read_star, build_star
 
 STAR_TABLES = {"dim_date": "dim_date", "dim_customers": "dim_customers",
@@ -48,7 +54,23 @@ def rejected(star: Star) -> DataFrame:
             .groupBy("source_rank", reason.alias("reason")).agg(F.count(F.lit(1)).alias("rows")))
 
 
-def open_warehouse(spark: SparkSession, warehouse: str) -> Star:
+def run_load(spark: SparkSession, extracts: str, warehouse: str, mode: str = "months", **read) -> Star:
+    """Extract → clean → one published load of ``warehouse`` (``published.load``): the cleaned
+    lines are staged once, since several tables are made of them, and the stage is removed."""
+    stage = join_path(warehouse, f"_stage-{uuid.uuid4().hex[:12]}")
+    try:
+        write_clean(clean_lines(raw_from_extracts(spark, extracts, **read)), stage)
+        published.load(spark, warehouse, spark.read.parquet(stage), mode)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(stage)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return open_warehouse(spark, warehouse)
+
+
+def open_warehouse(spark: SparkSession, warehouse: str, version: int | None = None) -> Star:
+    """A warehouse folder of ``run_etl``, or the last (or given) published version of one of ``run_load``."""
+    if version is not None or published.versions(spark, warehouse):
+        return published.open_published(spark, warehouse, version)
     return _read_star(spark, warehouse, sf_dir="")
 
 

@@ -18,11 +18,13 @@ from ..operators import measures as M
 from ..operators import report as H
 from ..operators import smoothing as S
 from ..operators import timeintel as TI
+from ..functions.dates import month_key
 from ..schemas import FACT_COLUMNS
 from ..session import checkpoint_base, join_path
 from ..sources import fixtures as FX
 from ..sources import raw as RW
-from .warehouse import load_star, open_extracts, open_fit, open_star
+from . import published as P
+from .warehouse import _materialize, load_star, open_extracts, open_fit, open_star
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -317,6 +319,63 @@ def _sink_star(spark, sf):
     return _money_out(spark.read.parquet(join_path(path, "fact_sales")).select(*FACT_COLUMNS))
 
 
+# Loads in several steps: years before SPLIT_YEAR, then the others (CORRECTED months with part of their
+# lines), then the corrected months again with all of theirs.
+SPLIT_YEAR, CORRECTED = 1996, (199703, 199705)
+
+
+def _loaded(spark, sf):
+    """Star of a warehouse that was filled by three published loads."""
+    def build(path):
+        lines = open_star(spark, sf).lines
+        late = F.year("invoice_date") >= SPLIT_YEAR
+        corrected = month_key("invoice_date").between(*CORRECTED)
+        P.load(spark, path, lines.where(~late), "replace")
+        P.load(spark, path, lines.where(late & ~(corrected & (F.col("quantity") % 2 == 0))), "append")
+        P.load(spark, path, lines.where(corrected), "months")
+    return P.open_published(spark, _materialize(spark, sf, "published", build))
+
+
+@query("load_fact")
+def _load_fact(spark, sf):
+    """Fact of the published warehouse, each branch by its name (numbers depend on the order of loads)."""
+    s = _loaded(spark, sf)
+    names = s.dim_branches.select("branch_id", "branch_name")
+    rows = s.fact.join(names, "branch_id", "left")
+    return _money_out(rows.select("branch_name", *(c for c in FACT_COLUMNS if c != "branch_id")))
+
+
+@query("load_customers")
+def _load_customers(spark, sf):
+    return _loaded(spark, sf).dim_customers
+
+
+@query("load_products")
+def _load_products(spark, sf):
+    return _loaded(spark, sf).dim_products
+
+
+@query("load_measures")
+def _load_measures(spark, sf):
+    """Measures over the published warehouse's stored totals."""
+    return M.evaluate(_loaded(spark, sf), _BY_COUNTRY["m_core"], by=("country",))
+
+
+@query("dim_merge")
+def _dim_merge(spark, sf):
+    """Two loads of the product dimension: what the first one stored stays, the second one adds its new codes."""
+    clean = open_star(spark, sf).clean
+    rows = clean.select(F.col("stock_code").alias("product_code"), F.col("description").alias("product_name"), "invoice_date", "invoice")
+    order = [F.col("invoice_date"), F.col("invoice"), F.col("product_name")]
+    late = F.year("invoice_date") >= SPLIT_YEAR
+
+    def first(path):
+        DM.dedupe_dim(rows.where(late), "product_code", order).select("product_code", "product_name").write.parquet(path)
+
+    stored = spark.read.parquet(_materialize(spark, sf, "dim-first-load", first))
+    return stored.unionByName(DM.merge_dim(stored, rows.where(~late), "product_code", order).select("product_code", "product_name"))
+
+
 @query("star_view")
 def _star_view(spark, sf):
     return _money_out(FT.star_view(open_star(spark, sf)))
