@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import random
 import re
+import unicodedata
 from collections import Counter
 from hashlib import sha256
 from itertools import combinations
@@ -205,6 +206,21 @@ def test_copies_and_repeated_words_do_not_fill_the_sample(spark):
     assert len(got) == 40 and len(set(got)) > 20
 
 
+def test_long_words_give_bounded_segments_from_any_place(spark):
+    word = "".join(f"{i:04d}" for i in range(2000))
+    df = spark.createDataFrame([("en", f"{word}{i}") for i in range(40)], "lang string, text string")
+    got = langid.labelled_words(df)
+    assert len(got) == 40 and all(0 < len(w) <= langid.SEGMENT for w, _ in got)
+    assert len({w[:4] for w, _ in got}) > 20 and all(w.decode()[:40] in word + word[:100] for w, _ in got if len(w) > 40)
+
+
+def test_numerals_are_no_letters(spark):
+    docs = table(spark, SMALL, "documents").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1, "½ ½", None), (-2, "² ③", None), (-3, "Ⅷ _ 1", None), (-4, "ª", None)], docs.schema)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs.unionByName(odd)).collect() if r.doc_id < 0}
+    assert got[-1] == got[-2] == got[-3] == ("und", 0.0) and got[-4][0] != "und"
+
+
 def test_labels_of_held_out_rows_are_not_read(spark):
     docs = table(spark, SMALL, "documents").select("doc_id", "text", "lang")
     train = docs.where(~langid.held_out("doc_id"))
@@ -218,7 +234,7 @@ def test_language_awkward_rows(spark):
     got = langid.identify(awkward(spark)).collect()
     assert len(got) == len(AWKWARD)
     for r in got:
-        if r.text is None or not re.search(r"[^\W\d_]", r.text):
+        if r.text is None or not any(unicodedata.category(c).startswith("L") for c in r.text):
             assert (r.lang_pred, r.score) == ("und", 0.0)
         else:
             assert r.lang_pred in ("en", "de", "fr", "es")

@@ -41,7 +41,7 @@ def test_tokens_have_one_merge_later_than_their_parts(own):
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(
-    ["a", "th", "ing", " ", "\n", "'s", "'LL", "É", "ß", "İ", "Σ", "ñ", "1", "²", "中", "😀", "\x1c", "\x85", "́", "_", "#", "\0", "\0\0", "<|endoftext|>", "ﬁ", "K"]),
+    ["a", "th", "ing", " ", "\n", "'s", "'LL", "É", "ß", "İ", "Σ", "ñ", "1", "²", "中", "😀", "\x1c", "\x85", "́", "_", "#", "\0", "\0\0", "<|endoftext|>", "<|ENDOFTEXT|>", "ﬁ", "K"]),
     max_size=30).map("".join))
 def test_odd_texts_as_the_library(text):
     want = LIBRARY.encode(text, add_special_tokens=False).ids
@@ -50,6 +50,14 @@ def test_odd_texts_as_the_library(text):
     assert bpe.vocabulary(PATH).decode(got) == LIBRARY.decode(want, skip_special_tokens=False)
 
 
+def test_a_plain_text_is_never_read_as_a_special_token():
+    own = bpe.vocabulary(PATH)
+    for text in ("\0\0<|ENDOFTEXT|>", "\0\0<|endoftext|>", "<|endoftext|>x<|EndOfText|>", "49407 <|endoftext|>"):
+        for _ in range(2):                        # also once the words are cached
+            want = LIBRARY.encode(text, add_special_tokens=False).ids
+            assert ids_of(own.encode([text])[0]) == want
+
+
 def test_pair_check_agrees_with_exact_merging(own, library):
     rnd = random.Random(1)
     words = ["".join(rnd.choice("abcdeinorst") for _ in range(rnd.randint(1, 14))) for _ in range(4000)]

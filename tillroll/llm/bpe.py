@@ -278,13 +278,13 @@ class WordBPE:
         for w, ps in cut.items():
             words[w] = words[ps[0]] if len(ps) == 1 else b"".join([words[p] for p in ps])
 
-    def _split(self, text: str) -> list[str]:
-        """Normalised white-space words; special-token strings stand alone, marked by a leading NUL NUL."""
+    def _split(self, text: str) -> list[str | int]:
+        """Normalised white-space words; a special token's string gives its id, a number among the words."""
         if self.special_re is not None and "<|" in text and (found := list(self.special_re.finditer(text))):
             out, at = [], 0
             for m in found:
                 out += self._split(text[at:m.start()])
-                out.append("\0\0" + m[0])
+                out.append(self.special[m[0]])
                 at = m.end()
             return out + self._split(text[at:])
         if not text.isascii():
@@ -302,10 +302,10 @@ class WordBPE:
         gaps = [(ws, got, k) for ws, got in zip(split, ids) for k in _gaps(got)]
         if gaps:
             missing = {ws[k] for ws, _, k in gaps}
-            marked = [w for w in missing if w.startswith("\0\0<|") and w[2:] in self.special]
-            self.learn(missing.difference(marked))
-            for w in marked:
-                self.words[w] = self._bytes([self.special[w[2:]]])
+            numbers = [w for w in missing if isinstance(w, int)]
+            self.learn(missing.difference(numbers))
+            for w in numbers:
+                self.words[w] = self._bytes([w])
             for ws, got, k in gaps:
                 got[k] = self.words[ws[k]]
         return list(map(b"".join, ids))

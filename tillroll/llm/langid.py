@@ -11,12 +11,12 @@ backpropagation through time on a bounded sample of labelled rows.
 from __future__ import annotations
 
 import pickle
-import re
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +24,8 @@ from .common import slices
 
 UNKNOWN = "und"
 SEGMENT = 48                     # bytes of a word that are read in one go
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")  # a numeral such as one half is no letter
+SPREAD = 32                      # parts in which a language's sample is chosen before the parts are merged
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -157,17 +158,23 @@ def labelled_words(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
     """A bounded sample of labelled words: at most docs_per_lang * words_per_doc a language.
 
     Distinct texts are chosen by hash, copies counting once, and words by a hash of the
-    word and its place, from the whole texts.  Only non-null,
+    word and its place, from the whole texts; a word longer than a segment gives any one of its segments.  Only non-null,
     non-empty languages and texts take part.
     """
     rows = (docs.select(docs[lang_col].alias("lang"), docs[text_col].cast("string").alias("text"))
             .where("lang IS NOT NULL AND lang <> '' AND text RLIKE '\\\\S'")
             .withColumn("key", F.xxhash64("lang", "text")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    picked = (rows.select("lang", "key").distinct().withColumn("rank", rank).where(F.col("rank") <= docs_per_lang)
-              .select("lang", "key"))
+    keys = rows.select("lang", "key").distinct()
+    # the least keys of each part, then of the language: the second step reads SPREAD * docs_per_lang rows a language
+    for by in (["lang", F.pmod(F.xxhash64("key"), F.lit(SPREAD))], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("key"))
+        keys = keys.withColumn("rank", rank).where(F.col("rank") <= docs_per_lang).select("lang", "key")
+    picked = keys
+    # a long word gives one of its segments, cut here, so that what is collected is bounded
     word = F.transform(F.split("text", r"\s+"), lambda w, i: F.struct(F.xxhash64(w, i, F.col("key")).alias("h"), w.alias("w")))
-    words = F.slice(F.array_sort(F.filter(word, lambda w: F.length(w["w"]) > 0)), 1, words_per_doc)["w"]
+    word = F.slice(F.array_sort(F.filter(word, lambda w: F.length(w["w"]) > 0)), 1, words_per_doc)
+    words = F.transform(word, lambda w: F.substring(
+        w["w"], (F.pmod(w["h"], F.ceil(F.length(w["w"]) / SEGMENT)) * SEGMENT + 1).cast("int"), F.lit(SEGMENT)))
     # picked holds at most docs_per_lang keys a language
     sample = (rows.join(F.broadcast(picked), ["lang", "key"]).select("lang", "key", words.alias("ws"))
               .dropDuplicates(["lang", "key"]).select("lang", "ws").collect())

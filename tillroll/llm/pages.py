@@ -4,9 +4,14 @@ A page is read as text nodes, each under its path of block tags from the root.
 every path the text length and the punctuation of its nodes are added up and divided
 by the number of nodes; both ratios are smoothed along the page, fused, and held
 against a threshold.  The nodes above it vote, weighted by their text, for the
-container that holds the article; all text of the container outside of boilerplate
-blocks is the result.  Class words only lower the scores of what an element holds, and
-not where it holds the page's article or most of its text.
+container that holds the article; the text of the container outside of boilerplate
+blocks is the result.
+
+What speaks against an element only casts doubt on what it holds, and not where it
+holds the page's article or most of its text: a whole page may stand in a form.  Words
+in class, id or role lower the scores, and a block above the threshold stays all the
+same; forms, dialogs, hidden elements, articles inside an article (reader comments) and
+lists that are nothing but links need more than a score to stay.
 """
 
 from __future__ import annotations
@@ -24,34 +29,40 @@ from .common import slices
 #: HTML tags by how they are read.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title svg math iframe object select option".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
+INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike "
                    "strong sub sup time tt u var".split())
 HEAD_ONLY = frozenset(["head"])
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre "
                      "section table ul".split())
-NEVER_CONTENT = frozenset("nav footer aside form button dialog menu".split())
+NEVER_CONTENT = frozenset("nav footer aside button label legend".split())
+DOUBTFUL = frozenset("form dialog menu".split())
 CONTENT = ("article", "main")
 #: Words in class, id or role that speak for a block beside the article.
 BESIDE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adslot|adbox|banner|sponsor\w*|promo\w*|menu|nav|navbar|navigation|breadcrumbs?|sidebar|side|"
     r"footer|header|masthead|comments?|replies|disqus|cookies?|consent|notices?|newsletter|subscribe|signup|share|sharing|"
-    r"social|related|recommended|popup|modal|toolbar|complementary|contentinfo|search|login|pager|pagination|widget)(?:$|[\s_-]|\d)", re.I)
+    r"social|related|recommended|popup|modal|toolbar|complementary|contentinfo|search|login|pager|pagination|widget|"
+    r"alerts?|alertdialog|feedback|responses?|discussion|reactions|talkback|toast|gdpr|paywall)(?:$|[\s_-]|\d)", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 #: A headline's block: the word header does not speak against it.
 HEADLINE = re.compile(r"(?:^|[\s_-])(?:entry|article|post|story|content|page)[_-]+header(?=$|[\s_-])", re.I)
 DOUBT = 0.1                  # factor on the score of a block under such a word
 TAG = re.compile(r"</?[A-Za-z]|<!--")
-ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+#: A comment's own element, also where it is an article.
+COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies)|responses?)(?:$|[\s_-]|\d)", re.I)
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+WORDS, STRONG = 1, 2         # doubt by words, doubt that a score does not overrule
+ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    """A block element: its tag, parent, number of its path of tags, and whether it or an ancestor is boilerplate, whether its words say so."""
+    """A block element: its tag, parent, number of its path of tags, whether it or an ancestor is boilerplate, and what doubt it stands under."""
 
     __slots__ = ("tag", "parent", "path", "beside", "doubt", "depth")
 
-    def __init__(self, tag: str, parent: Node | None, beside: bool, doubt: bool, paths: dict[tuple[int, str], int]):
+    def __init__(self, tag: str, parent: Node | None, beside: bool, doubt: int, paths: dict[tuple[int, str], int]):
         self.tag, self.parent = tag, parent
         self.path = paths.setdefault((parent.path if parent else 0, tag), len(paths) + 1)
         self.beside = beside or bool(parent and parent.beside)
@@ -59,58 +70,68 @@ class Node:
         self.depth = parent.depth + 1 if parent else 0
 
 
-def _beside(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in NEVER_CONTENT or tag == "header" and not in_article:
-        return True
-    if attributes and tag not in ("html", "body", *CONTENT):
-        for name, value in ATTRIBUTE.findall(attributes):
-            name = name.lower()
-            if name == "hidden" or name == "aria-hidden" and value.strip("\"'").lower() == "true":
-                return True
-    return False
+def _beside(tag: str, in_article: bool) -> bool:
+    return tag in NEVER_CONTENT or tag == "header" and not in_article
 
 
-def _doubt(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether a word in class, id or role speaks against the element."""
-    if attributes and tag not in ("html", "body", *CONTENT):
+def _doubt(tag: str, attributes: str, in_article: bool) -> int:
+    """What the tag, its words and its visibility say against the element."""
+    if tag in DOUBTFUL:
+        return STRONG
+    found = 0
+    if attributes and tag not in ("html", "body"):
         for name, value in ATTRIBUTE.findall(attributes):
-            if name.lower() in ("class", "id", "role"):
-                value = HEADLINE.sub(" ", value.strip("\"'"))
-                if BESIDE.search(value) and not (in_article and tag == "header" and value.strip().lower() == "header"):
-                    return True
-    return False
-
-
-def blocks(html: str) -> list[tuple[Node, str]]:
-    """Text blocks in page order with the element that holds each; character references decoded, white space joined."""
+            name, value = name.lower(), value.strip("\"'")
+            if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and UNSEEN.search(value):
+                return STRONG
+            if name in ("class", "id", "role"):
+                if tag == "article" and COMMENT.search(value):
+                    return STRONG
+                value = HEADLINE.sub(" ", value)
+                if tag not in CONTENT and BESIDE.search(value) and not (in_article and tag == "header" and value.strip().lower() == "header"):
+                    found = WORDS
+    return found
+
+
+def blocks(html: str) -> list[tuple[Node, str, bool]]:
+    """Text blocks in page order with the element that holds each, and whether all of it is link text; character
+    references decoded, white space joined."""
     paths: dict[tuple[int, str], int] = {}
-    root = Node("#", None, False, False, paths)
+    root = Node("#", None, False, 0, paths)
     at, node = 0, root
-    out: list[tuple[Node, str]] = []
+    out: list[tuple[Node, str, bool]] = []
     pending: list[str] = []
-    articles = 0
+    plain: list[str] = []                  # of these, what stands outside of links
+    articles, linked = 0, False
 
     def flush():
         if pending:
             text = SPACE.sub(" ", unescape("".join(pending))).strip()
             if text:
-                out.append((node, text))
+                out.append((node, text, not any(x.strip() for x in plain)))
             pending.clear()
+            plain.clear()
+
+    def take(text: str):
+        pending.append(text)
+        if not linked:
+            plain.append(text)
 
     find = TOKEN.search
     while True:
         m = find(html, at)
         if m is None:
-            pending.append(html[at:])
+            take(html[at:])
             break
         if m.start() > at:
-            pending.append(html[at:m.start()])
+            take(html[at:m.start()])
         at = m.end()
         name = m[2]
         if not name:
             continue
         tag = name.lower()
         if tag in INLINE:
+            linked = linked if tag != "a" else not m[1]
             continue
         if tag == "br":
             pending.append(" ")
@@ -155,7 +176,7 @@ def blocks(html: str) -> list[tuple[Node, str]]:
                 if tag == "tr" and node.tag == "tr":
                     node = node.parent
         articles += tag in CONTENT
-        node = Node(tag, node, tag in HEAD_ONLY or _beside(tag, m[3], articles > 0),
+        node = Node(tag, node, tag in HEAD_ONLY or _beside(tag, articles > 0),
                     _doubt(tag, m[3], articles > 0), paths)
         if m[3].endswith("/") and tag not in CLOSES_P:
             node = node.parent
@@ -163,11 +184,11 @@ def blocks(html: str) -> list[tuple[Node, str]]:
     return out
 
 
-def path_scores(items: list[tuple[Node, str]], sigma: float = 1.0) -> np.ndarray:
+def path_scores(items: list[tuple[Node, str, bool]], sigma: float = 1.0) -> np.ndarray:
     """Fused text and punctuation ratio of each block's path, smoothed along the page."""
     length, signs, nodes = defaultdict(int), defaultdict(int), defaultdict(int)
-    paths = [n.path for n, _ in items]
-    for path, (_, text) in zip(paths, items):
+    paths = [n.path for n, *_ in items]
+    for path, (_, text, _) in zip(paths, items):
         length[path] += len(text)
         signs[path] += len(PUNCTUATION.findall(text))
         nodes[path] += 1
@@ -183,49 +204,80 @@ def path_scores(items: list[tuple[Node, str]], sigma: float = 1.0) -> np.ndarray
     return smooth(text_ratio) * (1 + smooth(sign_ratio))
 
 
-def doubted(items: list[tuple[Node, str]]) -> np.ndarray:
-    """Which blocks stand under a word that speaks against them.
+def doubted(items: list[tuple[Node, str, bool]]) -> np.ndarray:
+    """The doubt that each block stands under: 0, WORDS or STRONG.
 
     An element that holds the largest article, or without any article more than half
-    of the page's text, is not doubted, whatever its words.
+    of the page's text, is not doubted.  The largest article is sought first among
+    those that nothing speaks against; an article inside another one is a comment
+    unless it holds most of the outer one's text.
     """
     size: dict[Node, int] = defaultdict(int)
-    for node, text in items:
+    own: dict[Node, list[bool]] = defaultdict(list)
+    for node, text, link in items:
+        own[node].append(link)
         while node is not None:
             size[node] += len(text)
             node = node.parent
-    article = max((n for n in size if n.tag in CONTENT), key=lambda n: (size[n], -n.depth), default=None)
+    inner: set[Node] = set()
+    outer: dict[Node | None, Node | None] = {None: None}     # nearest article that holds an element
+    menus: set[Node] = set()
+    links: dict[Node, int] = defaultdict(int)
+    plain: set[Node] = set()
+    for node, blocks_ in own.items():
+        up = node
+        while up is not None:
+            links[up] += len(blocks_)
+            if not all(blocks_):
+                plain.add(up)
+            up = up.parent
+    for n in size:
+        way = []
+        up = n
+        while up not in outer:
+            way.append(up)
+            up = up.parent
+        for x in reversed(way):
+            holder = outer[x.parent]
+            if x.tag == "article" and holder is not None and 2 * size[x] <= size[holder]:
+                inner.add(x)
+            outer[x] = x if x.tag == "article" else holder
+        if n.tag in ("ul", "ol", "div", "section") and n not in plain and links[n] >= 3:
+            menus.add(n)
+    total = sum(len(t) for _, t, _ in items)
+    articles = [n for n in size if n.tag in CONTENT and n not in inner and (n.doubt < STRONG or 2 * size[n] > total)]
+    article = max(articles, key=lambda n: (n.doubt == 0, size[n], -n.depth), default=None)
     cleared = set()
     up = article
     while up is not None:
         cleared.add(up)
         up = up.parent
-    total = sum(len(t) for _, t in items)
-    held: dict[Node | None, bool] = {None: False}
+    held: dict[Node | None, int] = {None: 0}
 
-    def under(n: Node | None) -> bool:
+    def under(n: Node | None) -> int:
         way = []
         while n not in held:
             way.append(n)
             n = n.parent
         for x in reversed(way):
             free = x in cleared or article is None and 2 * size[x] > total
-            held[x] = held[x.parent] or x.doubt and not free
+            held[x] = max(held[x.parent], 0 if free else STRONG if x in inner or x in menus else x.doubt)
         return held[way[0]] if way else held[n]
 
-    return np.array([under(n) for n, _ in items], bool)
+    return np.array([under(n) for n, *_ in items], int)
 
 
 def main_text(html: str | None) -> str:
     """The article's text: its blocks in page order, joined by one space; empty if there is none."""
     items = blocks(html or "")
-    items = [(n, t) for n, t in items if not n.beside]
+    items = [x for x in items if not x[0].beside]
     if not items:
         return ""
     doubt = doubted(items)
-    score = path_scores(items) * np.where(doubt, DOUBT, 1.0)
+    score = path_scores(items) * np.where(doubt > 0, DOUBT, 1.0)
     threshold = score.std()
-    chosen = [i for i in range(len(items)) if score[i] >= threshold] or list(range(len(items)))
+    chosen = [i for i in range(len(items)) if score[i] >= threshold and doubt[i] < STRONG]
+    chosen = chosen or [i for i in range(len(items)) if doubt[i] < STRONG] or list(range(len(items)))
     voted = set(chosen)
     weight: dict[Node, int] = defaultdict(int)
     for i in chosen:
@@ -250,7 +302,7 @@ def main_text(html: str | None) -> str:
             n = n.parent
         return False
 
-    return " ".join(t for i, (n, t) in enumerate(items) if inside(n) and (i in voted or not doubt[i]))
+    return " ".join(t for i, (n, t, _) in enumerate(items) if inside(n) and (i in voted or not doubt[i]))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
