@@ -66,6 +66,55 @@ def test_ownership_separates_copied_from_owned(spark):
     assert clean[2] == "see [SECRET] here" and clean[1] == "[SECRET]" and clean[20] == rows[-1][1]
 
 
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+def test_copies_are_found_behind_punctuation_and_with_dots(spark):
+    v, jwt, long = "q7Xw2LpZ9vKd4RtY", "eyJhbGci.eyJzdWI3.SflKxw-RJ_SMeK", "k9-" + "Zq3xY7" * 60
+    rows = [(1, f"password = {v}"), (2, f"--pin={v}"), (3, f"https://h/{v}"), (4, f"_{v}"), (5, f"plain {v} x"), (6, f"{v}{v}"), (7, f"x{v}"),
+            (8, f"a/{v}/b={v}."), (10, f"token: '{jwt}'"), (11, f"see {jwt}, then"), (12, f"auth={jwt}/next"), (13, jwt.replace(".", ",")),
+            (20, f"secret={long}"), (21, f"é\U0001F600{long}"), (30, f"x={v} deadbeefdeadbeef0{v}")]
+    got = {r.doc_id: r.spans for r in secrets.digests(secrets.scan(frame(spark, [(*r, "en", "one") for r in rows]))).collect()}
+    place = lambda i, x: ",".join(f"owned:{m.start()}:{m.end()}" for m in re.finditer(re.escape(x), dict(rows)[i]))
+    for i in (2, 3, 4, 5, 8):
+        assert got[i] == place(i, v) != ""
+    assert got[6] == got[7] == got[13] == ""              # part of a longer word, or another string
+    assert got[11] == place(11, jwt) and got[12] == place(12, jwt) and got[21] == place(21, long)
+    assert got[30].startswith("owned:2:18")
+
+
+def test_a_key_in_many_repositories_of_one_owner_is_copied(spark):
+    key, own = "Zz81mNbV5cXa3QwE", "q7Xw2LpZ9vKd4RtY"
+    rows = [(i * 150, f"api_key = {key}", "en", "one") for i in range(40)] + [(i, f"secret: {own}", "en", "one") for i in range(1, 60)]
+    rows += [(7000, f"bare {key} and {own}", "en", "one")]
+    got = {r.doc_id: r for r in secrets.digests(secrets.scan(frame(spark, rows))).collect()}
+    assert got[0].n_copied == 1 and (got[0].n_owners, got[0].n_repos) == (1, 41)
+    assert got[1].n_live == 1 and (got[1].n_owners, got[1].n_repos) == (1, 2)
+    assert got[7000].spans == "owned:26:42" and got[7000].n_owners == 0
+
+
+def test_no_value_is_stored(spark, tmp_path, monkeypatch):
+    value, seen = "q7Xw2LpZ9vKd4RtY", []
+    real = secrets.checkpointed
+
+    def kept(df):
+        out = real(df)
+        seen.append(str(out.collect()))
+        return out
+
+    monkeypatch.setattr(secrets, "checkpointed", kept)
+    secrets.scan(frame(spark, [(1, f"token = {value}", "en", "a"), (2, f"--k={value}", "en", "a")])).collect()
+    assert len(seen) >= 4 and not any(value in s for s in seen)
+
+
+def test_redaction_leaves_everything_but_the_spans(spark):
+    v = "q7Xw2LpZ9vKd4RtY"
+    rows = [(1, f"a password = {v} b", "en", "one"), (2, f"u --pin={v}; deadbeefdeadbeef01 v", "en", "one"), (3, "nothing here", "en", "one"), (4, None, None, None)]
+    got = {r.doc_id: r.text for r in secrets.redact(frame(spark, rows)).collect()}
+    assert got == {1: "a [SECRET] b", 2: "u --pin=[SECRET]; [SECRET] v", 3: "nothing here", 4: None}
+
+
 def test_secrets_awkward_tables(spark):
     df = awkward(spark)
     assert secrets.scan(df).count() == len(AWKWARD)

@@ -46,42 +46,60 @@ def _op1(spark, sf_dir):
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
-def _secrets_sql(max_owners: int = 3) -> str:
-    """The scan as SQL: matches and the text between them give positions by running sums of lengths."""
-    words = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
-                     for w in ("password", "passwd", "secret", "token", "api_?key"))
-    assign = f"({words})[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
-    patterns = (assign, secrets.ACCESS, secrets.HEX, "[A-Za-z0-9+/_=-]{12,}")
+#: The pattern of assigned secrets, as the contract has it, in the SQL engine's syntax.
+ASSIGN = "(?i:(password|passwd|secret|token|api_?key))[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+
+
+def _secrets_sql(max_owners: int = secrets.MAX_OWNERS, max_repos: int = secrets.MAX_REPOS) -> str:
+    """The scan as SQL: matches and the text between them give positions by running sums of lengths, and a value's bare
+    places are where the text is split by it."""
+    patterns = (ASSIGN, secrets.ACCESS, secrets.HEX)
     places = " UNION ALL ".join(f"""
         SELECT rid, {kind} AS kind, unnest(ms) AS s, unnest(gs[1:len(ms)]) AS g, unnest(range(1, len(ms) + 1)) AS i
         FROM (SELECT rid, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS gs FROM d)"""
                                 for kind, p in enumerate(patterns))
+    digit = "regexp_matches({}, '[0-9]')".format
+    parts = "regexp_extract_all(c, '[A-Za-z0-9]+')"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner,
-                  concat_ws('/', source, lang) AS repo FROM documents),
+                  concat_ws('/', source, lang, doc_id // {secrets.BLOCK}) AS repo FROM documents),
 m AS (SELECT *, sum(length(g) + length(s)) OVER (PARTITION BY rid, kind ORDER BY i) AS e FROM ({places})),
 spans AS (SELECT rid, kind, CAST(e - length(s) AS BIGINT) AS b, CAST(e AS BIGINT) AS e,
-                 CASE WHEN kind = 0 THEN regexp_extract(s, '{assign}', 2) ELSE s END AS v FROM m),
-found AS (SELECT *, substr(sha256(rtrim(v, '.')), 1, 32) AS h FROM spans
-          WHERE CASE WHEN kind = 0 THEN length(v) >= 12 WHEN kind = 3 THEN regexp_matches(v, '[0-9]') ELSE true END),
-kept AS (SELECT * FROM found f WHERE kind < 3 OR NOT EXISTS (
-           SELECT 1 FROM found o WHERE o.rid = f.rid AND o.kind < 3 AND o.b < f.e AND o.e > f.b)),
+                 CASE WHEN kind = 0 THEN regexp_extract(s, '{ASSIGN}', 2) ELSE s END AS v FROM m),
+base AS (SELECT rid, kind, b, e, trim(v, '{secrets.EDGE}') AS c FROM spans WHERE kind > 0 OR length(v) >= 12),
+cores AS (SELECT DISTINCT c,
+                 {digit('c')} AND regexp_matches(c, '[A-Za-z]') AND len(list_distinct(string_split(c, ''))) >= 8
+                 AND NOT regexp_matches(c, '(?i)example|sample|dummy|changeme|placeholder|xxxx|1234567890')
+                 AND len(list_filter(range(1, length(c) - 4), lambda j: replace(substr(c, j, 6), substr(c, j, 1), '') = '')) = 0 AS live,
+                 {parts} AS ps, string_split_regex(c, '[A-Za-z0-9]+') AS gs FROM base),
+sought AS (SELECT c FROM cores WHERE length(c) BETWEEN {secrets.SINGLE} AND {secrets.LONGEST} AND CASE WHEN len(ps) = 1 THEN {digit('c')} ELSE
+             len(list_filter(range(1, len(ps)), lambda i: length(ps[i] || gs[i + 1] || ps[i + 1]) >= {secrets.PAIR}
+                             AND {digit('ps[i] || ps[i + 1]')})) > 0 END),
+cut AS (SELECT rid, c, string_split(t, c) AS q FROM d JOIN sought ON contains(t, c)),
+bare AS (SELECT rid, c, b, b + length(c) AS e FROM (
+           SELECT rid, c, unnest(range(1, len(q))) AS k, q,
+                  unnest(list_transform(range(1, len(q)), lambda k: list_sum(list_transform(q[1:k], lambda x: length(x))) + (k - 1) * length(c)))::BIGINT AS b
+           FROM cut)
+         WHERE NOT regexp_matches(q[k], '[A-Za-z0-9]$') AND NOT regexp_matches(q[k + 1], '^[A-Za-z0-9]')
+           AND NOT (k > 1 AND q[k] = '') AND NOT (k < len(q) - 1 AND q[k + 1] = '')),
 verdicts AS (
-  SELECT h, CASE WHEN count(DISTINCT owner) > {max_owners} THEN 'copied' WHEN bool_or(live) THEN 'live' ELSE 'weak' END AS verdict
-  FROM (SELECT k.*, d.owner,
-               regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= 8
-               AND NOT regexp_matches(v, '(?i)example|sample|dummy|changeme|placeholder|xxxx|1234567890')
-               AND len(list_filter(range(1, length(v) - 4), lambda j: replace(substr(v, j, 6), substr(v, j, 1), '') = '')) = 0 AS live
-        FROM kept k JOIN d USING (rid)) x
-  GROUP BY h HAVING bool_or(kind < 3)),
-shown AS (SELECT k.rid, k.kind, k.b, k.e, w.verdict,
-                 (['assign', 'access', 'hex', 'owned'])[k.kind + 1] || ':' || k.b || ':' || k.e AS span
-          FROM kept k LEFT JOIN verdicts w USING (h) WHERE k.kind < 3 OR w.verdict = 'live')
+  SELECT c, count(DISTINCT owner) AS n_owners, count(DISTINCT repo) AS n_repos,
+         CASE WHEN count(DISTINCT owner) > {max_owners} OR count(DISTINCT repo) > {max_repos} THEN 'copied'
+              WHEN any_value(live) THEN 'live' ELSE 'weak' END AS verdict
+  FROM (SELECT rid, c FROM base UNION ALL SELECT rid, c FROM bare) JOIN d USING (rid) JOIN cores USING (c) GROUP BY c),
+judged AS (SELECT base.*, verdict, n_owners, n_repos FROM base JOIN verdicts USING (c)),
+shown AS (
+  SELECT rid, kind, b, e, verdict, n_owners, n_repos FROM judged
+  UNION ALL
+  SELECT DISTINCT rid, 3, b, e, NULL, NULL, NULL FROM bare JOIN verdicts USING (c)
+  WHERE verdict = 'live' AND NOT EXISTS (SELECT 1 FROM base o WHERE o.rid = bare.rid AND o.b <= bare.b AND o.e >= bare.e)),
+named AS (SELECT *, (['assign', 'access', 'hex', 'owned'])[kind + 1] || ':' || b || ':' || e AS span FROM shown)
 SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
        sha256(coalesce(string_agg(span, ',' ORDER BY b, kind) FILTER (kind < 3), '')) AS base_sha256,
-       coalesce(string_agg(span, ',' ORDER BY b, kind), '') AS spans,
-       count(*) FILTER (kind < 3 AND verdict = 'live') AS n_live, count(*) FILTER (kind < 3 AND verdict = 'copied') AS n_copied
-FROM d LEFT JOIN shown USING (rid) GROUP BY d.rid, d.doc_id
+       coalesce(string_agg(span, ',' ORDER BY b, kind, e), '') AS spans,
+       count(*) FILTER (kind < 3 AND verdict = 'live') AS n_live, count(*) FILTER (kind < 3 AND verdict = 'copied') AS n_copied,
+       coalesce(max(n_owners), 0)::BIGINT AS n_owners, coalesce(max(n_repos), 0)::BIGINT AS n_repos
+FROM d LEFT JOIN named USING (rid) GROUP BY d.rid, d.doc_id
 """
 
 
