@@ -59,39 +59,52 @@ def kneser_ney(grams: Counter):
         y = n[0] / (n[0] + 2 * n[1]) if n[0] + 2 * n[1] else 0
         discounts[k] = [0, *(min(max(i - (i + 1) * y * n[i] / n[i - 1], 0), i) if n[i - 1] else 0 for i in (1, 2, 3))]
 
-    def p(gram):
+    def p(gram, least):
         k = len(gram)
         if not k:
-            return 1 / 64
+            return least
         alike = {g: c for g, c in levels[k].items() if g[:-1] == gram[:-1]}
         total = sum(alike.values())
         if not total:
-            return p(gram[1:])
+            return p(gram[1:], least)
         d = lambda c: discounts[k][min(c, 3)]
         c = alike.get(gram, 0)
-        return max(c - d(c), 0) / total + sum(map(d, alike.values())) / total * p(gram[1:])
+        return max(c - d(c), 0) / total + sum(map(d, alike.values())) / total * p(gram[1:], least)
 
     return p
 
 
-def test_model_is_modified_kneser_ney():
+def test_tables_hold_modified_kneser_ney_counts(spark):
+    """Counts, totals and masses of all orders, through the probability that they give a character."""
     texts = [prose(i, 12) for i in range(6)] + ["", "AB 12!!\n"]
-    keys, sizes = quality.keys_of(texts)
-    assert sizes.tolist() == list(map(len, texts))
-    parts = lambda key: tuple(int(key) >> s & 63 for s in (18, 12, 6, 0))
-    want = []
-    for t in texts:
-        c = [0, 0, 0, *(int(quality.CLASSES[min(ord(x), 0xFFFF)]) for x in t)]
-        want += [tuple(c[i:i + 4]) for i in range(len(t))]
-    assert [parts(k) for k in keys] == want
-    one, n = np.unique(keys, return_counts=True)
-    model = quality.model_of(one, n)
+    docs = spark.createDataFrame([(t, i, "en") for i, t in enumerate(texts)], "text string, doc_id long, lang string")     # in any column order
+    table, discounts, characters = quality.tables(quality.run_ngrams(quality.numbered(docs)))
+    held = {r.gram: r for r in table.collect()}
+    assert characters == len({c for t in texts for c in t})
+    pads = [("",) * 3 + tuple(t) for t in texts]
+    want = [t[i - 3:i + 1] for t in pads for i in range(3, len(t))]
     p = kneser_ney(Counter(want))
-    asked = list(one[::7]) + [int(k) ^ 5 for k in one[::11]] + [0]
-    got = np.exp(model.log_prob(np.array(asked, np.int64)))
-    assert np.allclose(got, [p(parts(k)) for k in asked])
-    context = np.int64(one[3]) >> 6 << 6
-    assert abs(np.exp(model.log_prob(context | np.arange(64))).sum() - 1) < 1e-9
+    grams, at, _ = quality.hashes_of(texts)
+
+    def own(i):
+        out = 1 / (characters + 1)
+        for k in range(1, quality.GRAM + 1):
+            r = held[int(grams[k][i].view(np.int64))]
+            out = (r["count"] - discounts[k][min(r["count"], 3)]) / r.total + r.mass / r.total * out
+        return out
+
+    for i, gram in list(zip(at, want))[::3]:
+        assert np.isclose(own(i), p(gram, 1 / (characters + 1)))
+    texts_rows = [r for r in held.values() if r.total is None]
+    assert len(texts_rows) == len(set(texts)) and all(r["count"] == 1 for r in texts_rows)
+
+
+def test_scores_do_not_depend_on_how_the_table_comes(spark):
+    docs = table(spark, MIDDLE, "documents").select("doc_id", "text", "lang")
+    pick = lambda df: sorted((r.doc_id, r.kept, round(r.perplexity or 0, 9)) for r in df.collect())
+    whole = pick(quality.assess(docs, in_place=True))
+    assert pick(quality.assess(docs.orderBy("doc_id"))) == whole and pick(quality.assess(docs.repartition(7))) == whole
+    assert pick(quality.assess(docs.join(docs.select("doc_id"), "doc_id").select("lang", "text", "doc_id"))) == whole
 
 
 def test_bands_keep_clean_text_and_reject_noise(spark):
@@ -140,7 +153,6 @@ def test_scores_are_those_of_the_other_texts(spark):
 def test_junk_of_the_same_letter_classes_is_rejected(spark):
     greek = str.maketrans("abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψωάέ")
     alike = str.maketrans({chr(c): chr(c + 15 * 1273) for c in range(0x370, 0x400)})
-    assert all(quality.CLASSES[c] == quality.CLASSES[c + 15 * 1273] for c in map(ord, map(chr, greek.values())))
     clean = [(i, prose(i, 150 + i).translate(greek), "el") for i in range(80)]
     junk = [(900, prose(500, 200).translate(greek).translate(alike), "el")]
     got = {r.doc_id: r for r in quality.assess(spark.createDataFrame(clean + junk, "doc_id long, text string, lang string")).collect()}

@@ -16,7 +16,6 @@ band; documents outside it are rejected.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,111 +31,12 @@ START = 0x110000             # stands before a text, where no character can
 STEP = 0x9E3779B97F4A7C15    # of the polynomial hash
 RUN = 32 << 20               # bytes of text whose n-grams meet the tables together
 SLICE = 1 << 20              # bytes of text in arrays at once
-#: The folded model of ``keys_of`` and ``model_of``: plain arrays, held against the formulas in tests.
-ORDER, BITS = 4, 6
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 WINDOW = 5
 BASE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _classes() -> np.ndarray:
-    """Class of each code point of the basic plane: 0 is the start of a text.
-
-    1-26 lower-case a-z, 27 upper case, 28 digits, 29 space, 30 line break, 31 other
-    control characters, 32-47 printable ASCII signs by code, 48-62 letters beyond
-    ASCII by code, 63 all else.
-    """
-    out = np.full(0x10000, 63, np.int64)
-    for c in range(0x10000):
-        ch = chr(c)
-        if c < 128:
-            if ch.islower():
-                out[c] = c - 96
-            elif ch.isupper():
-                out[c] = 27
-            elif ch.isdigit():
-                out[c] = 28
-            elif ch in " \t":
-                out[c] = 29
-            elif ch == "\n":
-                out[c] = 30
-            elif c < 32 or c == 127:
-                out[c] = 31
-            else:
-                out[c] = 32 + c % 16
-        elif ch.isupper():
-            out[c] = 27
-        elif ch.isalpha():
-            out[c] = 48 + c % 15
-    return out
-
-
-CLASSES = _classes()
-
-
-def keys_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The 4-gram key ending at each character, and each text's number of characters."""
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    pad = ORDER - 1
-    joined = ("\0" * pad).join(["", *texts]) if texts else ""
-    raw = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    c = CLASSES[np.minimum(raw, 0xFFFF)]
-    first = np.cumsum(sizes + pad) - sizes
-    for i in range(1, pad + 1):
-        c[first - i] = 0
-    key = c[pad:].copy()
-    for i in range(1, ORDER):
-        key |= c[pad - i:len(c) - i] << (BITS * i)
-    real = np.ones(len(c), bool)
-    for i in range(1, pad + 1):
-        real[first - i] = False
-    return key[real[pad:]], sizes
-
-
-@dataclass
-class Model:
-    """Sorted n-gram keys of each order with their discounted probabilities, and the contexts' backoff weights."""
-
-    keys: list[np.ndarray]       # keys[k]: n-grams of k + 1 characters
-    probs: list[np.ndarray]      # the discounted part of the probability
-    contexts: list[np.ndarray]   # contexts[k]: contexts of k characters
-    backoffs: list[np.ndarray]
-
-    def log_prob(self, key: np.ndarray) -> np.ndarray:
-        """Natural logarithm of the probability of the last character of each 4-gram key."""
-        p = np.full(len(key), 1.0 / (1 << BITS))
-        for k in range(ORDER):
-            gram = key & ((1 << (BITS * (k + 1))) - 1)
-            p = _find(self.contexts[k], self.backoffs[k], gram >> BITS, 1.0) * p + _find(self.keys[k], self.probs[k], gram, 0.0)
-        return np.log(np.maximum(p, 1e-12))      # a tiny corpus may leave no weight for the unseen
-
-
-def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
-    if not len(keys):
-        return np.full(len(wanted), missing)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], missing)
-
-
-def model_of(keys: np.ndarray, counts: np.ndarray) -> Model:
-    """The highest order has raw counts, each lower one counts the distinct characters before it."""
-    grams = [(keys, counts)]
-    for k in range(ORDER - 1, 0, -1):
-        lower, n = np.unique(grams[0][0] & ((1 << (BITS * k)) - 1), return_counts=True)
-        grams.insert(0, (lower, n.astype(np.int64)))
-    model = Model([], [], [], [])
-    for gram, n in grams:
-        d = np.array(discounts_of([int((n == i).sum()) for i in (1, 2, 3, 4)]))[np.minimum(n, 3)]
-        context, back = np.unique(gram >> BITS, return_inverse=True)
-        total = np.bincount(back, n, len(context))
-        model.keys.append(gram)
-        model.probs.append((n - d) / total[back])
-        model.contexts.append(context)
-        model.backoffs.append(np.bincount(back, d, len(context)) / total)
-    return model
-
-
 def measures(text: str) -> tuple[int, int, int, int, int]:
     """The base counts of one text, in the order of BASE_COLUMNS."""
     words = text.split(" ") if text.isascii() and not _OTHER_SPACE.search(text) else WORD.findall(text)
@@ -208,8 +108,9 @@ def _alike(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, lang, text) with the text's hash and the run of documents it belongs to."""
-    src = docs.withColumn("text", text_of(F.col("text"))).withColumn("text_hash", F.xxhash64("text"))
+    """doc_id, lang and text of ``docs`` with the text's hash and the run of documents it belongs to."""
+    src = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), text_of(F.col("text").cast("string")).alias("text"))
+    src = src.withColumn("text_hash", F.xxhash64("text"))
 
     def run(batches):
         at = TaskContext.get().partitionId() << 33
@@ -300,7 +201,9 @@ def tables(rows: DataFrame) -> tuple[DataFrame, dict[int, list[float]], int]:
         by_count = F.when(F.col("count") >= 3, d[3]).when(F.col("count") == 2, d[2]).otherwise(d[1])
         discount = F.when(F.col("size") == k, by_count).otherwise(discount)
     after = counts.where("size > 0").groupBy("size", "context").agg(F.sum("count").alias("total"), F.sum(discount).alias("mass"))
-    table = counts.join(after, ["size", "context"], "left").select("gram", "count", "total", "mass")
+    # the texts' own rows have no context; in the join they would all meet in one key
+    table = counts.where("size > 0").join(after, ["size", "context"], "left").select("gram", "count", "total", "mass")
+    table = table.unionByName(counts.where("size = 0").select("gram", "count"), allowMissingColumns=True)
     return table, discounts, seen[1]["all"] if 1 in seen else 0
 
 
@@ -329,7 +232,7 @@ def log_probs(texts: list[str], copies: np.ndarray, table: tuple, discounts: dic
         gram = grams[k][at].view(np.int64)
         row = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
         if not (keys[row] == gram).all():
-            raise RuntimeError("the documents came in another order when they were read again: checkpoint them before")
+            raise RuntimeError("the documents came in another order when they were read again: in_place is for tables read from files")
         d = np.array(discounts[k])
         count = counts[row]
         rest = np.maximum(count - own, 0)
@@ -352,14 +255,16 @@ def log_probs(texts: list[str], copies: np.ndarray, table: tuple, discounts: dic
     return [float(x / len(t)) if t else None for x, t in zip(total.tolist(), texts)]
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", in_place: bool = False) -> DataFrame:
     """Base counts and mean log probability a character of every whole text, one row per input row.
 
-    The documents are read twice and must come in the same partitions and order both
-    times, as files do; if not, this fails.
+    The documents are read twice, in runs.  The runs are stored first, so their order
+    need not be the same when they are made again; ``in_place`` spares that copy for a
+    table that is read from files as it is, whose partitions and order are (else this fails).
     """
-    src = numbered(docs.select(docs[id_col].alias("doc_id"), docs[lang_col].cast("string").alias("lang"),
-                               docs[text_col].cast("string").alias("text")))
+    src = numbered(docs.select(docs[id_col].alias("doc_id"), docs[lang_col].alias("lang"), docs[text_col].alias("text")))
+    if not in_place:
+        src = stored(src, "quality-documents")
     rows = stored(run_ngrams(src), "quality-runs")
     table, discounts, characters = tables(rows)
     known = rows.select("run", "gram").join(table, "gram")
@@ -386,7 +291,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_words: int = 10,
-           max_repeat_percent: int = 20, width: float = 3.0, steady_chars: int = 1000) -> DataFrame:
+           max_repeat_percent: int = 20, width: float = 3.0, steady_chars: int = 1000, in_place: bool = False) -> DataFrame:
     """Keep or reject every document by the base rules and its language's perplexity band.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
@@ -396,9 +301,11 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     median); all documents count.  A short text's mean is noisier, so for n characters
     the band is sqrt(1 + steady_chars / n) times as wide.  Null languages share one band.  Null text is read
     as empty: it has no words, no perplexity, and fails the base rules.  Null and
-    equal ids and repeated rows give a row each; an empty table gives none.
+    equal ids and repeated rows give a row each; an empty table gives none.  Very long
+    texts are counted and scored whole; other columns, whatever their names, are ignored.
+    ``in_place`` is for tables read from files (see ``score``).
     """
-    scored = score(docs, id_col, text_col, lang_col)
+    scored = score(docs, id_col, text_col, lang_col, in_place)
     failed = (F.col("n_words") < min_words) | (F.lit(100) * F.col("n_repeat_words") > F.lit(max_repeat_percent) * F.col("n_words"))
     scored = checkpointed(scored.withColumn("base_failed", failed).withColumn("log_ppl", -F.col("log_prob"))
                           .withColumn("lang", F.coalesce("lang", F.lit(""))))

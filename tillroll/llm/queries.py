@@ -141,7 +141,7 @@ def _op9(spark, sf_dir):
 
 @query("op2_quality")
 def _op2(spark, sf_dir):
-    return quality.assess(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return quality.assess(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), in_place=True)
 
 
 @query("op7_html")
