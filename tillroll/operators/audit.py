@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ratios import round2, safe_div
 from ..schemas import GUEST_CUSTOMER_ID, VARCHAR_LIMITS
+from .numbering import number_rows
 
 DUPLICATE_KEYS = ("invoice_no", "product_code", "date_key", "quantity", "unit_price")
 
@@ -54,6 +55,21 @@ def audit_duplicates(fact: DataFrame, keys=DUPLICATE_KEYS, limit: int | None = N
     return out
 
 
+def audit_duplicate_rows(fact: DataFrame, keys=DUPLICATE_KEYS) -> DataFrame:
+    """The rows themselves that ``audit_duplicates`` lists by number: ``sales_id`` of every
+    row whose number among the rows of its keys, in order of ``sales_id``, is > 1, so that
+    they can be removed.
+
+    Only keys that occur more than once are numbered, and their rows by ranges of key and
+    id: a key of a third of all rows is numbered in as many tasks as it fills ranges."""
+    keys = list(keys)
+    twice = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    twice = twice.select(*(F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(keys)])
+    rows = fact.select("sales_id", *keys).join(twice, same, "left_semi")
+    return number_rows(rows, keys, [F.col("sales_id")]).where(F.col("row_num") > 1)
+
+
 def audit_guest(fact: DataFrame) -> DataFrame:
     """Guest-checkout rows: count, spend, and share of all fact rows — one scan
     (the denominator is computed in the same aggregate).  No guests → no row."""

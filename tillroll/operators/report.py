@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.ratios import round2, safe_div
 from .aggregates import covering
 from .measures import evaluate
+from .numbering import running
 from .timeintel import monthly_sales
 
 
@@ -55,3 +56,14 @@ def sku_concentration(star, top_n: int = 20) -> DataFrame:
     t = top.unionByName(allp).agg(F.sum("top").alias("top"), F.sum("all").alias("all"))
     return t.select(F.lit(top_n).alias("top_n"),
                     round2(safe_div(F.col("top").cast("double") * 100.0, F.col("all"))).alias("share_pct"))
+
+
+def concentration_curve(star) -> DataFrame:
+    """Products by falling net sales with their rank and the share of all net sales that they and those before them make.
+
+    Equal sales go by code, as in ``sku_concentration``, whose figure is the curve's value
+    at its rank.  Ranks and running sums are found range by range."""
+    per = covering(star, ["product_code"], {}).fact.groupBy("product_code").agg(F.sum("line_total").alias("net"))
+    curve = running(per, [F.col("net").desc(), F.col("product_code").asc()], "net")
+    return curve.select("product_code", F.col("rank").cast("long").alias("rank"), F.col("net").cast("double").alias("net_sales"),
+                        round2(safe_div(F.col("running").cast("double") * 100.0, F.col("total"))).alias("cumulative_pct"))

@@ -84,6 +84,12 @@ def _dups_all(spark, sf):
     return D.audit_duplicates(open_star(spark, sf).fact)
 
 
+@query("audit_duplicate_rows")
+def _dup_rows(spark, sf):
+    """The extra rows by id, numbered within their keys."""
+    return _money_out(D.audit_duplicate_rows(open_star(spark, sf).fact))
+
+
 @query("audit_guest")
 def _guest(spark, sf):
     return D.audit_guest(open_star(spark, sf).fact)
@@ -208,7 +214,7 @@ for _k, _fn in {"dash_cards": G.cards, "dash_trend": G.trend, "dash_region_share
 
 for _k, _fn in {"rep_quarter_share": H.quarter_share, "rep_q1_dip": H.q1_dip,
                 "rep_return_rate": H.return_rate_by_country,
-                "rep_sku_concentration": H.sku_concentration}.items():
+                "rep_sku_concentration": H.sku_concentration, "rep_concentration_curve": H.concentration_curve}.items():
     QUERIES[_k] = (lambda fn: lambda spark, sf: fn(open_star(spark, sf)))(_fn)
 
 
