@@ -25,7 +25,7 @@ def rows(df):
 def test_random_contexts_give_the_figures_of_the_fact(spark):
     star = open_star(spark, SF001)
     plain = replace(star, aggregates={})
-    assert set(star.aggregates) == set(A.KEYS)
+    assert set(star.aggregates) == {*A.KEYS, A.SKETCHES, A.BITMAPS}
     rnd = random.Random(3)
     read = 0
     for _ in range(25):
@@ -87,3 +87,46 @@ def test_aggregates_keep_every_total(spark):
     stored = replace(star, aggregates={n: A.aggregate(star.fact, n) for n in A.KEYS})
     assert M.evaluate(stored, ("total_transactions",)).first()[0] == 2
     assert rows(M.evaluate(stored, ("total_transactions",), by=("country",))) == rows(M.evaluate(star, ("total_transactions",), by=("country",)))
+
+
+@pytest.mark.parametrize("by,where", [((), None), (("country",), None), (("region",), {"country": ["United Kingdom", "France", "USA"]}),
+                                      (("branch_id",), {"year": (1994, 1996)}), ((), {M.RELATIVE_MONTHS: 9})])
+def test_retention_by_bitmaps_equals_retention_by_rows(spark, by, where):
+    star = open_star(spark, SF001)
+    one, other = TI.retention(star, by, where), TI.retention(replace(star, aggregates={}), by, where)
+    assert one.dtypes == other.dtypes and rows(one) == rows(other)
+    assert "bitmap_customers" in files(one) and "fact_sales" not in files(one)
+
+
+def test_retention_of_products_reads_the_fact(spark):
+    assert "fact_sales" in files(TI.retention(open_star(spark, SF001), where={"product_code": "SKU-17"}))
+
+
+def test_bitmaps_over_several_buckets(spark):
+    ids = [1, 32767, 32768, 32769, 65537, 70000]
+    star = star_from_raw(spark, [line(f"{m}{c}", (2010, m, 3, 9), customer_id=float(c), country="France" if c % 2 else "EIRE")
+                                 for m in (1, 2, 3, 5) for c in ids if (c + m) % 4])
+    stored = replace(star, aggregates={A.BITMAPS: A.customer_bitmaps(star.fact)})
+    assert stored.aggregates[A.BITMAPS].select("bucket").distinct().count() == 3
+    for by in ((), ("country",)):
+        assert rows(TI.retention(stored, by)) == rows(TI.retention(star, by))
+    assert not A.dense_customers(star_from_raw(spark, [line("1", customer_id=1.0), line("2", customer_id=2e9)]).fact)
+    assert A.dense_customers(star.fact) and A.dense_customers(star.fact.limit(0))
+
+
+def test_sketches_count_customers_within_their_error(spark):
+    star = open_star(spark, SF001)
+    for by, where in (((), None), (("country",), None), (("year", "month"), {"region": "EUROPE"}), (("quarter",), {M.RELATIVE_MONTHS: 30})):
+        near, exact = M.approx_customers(star, by, where), M.evaluate(star, ("active_customers",), by, where)
+        assert near.dtypes == exact.dtypes and "fact_sales" not in files(near)
+        key = list(range(len(by)))
+        wanted = {tuple(r[i] for i in key): r.active_customers for r in exact.collect()}
+        found = {tuple(r[i] for i in key): r.active_customers for r in near.collect()}
+        for group, n in wanted.items():
+            assert abs(found.get(group, 0) - n) <= max(1, 0.05 * n)
+    from pyspark.sql import functions as F
+    assert rows(M.approx_customers(star, where=F.col("quantity") > 0)) and "fact_sales" in files(M.approx_customers(star, by=("product_code",)))
+    big = spark.range(200_000).selectExpr("CAST(id % 50000 + 1 AS int) AS customer_id", "CAST(20100101 + id % 28 AS int) AS date_key", "1 AS branch_id")
+    parts = replace(star, aggregates={A.SKETCHES: A.customer_sketches(big)})
+    assert abs(M.approx_customers(parts).first()[0] - 50_000) < 0.04 * 50_000
+    assert M.approx_customers(replace(star, fact=star.fact.limit(0), aggregates={}), by=("country",)).collect() == []

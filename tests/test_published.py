@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from tillroll.functions import bloom
 from tillroll.operators import clean as C
 from tillroll.operators import dims as D
-from tillroll.operators.measures import evaluate
+from tillroll.operators import aggregates as A
+from tillroll.operators import timeintel as TI
+from tillroll.operators.measures import approx_customers, evaluate
 from tillroll.plans import published as P
 from tillroll.plans.app import open_warehouse, rejected, run_load
 from tillroll.plans.warehouse import open_extracts, open_star
@@ -135,6 +137,8 @@ def test_any_loads_equal_one_build_over_the_lines_that_are_loaded(spark, tmp_pat
     assert set(wanted[4]) <= set(got[4])                    # a branch stays when its last line is replaced
     assert rows(evaluate(star, ("net_sales", "total_transactions", "items_per_basket"), by=("country",))) == \
         rows(evaluate(whole, ("net_sales", "total_transactions", "items_per_basket"), by=("country",)))
+    assert rows(TI.retention(star, by=("country",))) == rows(TI.retention(whole, by=("country",)))
+    assert rows(approx_customers(star, by=("country",))) == rows(evaluate(whole, ("active_customers",), by=("country",)))
     version = P.compact(spark, root)
     if version is not None:
         after = P.open_published(spark, root)
@@ -142,6 +146,21 @@ def test_any_loads_equal_one_build_over_the_lines_that_are_loaded(spark, tmp_pat
         assert rows(evaluate(after, ("net_sales",), by=("product_code",))) == rows(evaluate(star, ("net_sales",), by=("product_code",)))
 
 
+def test_bitmaps_go_when_customer_numbers_are_sparse(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    dense = [line(str(i), (2011, 1 + i % 3, 5, 9), customer_id=float(i % 5 + 1)) for i in range(30)]
+    sparse = [line(str(100 + i), (2011, 2, 5, 9), customer_id=float(i * 40_000_000 + 7)) for i in range(40)]
+    P.load(spark, root, lines_of(spark, dense), "replace")
+    assert A.BITMAPS in P.open_published(spark, root).aggregates
+    P.load(spark, root, lines_of(spark, sparse), "append")
+    star = P.open_published(spark, root)
+    assert A.BITMAPS not in star.aggregates and rows(TI.retention(star)) == rows(TI.retention(star_from_raw(spark, dense + sparse)))
+    P.load(spark, root, lines_of(spark, dense), "months")
+    assert A.BITMAPS not in P.open_published(spark, root).aggregates
+    P.load(spark, root, lines_of(spark, dense), "replace")
+    assert A.BITMAPS in P.open_published(spark, root).aggregates
+
+
 def test_empty_loads(spark, tmp_path):
     root = str(tmp_path / "wh")
     with pytest.raises(FileNotFoundError):

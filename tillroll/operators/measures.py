@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_key, month_key
 from ..functions.ratios import dax_div
 from ..schemas import GUEST_CUSTOMER_ID, MONTH_PARTITION
-from .aggregates import covering
+from .aggregates import LG_K, SKETCHES, covering
 from .fact import with_customer_country
 
 DEFAULT_MARGIN = 0.40
@@ -217,3 +217,25 @@ def evaluate(star, measures=MEASURES, by=(), where=None, *, margin: float = DEFA
         "target_sales": lambda: net * F.lit(1.0 + growth),
     }
     return agg.select(*by, *[defs[m]().alias(m) for m in measures])
+
+
+def approx_customers(star, by=(), where=None) -> DataFrame:
+    """Approximate active customers per group, (by…, active_customers): stored sketches of days and branches are united
+    under the filter, without the fact; under columns that these do not cover the fact's customers are sketched.
+
+    The standard error is about 1.6 % (``aggregates.LG_K``); ``evaluate`` counts exactly."""
+    by = list(by)
+    columns = [*by, *_slicer_columns(where)] if not isinstance(where, Column) else None
+    covered = columns is not None and SKETCHES in star.aggregates and all(
+        _DIM_COLUMNS.get(c, c) in ("branch", "date", "branch_id", "date_key") for c in columns)
+    star = _with_fact(star, star.aggregates[SKETCHES] if covered else star.fact)
+    for cond in _fact_side(star, where):
+        star = _with_fact(star, star.fact.where(cond))
+    if isinstance(where, dict):
+        where = {k: v for k, v in where.items() if k != RELATIVE_MONTHS}
+    rows = apply_where(context(star, by + _where_columns(where)), where)
+    if covered:
+        united = F.hll_union_agg("sketch")
+    else:
+        united = F.hll_sketch_agg(F.when(F.col("customer_id") != GUEST_CUSTOMER_ID, F.col("customer_id")), F.lit(LG_K))
+    return rows.groupBy(*by).agg(F.coalesce(F.hll_sketch_estimate(united), F.lit(0)).alias("active_customers"))

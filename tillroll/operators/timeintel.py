@@ -15,13 +15,15 @@ meets 1-9 December of the year before.  ``whole_months=True`` compares whole mon
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_index
 from ..functions.ratios import dax_div
 from ..schemas import GUEST_CUSTOMER_ID
-from .aggregates import covering
+from .aggregates import BITMAPS, covering
 from .measures import _DIM_COLUMNS, RELATIVE_MONTHS, TIME_MEASURES, apply_where, context
 
 _CALENDAR = {c for c, d in _DIM_COLUMNS.items() if d == "date"} | {"date_key"}
@@ -153,23 +155,48 @@ def same_store(star, by=("branch_id",), where=None, whole_months: bool = False)
                     _growth(F.col("net"), F.col("ly")).alias("sssg"))
 
 
-def retention(star, by=(), where=None) -> DataFrame:
-    """Monthly retention by group: registered customers of the previous month who
-    bought again this month, over the previous month's customers (guests excluded).
+def _kept_by_rows(star, by: list, sliced: dict) -> DataFrame:
+    """(by…, idx, n, r): customers of a month, and those of them that bought in the month before.
 
     One fact scan reduced to distinct (group, customer, month) — the month index
     comes from the YYYYMMDD key, so no per-day intermediate is shuffled — then
     ``lag`` per customer flags a month whose predecessor month is present.  A
     customer's window holds at most one row per calendar month and group."""
-    by = list(by)
-    sliced, calendar = _split(where)
     dk = F.col("date_key")
     idx = month_index(F.floor(dk / 10000), F.floor(dk / 100) % 100)
     cm = (_sales(star, by, sliced, ("customer_id",)).where(F.col("customer_id") != GUEST_CUSTOMER_ID)
           .select(*by, "customer_id", idx.alias("idx")).distinct())
     w = Window.partitionBy(*by, "customer_id").orderBy("idx")
     flagged = cm.withColumn("_back", F.lag("idx", 1).over(w) == F.col("idx") - 1)
-    per_month = flagged.groupBy(*by, "idx").agg(F.count(F.lit(1)).alias("n"), F.count_if("_back").alias("r"))
+    return flagged.groupBy(*by, "idx").agg(F.count(F.lit(1)).alias("n"), F.count_if("_back").alias("r"))
+
+
+def _kept_by_bitmaps(star, by: list, sliced: dict) -> DataFrame:
+    """The same from the stored bitmaps: those of a group's branches are united, and each month's is intersected with
+    the one before, bucket by bucket.  What is shuffled is bits, a bucket of them at a time, not customers."""
+    rows = apply_where(context(replace(star, fact=star.aggregates[BITMAPS]), [*by, *sliced]), sliced)
+    month = rows.groupBy(*by, "idx", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    # a month's bitmap also goes to the month after; where two meet, their common bits are the customers who came back
+    sent = month.select(*by, "bucket", "bitmap", F.explode(F.array(
+        F.struct(F.col("idx").alias("idx"), F.lit(True).alias("own")), F.struct((F.col("idx") + 1).alias("idx"), F.lit(False).alias("own")))).alias("x"))
+    met = sent.groupBy(*by, "bucket", "x.idx").agg(
+        F.max(F.when(F.col("x.own"), F.bitmap_count("bitmap"))).alias("n"),
+        F.when(F.count(F.lit(1)) == 2, F.bitmap_count(F.bitmap_and_agg("bitmap"))).alias("r"))
+    return met.where("n IS NOT NULL").groupBy(*by, "idx").agg(F.sum("n").alias("n"), F.sum(F.coalesce("r", F.lit(0))).alias("r"))
+
+
+def retention(star, by=(), where=None) -> DataFrame:
+    """Monthly retention by group: registered customers of the previous month who
+    bought again this month, over the previous month's customers (guests excluded).
+
+    Groups and slicers on branches are answered from stored bitmaps where the star has
+    them, others from the fact."""
+    by = list(by)
+    sliced, calendar = _split(where)
+    if BITMAPS in star.aggregates and all(_DIM_COLUMNS.get(c, c) in ("branch", "branch_id") for c in (*by, *sliced)):
+        per_month = _kept_by_bitmaps(star, by, sliced)
+    else:
+        per_month = _kept_by_rows(star, by, sliced)
     m = _on_spine(star, by, per_month)
     m = m.withColumn("p", F.lag("n", 1).over(_over(by, "idx")))
     if calendar:

@@ -40,7 +40,8 @@ from ..session import join_path
 from .warehouse import Star
 
 STATES = {"customer_state": D.customer_state, "product_state": D.product_state, "branch_state": D.branch_state}
-BY_MONTH = ("fact_sales", *A.KEYS, *STATES)
+SETS = (A.SKETCHES, A.BITMAPS)
+BY_MONTH = ("fact_sales", *A.KEYS, *SETS, *STATES)
 WHOLE = ("dim_date", "dim_customers", "dim_products", "dim_branches", "lines")
 MODES = ("replace", "months", "append")
 MANIFESTS = "_manifests"
@@ -136,10 +137,11 @@ def open_published(spark: SparkSession, root: str, version: int | None = None) -
 
 
 def _star(spark: SparkSession, root: str, manifest: Manifest) -> Star:
-    read = {t: _read(spark, root, manifest, t) for t in (*WHOLE, "fact_sales", *A.KEYS)}
+    stored = [t for t in (*A.KEYS, *SETS) if t in manifest.schemas]
+    read = {t: _read(spark, root, manifest, t) for t in (*WHOLE, "fact_sales", *stored)}
     return Star(base=root, lines=read["lines"], clean=C.clean_only(read["lines"]), dim_date=read["dim_date"],
                 dim_customers=read["dim_customers"], dim_products=read["dim_products"], dim_branches=read["dim_branches"],
-                fact=read["fact_sales"], sf_dir="", aggregates={n: read[n] for n in A.KEYS})
+                fact=read["fact_sales"], sf_dir="", aggregates={n: read[n] for n in stored})
 
 
 def _months_in(spark: SparkSession, path: str) -> list[str]:
@@ -181,6 +183,11 @@ class _Load:
         new = {m: [*(old.get(m, []) if self.mode == "append" else []), self.name] for m in _months_in(self.spark, path)}
         self._note(table, df, {**old, **new})
 
+    def drop(self, table: str) -> None:
+        """Leave a table out of the new version."""
+        self.manifest.schemas.pop(table, None)
+        self.manifest.folders.pop(table, None)
+
     def _note(self, table: str, df: DataFrame, folders: dict[str, list[str]]) -> None:
         self.manifest.schemas[table] = _nullable(df.schema).jsonValue()
         self.manifest.folders[table] = folders
@@ -217,8 +224,15 @@ def load(spark: SparkSession, root: str, lines: DataFrame, mode: str = "months")
         fact = fact_sales(clean, job.read("dim_branches"))
         job.write_months("fact_sales", fact.withColumn(MONTH_PARTITION, F.floor(F.col("date_key") / 100).cast("int")), ("date_key", "sales_id"), keep)
         month = (MONTH_PARTITION,)
-        _together(lambda: job.write_months("agg_invoice", A.aggregate(job.written("fact_sales"), "agg_invoice", month), ("date_key",), keep),
-                  lambda: job.write_months("agg_day_product", A.aggregate(job.written("fact_sales"), "agg_day_product", month), ("date_key",), keep))
+        own = job.written("fact_sales")
+        # bitmaps are kept while every load's customer numbers are dense
+        dense = (not keep or job.first or A.BITMAPS in job.manifest.schemas) and A.dense_customers(own)
+        if not dense:
+            job.drop(A.BITMAPS)
+        sets = [lambda: job.write_months(A.BITMAPS, A.customer_bitmaps(own, month), ("idx",), keep)] if dense else []
+        _together(*sets, lambda: job.write_months(A.SKETCHES, A.customer_sketches(own, month), ("date_key",), keep),
+                  lambda: job.write_months("agg_invoice", A.aggregate(own, "agg_invoice", month), ("date_key",), keep),
+                  lambda: job.write_months("agg_day_product", A.aggregate(own, "agg_day_product", month), ("date_key",), keep))
         job.write_months("agg_day_branch", A.aggregate(job.written("agg_invoice"), "agg_day_branch", month), ("date_key",), keep)
 
     _together(fact_then_totals,

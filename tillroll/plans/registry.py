@@ -147,6 +147,16 @@ for _k, _m in _BY_COUNTRY.items():
     QUERIES[_k] = _by_country(_m)
 
 
+@query("m_customers_approx")
+def _customers_approx(spark, sf):
+    """Exact active customers by country and year, and whether the united sketches come within 5 % (or one) of them."""
+    star, by = open_star(spark, sf), ["country", "year"]
+    near = M.approx_customers(star, by).withColumnRenamed("active_customers", "near")
+    both = M.evaluate(star, ("active_customers",), by).join(near, by, "left").fillna(0, ["near"])
+    off = F.abs(F.col("near") - F.col("active_customers"))
+    return both.select(*by, "active_customers", (off <= F.greatest(F.lit(1.0), F.col("active_customers") * 0.05)).alias("within"))
+
+
 @query("m_prev_month")
 def _pm(spark, sf):
     return TI.prev_month(open_star(spark, sf))

@@ -165,8 +165,14 @@ def write_fact(fact: DataFrame, path: str) -> None:
 def write_aggregates(spark: SparkSession, base: str) -> None:
     """The stored totals of the written fact, each in ranges of days so that a date slicer skips files.
 
-    The day and branch totals are read off the invoice totals, so the fact is read twice."""
+    The day and branch totals are read off the invoice totals.  The customers' sketches and
+    bitmaps are kept likewise, by day and by month."""
     fact = spark.read.parquet(join_path(base, "fact_sales"))
+    sets = [(A.SKETCHES, A.customer_sketches(fact), "date_key")]
+    if A.dense_customers(fact):
+        sets.append((A.BITMAPS, A.customer_bitmaps(fact), "idx"))
+    for name, rows, order in sets:
+        rows.repartitionByRange(order).sortWithinPartitions(order).write.mode("overwrite").parquet(join_path(base, name))
     for name, source in (("agg_invoice", fact), ("agg_day_product", fact), ("agg_day_branch", None)):
         rows = spark.read.parquet(join_path(base, "agg_invoice")) if source is None else source
         (A.aggregate(rows, name).repartitionByRange("date_key").sortWithinPartitions("date_key")
@@ -223,7 +229,7 @@ def _read_star(spark: SparkSession, base: str, sf_dir: str) -> Star:
                 dim_date=r("dim_date"), dim_customers=r("dim_customers"),
                 dim_products=r("dim_products"), dim_branches=r("dim_branches"),
                 fact=r("fact_sales"), sf_dir=sf_dir,
-                aggregates={name: r(name) for name in A.KEYS if _exists(spark, join_path(base, name))})
+                aggregates={name: r(name) for name in (*A.KEYS, A.SKETCHES, A.BITMAPS) if _exists(spark, join_path(base, name))})
 
 
 _OPEN: dict = {}
