@@ -305,6 +305,34 @@ def test_removal_as_brute_force(spark):
     assert sorted(map(tuple, suffix.dedup_digests(df).collect()), key=str) == brute_removal(rows)
 
 
+@pytest.mark.parametrize("crowd", [2, 12])
+def test_crowded_anchors_as_brute_force(spark, monkeypatch, crowd):
+    monkeypatch.setattr(suffix, "CROWD", crowd)
+    rows = passages()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert not suffix.crowded(suffix.compared(suffix.keyed(df))).isEmpty()
+    assert sorted(map(tuple, suffix.dedup_digests(df).collect()), key=str) == brute_removal(rows)
+
+
+def test_no_task_gathers_more_contexts_when_a_passage_stands_in_more_documents(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "CROWD", 60)
+    rnd = random.Random(12)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(400))
+    largest = []
+    for n in (50, 300, 1500):
+        rows = [(i, "".join(rnd.choice("qrstuvw ") for _ in range(60)) + passage + "".join(rnd.choice("jklmnop ") for _ in range(60))) for i in range(n)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        by_doc = suffix.compared(suffix.keyed(df))
+        sizes = Counter(a.anchor for r in by_doc.select("asks").collect() for a in r.asks)
+        out = {r.anchor for r in suffix.crowded(by_doc).collect()}
+        assert out == {a for a, k in sizes.items() if k > 60}
+        largest.append(max(k for a, k in sizes.items() if a not in out))
+        assert n < 300 or max(sizes.values()) >= 0.9 * n                  # what one task would have gathered
+        if n == 300:
+            assert sorted(map(tuple, suffix.dedup_digests(df).collect()), key=str) == brute_removal(rows)
+    assert max(largest) <= 60
+
+
 def test_removal_over_segments_of_long_texts(spark, monkeypatch):
     monkeypatch.setattr(suffix, "SEGMENT", 1 << 10)
     rnd = random.Random(8)

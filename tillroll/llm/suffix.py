@@ -14,11 +14,18 @@ eight symbols.  The blocks' suffix array is built by grouping suffixes by their
 prefix in descending order over previous-smaller pointers, then placing each group's
 suffixes in order; suffixes whose first eight symbols agree with a neighbour's in the
 array are repeated strings.
+
+An anchor with very many different contexts, such as the edge of a passage that stands
+in a third of all documents, is not gathered: its strings are dealt out one by one, by
+a 128-bit hash of all their bytes, and compared with their neighbours in sorted order.
+Memory is therefore bounded whatever stands around a passage.  Equality of whole
+contexts and of those strings is equality of hashes, of 64 bits beside a 64-bit anchor,
+and of twice 64.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 from hashlib import sha256
 from itertools import chain
 
@@ -38,6 +45,7 @@ BLOCK = 8                    # neighbouring strings that are looked at together
 SEGMENT = 1 << 20            # bytes of a document that are hashed at once
 SYMBOLS = 1 << 16            # symbols of one suffix array
 HASH = "__text_hash"
+CROWD = 4096                 # contexts of an anchor beyond which its strings are dealt out one by one
 TOGETHER = 500_000           # anchors whose contexts meet inside a task
 ANCHOR_COLUMNS = ["anchor", "context", "doc_id", "text_hash", "lo", "left", "span"]
 
@@ -228,8 +236,7 @@ def anchor_rows(rows: DataFrame) -> DataFrame:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", F.col(HASH).alias("text_hash"), "text").mapInArrow(
-        run, "sure boolean, many boolean, deal long, anchor long, context long, "
-             f"doc_id {kind}, text_hash long, lo long, left short, span short")
+        run, DEALT.format(kind))
 
 
 def _met(held: list[pa.RecordBatch]):
@@ -322,11 +329,41 @@ def _contexts(batches):
                     names=["anchor", "doc_id", "text_hash", "many", "lo", "left", "span", "bytes"])
 
 
+def _strings(batches):
+    """Every string of the crowded contexts as an anchor of its own, hashed twice over all its bytes; equal ones meet in
+    the task as contexts do."""
+    one, other = xxhash.xxh3_64_intdigest, xxhash.xxh64_intdigest
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        for part in slices(batch, "text", 1 << 20):
+            source, at, h, g = [], [], [], []
+            texts = part.column("text").cast(pa.binary()).to_pylist()
+            for i, (raw, asks) in enumerate(zip(texts, part.column("__asks").to_pylist())):
+                for a in asks:
+                    for lo in range(a["lo"], a["lo"] + a["span"] + 1):
+                        string = raw[lo:lo + LENGTH]
+                        source.append(i)
+                        at.append(lo)
+                        h.append(one(string))
+                        g.append(other(string))
+            if source:
+                rows = pa.array(source)
+                zero = pa.array(np.zeros(len(source), np.int16))
+                held.append(pa.RecordBatch.from_arrays(
+                    [pa.array(np.array(h, np.uint64).view(np.int64)), pa.array(np.array(g, np.uint64).view(np.int64)), part.column("doc_id").take(rows),
+                     part.column(HASH).take(rows), pa.array(at, pa.int64()), zero, zero], names=ANCHOR_COLUMNS))
+                if sum(b.num_rows for b in held) >= TOGETHER:
+                    yield from _met(held)
+                    held = []
+    if held:
+        yield from _met(held)
+
+
 def _judge(batches):
     """Repeated strings among the different contexts of each anchor, as covered ranges of bytes.
 
     Rows come sorted by anchor; blocks gather until a suffix array is full, so memory
-    is bounded by SYMBOLS and the distinct contexts of one anchor.
+    is bounded by SYMBOLS and CROWD contexts of one anchor.
     """
     group: list[dict] = []
     strings: list[tuple[bytes, int, bytes]] = []
@@ -417,18 +454,30 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn(HASH, F.xxhash64(text_of(F.col("text"))))
 
 
+DEALT = "sure boolean, many boolean, deal long, anchor long, context long, doc_id {0}, text_hash long, lo long, left short, span short"
+
+
+def _meeting(dealt: DataFrame, kind: str) -> DataFrame:
+    """``_compare`` over rows dealt by anchor."""
+    return dealt.repartition("deal").sortWithinPartitions("sure", "anchor", "context").mapInArrow(
+        _compare, f"ask boolean, many boolean, anchor long, doc_id {kind}, text_hash long, lo long, left short, span short")
+
+
 def compared(rows: DataFrame) -> DataFrame:
     """By document: the strings that surely repeat (sure), and the contexts to be looked at byte by byte (asks)."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    dealt = anchor_rows(rows).repartition("deal").sortWithinPartitions("sure", "anchor", "context")
-    judged = dealt.mapInArrow(_compare, "ask boolean, many boolean, anchor long, "
-                                        f"doc_id {kind}, text_hash long, lo long, left short, span short")
+    judged = _meeting(anchor_rows(rows), rows.schema["doc_id"].dataType.simpleString())
     by_doc = judged.groupBy("doc_id", "text_hash").agg(
         F.collect_list(F.when(~F.col("ask"), F.struct("lo", (F.col("lo") + F.col("span") + LENGTH).alias("hi")))).alias("sure"),
         F.collect_list(F.when(F.col("ask"), F.struct("anchor", "many", "lo", "left", "span"))).alias("asks"))
     return checkpointed(by_doc)
 
 
+def crowded(by_doc: DataFrame) -> DataFrame:
+    """Anchors with more than ``CROWD`` contexts to be looked at."""
+    asks = by_doc.select(F.explode("asks").alias("a")).select("a.anchor")
+    return checkpointed(asks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("anchor"))
+
+
 def _same(rows: DataFrame, other: DataFrame):
     return rows["doc_id"].eqNullSafe(other["doc_id"]) & (rows[HASH] == other["text_hash"])
 
@@ -441,13 +490,26 @@ def repeats(rows: DataFrame) -> DataFrame:
     """
     by_doc = compared(rows)
     kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def with_asks(asked: DataFrame) -> DataFrame:
+        return rows.join(asked, _same(rows, asked)).select(*(rows[c] for c in rows.columns), asked["__asks"])
+
     asked = by_doc.where("size(asks) > 0").select("doc_id", "text_hash", F.col("asks").alias("__asks"))
-    contexts = rows.join(asked, _same(rows, asked)).select(*(rows[c] for c in rows.columns), asked["__asks"]).mapInArrow(
+    crowd, more = crowded(by_doc), []
+    if not crowd.isEmpty():
+        one = asked.select("doc_id", "text_hash", F.explode("__asks").alias("a"))
+        one = one.join(crowd.withColumnRenamed("anchor", "__crowd"), F.col("a.anchor") == F.col("__crowd"), "left")
+        split = checkpointed(one.groupBy("doc_id", "text_hash").agg(
+            *(F.collect_list(F.when(c, F.col("a"))).alias(n) for n, c in (("few", F.col("__crowd").isNull()), ("many", F.col("__crowd").isNotNull())))))
+        asked = split.where("size(few) > 0").select("doc_id", "text_hash", F.col("few").alias("__asks"))
+        strings = with_asks(split.where("size(many) > 0").select("doc_id", "text_hash", F.col("many").alias("__asks"))).mapInArrow(_strings, DEALT.format(kind))
+        more.append(_meeting(strings, kind).where("NOT ask").select("doc_id", "text_hash", "lo", (F.col("lo") + LENGTH).alias("hi")))
+    contexts = with_asks(asked).mapInArrow(
         _contexts, f"anchor long, doc_id {kind}, text_hash long, many boolean, lo long, left short, span short, bytes binary")
-    more = contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
-        _judge, f"doc_id {kind}, text_hash long, lo long, hi long")
+    more.append(contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
+        _judge, f"doc_id {kind}, text_hash long, lo long, hi long"))
     sure = by_doc.where("size(sure) > 0").select("doc_id", "text_hash", F.col("sure").alias("spans"))
-    found = more.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    found = reduce(DataFrame.unionByName, more).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     return sure.unionByName(found).groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
