@@ -7,6 +7,7 @@ from collections import Counter
 from hashlib import sha256
 
 import numpy as np
+import pytest
 import xxhash
 from corpus import AWKWARD, awkward, empty, prose
 from hypothesis import given, settings
@@ -256,12 +257,24 @@ def test_next_document_over_many_ranges(spark):
     assert got == set(edited_of(rows))
 
 
-def test_ranges_between_cuts(spark):
-    keys = spark.range(-3, 60).withColumn("key", F.col("id") / 2)
-    for n in (0, 1, 2, 3, 7, 9, 10, 25):
-        cuts = [2 * i + 1 for i in range(n)]
-        rows = keys.select("key", multiset._cuts_below(cuts, F.col("key")).alias("n")).collect()
-        assert all(r.n == sum(c < r.key for c in cuts) for r in rows)
+@pytest.mark.parametrize("ids", [list(range(300)), [-2 ** 62 + 7 * i for i in range(90)] + [2 ** 62], [5] * 40, [0, 10 ** 15] * 20, [None, 3, None, 1]])
+def test_ranges_keep_the_order_of_ids(spark, ids):
+    df = spark.createDataFrame([(i, f"id{i}" if i is not None else None, float(i) / 3 if i is not None else None) for i in ids], "a long, b string, c double")
+    for col in "abc":
+        rows = [(r[col], r["__range"]) for r in multiset._with_range(df, col).collect()]
+        rows.sort(key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0))
+        ranges = [n for _, n in rows]
+        assert len(rows) == len(ids) and ranges == sorted(ranges) and all((n == -1) == (i is None) for i, n in rows)
+        if len(set(ids)) == 300:
+            assert len(set(ranges)) >= 20
+
+
+def test_string_ids_are_ordered_as_strings(spark):
+    rows = [(f"doc-{i}", prose(i, 12)) for i in range(60)] + [(None, "a null id"), ("doc-5", "twice")]
+    got = {(r.doc_id, r.n_chars, r.edited_sha256) for r in multiset.compare_edited(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    ordered = [(i, r[1]) for i, r in enumerate(sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1])))]
+    names = [r[0] for r in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))]
+    assert got == {(names[i], n, h) for i, n, h in edited_of(ordered)}
 
 
 def test_lanes_are_homomorphic(spark):

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import text_of
+from .hilbert import string_slots
 
 LANE_BITS, STRIDE, PER_WORD = 20, 21, 3
 ONES = sum(1 << (STRIDE * i) for i in range(PER_WORD))                          # the lowest bit of each lane
@@ -92,47 +93,64 @@ def likeness(a: Column, b: Column, sa: Column, sb: Column) -> Column:
     return F.when(a == b, 1.0).when(size == 0, 0.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), dot / size)))
 
 
-def _cuts_below(cuts: list, key: Column) -> Column:
-    """How many of the sorted cuts lie below the key, found among the cuts' blocks and then in one block."""
-    if not cuts:
-        return F.lit(0)
-    width = math.isqrt(len(cuts) - 1) + 1
-    blocks = [cuts[i:i + width] for i in range(0, len(cuts), width)]
-    literal = lambda values: F.array(*(F.lit(v) for v in values))
-    below = lambda values: F.size(F.filter(values, lambda c: c < key))
-    if len(blocks) == 1:
-        return below(literal(cuts))
-    block = below(literal(b[0] for b in blocks[1:]))
-    return block * width + below(F.element_at(F.array(*map(literal, blocks)), block + 1))
+RANGES = 4               # ranges of ids for each shuffle partition, so that those that share a task even out
+
+
+def _with_range(docs: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` with ``__range``, the number of cuts below the row's id; -1 for null ids.
+
+    Cuts are approximate quantiles.  A row finds those near its id by an equal-width
+    bucket, in a table of as many rows as there are cuts, so neither the plan nor a
+    row's work grows with their number.  Strings are cut by the number that their first
+    differing bytes make, which keeps their order.
+    """
+    n = RANGES * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    kind = docs.schema[id_col].dataType.typeName()
+    if kind in ("byte", "short", "integer", "long", "float", "double"):
+        key = F.col(id_col)
+    else:
+        docs = docs.withColumn("__text_id", F.col(id_col).cast("string"))
+        key = string_slots(docs.select("__text_id"), ["__text_id"])["__text_id"][0]
+    keyed = docs.withColumn("__key", F.when(F.col(id_col).isNotNull(), key))
+    found = keyed.agg(F.percentile_approx("__key", [i / n for i in range(1, n)] or [0.5], 10_000).alias("cuts"),
+                      F.min("__key").alias("lo"), F.max("__key").alias("hi")).first()
+    cuts = sorted(set(found["cuts"] or ()))
+    lo, buckets = float(found["lo"] or 0), len(cuts) + 1
+    width = (float(found["hi"] or 0) - lo) / buckets or 1.0
+    place = lambda x: min(max(math.floor((float(x) - lo) / width), 0), buckets - 1)
+    near: list[list] = [[] for _ in range(buckets)]
+    for c in cuts:
+        near[place(c)].append(c)
+    rows, before = [], 0
+    for i, own in enumerate(near):
+        rows.append((i, own, before))
+        before += len(own)
+    table = docs.sparkSession.createDataFrame(rows, f"__bucket int, __cuts array<{keyed.schema['__key'].dataType.simpleString()}>, __before int")
+    bucket = F.least(F.greatest(F.floor((F.col("__key").cast("double") - lo) / width), F.lit(0)), F.lit(buckets - 1)).cast("int")
+    keyed = keyed.withColumn("__bucket", F.coalesce(bucket, F.lit(0))).join(F.broadcast(table), "__bucket")
+    below = F.col("__before") + F.size(F.filter("__cuts", lambda c: c < F.col("__key")))
+    return keyed.withColumn("__range", F.when(F.col("__key").isNull(), -1).otherwise(below)).drop("__key", "__bucket", "__cuts", "__before", "__text_id")
 
 
 def with_next(docs: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
     """Each row with ``next``, a struct of the carried columns of the row after it by id (after the last: the first).
 
-    Null ids come first, equal ids go by the carried columns.  Ids are cut into
-    ranges at approximate quantiles, as many as there are shuffle partitions, so the
-    order is found range by range; the first row of each range is also sent, as a
+    Null ids come first, equal ids go by the carried columns.  Ids are cut into ranges,
+    so the order is found range by range; the first row of each range is also sent, as a
     guest, to the range before it.  What reaches the driver is a few ids a range.
     """
     spark = docs.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = docs.agg(F.percentile_approx(id_col, [i / n for i in range(1, n)] or [0.5], 10_000).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    key = F.col(id_col)
-    inside = _cuts_below(cuts, key)
-    ranged = docs.withColumn("__range", F.when(key.isNull(), -1).otherwise(inside))
+    ranged = _with_range(docs, id_col)
     firsts = sorted(((r["__range"], r["first"]) for r in
                      ranged.groupBy("__range").agg(F.min(id_col).alias("first")).collect()), key=lambda x: x[0])
     payload = F.struct(*carried)
     rows = ranged.withColumn("__guest", F.lit(0))
     if firsts:
-        heads = ranged.where(F.coalesce(key.isin([f for _, f in firsts if f is not None]), F.lit(True)))
-        heads = heads.groupBy("__range", id_col).agg(F.min(payload).alias("__head"))
-        before = {r: firsts[i - 1][0] for i, (r, _) in enumerate(firsts)}
-        move = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))
-        guests = heads.where(F.element_at(F.create_map(*(F.lit(x) for r, f in firsts for x in (r, -1 if f is None else f))),
-                                          F.col("__range")) == F.coalesce(key, F.lit(-1)))
-        guests = guests.select(id_col, "__head.*", F.element_at(move, F.col("__range")).alias("__range"), F.lit(1).alias("__guest"))
+        moves = [(r, first, firsts[i - 1][0]) for i, (r, first) in enumerate(firsts)]        # a row a range
+        moves = spark.createDataFrame(moves, f"__range int, __first {docs.schema[id_col].dataType.simpleString()}, __to int")
+        heads = ranged.join(F.broadcast(moves), "__range").where(F.col(id_col).eqNullSafe(F.col("__first")))
+        heads = heads.groupBy("__to", id_col).agg(F.min(payload).alias("__head"))
+        guests = heads.select(id_col, "__head.*", F.col("__to").alias("__range"), F.lit(1).alias("__guest"))
         rows = rows.unionByName(guests, allowMissingColumns=True)
     order = Window.partitionBy("__range").orderBy("__guest", F.col(id_col).asc_nulls_first(), *carried)
     return (rows.withColumn("next", F.lead(payload).over(order)).where("__guest = 0").drop("__guest", "__range"))
