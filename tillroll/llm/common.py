@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 import pyarrow as pa
@@ -64,8 +65,35 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_STORED: list[str] = []          # tables written by this process and not yet removed
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to a new place in the shared folder and read again."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid4().hex}.parquet"
     df.write.parquet(path)
+    _STORED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes the tables that ``stored`` has written inside, at its end, but for the last one if nothing failed.
+
+    Yields the list of paths that are kept, to be removed by ``remove`` when they have been read.
+    """
+    since, kept = len(_STORED), []
+    try:
+        yield kept
+        kept += _STORED[-1:] if len(_STORED) > since else []
+    finally:
+        remove(spark, [p for p in _STORED[since:] if p not in kept])
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables."""
+    for p in list(paths):
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        if p in _STORED:
+            _STORED.remove(p)

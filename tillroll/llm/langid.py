@@ -56,6 +56,7 @@ class Network:
 
     langs: list[str]
     w: dict[str, np.ndarray]
+    words: int = 0               # of the language with the fewest words to learn from
 
     @classmethod
     def new(cls, langs: list[str], hidden: int, seed: int) -> Network:
@@ -185,7 +186,11 @@ def fit(docs: DataFrame, **sizes) -> Network | None:
     """A network for the languages of ``docs``, or None where no labelled text is left to learn from."""
     words = labelled_words(docs, **sizes)
     langs = sorted({lang for _, lang in words})
-    return train(words, langs) if langs else None
+    if not langs:
+        return None
+    net = train(words, langs)
+    net.words = min(Counter(lang for _, lang in words).values())
+    return net
 
 
 class Reader:
