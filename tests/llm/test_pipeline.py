@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 import re
+import unicodedata
 from collections import Counter
 
 import pytest
@@ -11,6 +13,7 @@ from test_corpus_operators import brute_groups
 from test_native import base_spans
 
 import corpus_pipeline
+from tillroll.llm import langid, secrets
 from tillroll.llm.common import stored
 
 SMALL = "/root/testdata/sf0.001"
@@ -37,9 +40,44 @@ def test_columns_stay_those_of_documents(steps):
         assert dict(after.dtypes) == dict(before.dtypes)
 
 
-def test_only_texts_without_letters_go(steps):
+def test_texts_without_letters_and_long_texts_of_no_language_go(spark, steps):
     before, after = map(rows, steps["language_id"])
-    assert set(after) == {d for d, r in before.items() if re.search(r"[^\W\d_]", r.text or "")}
+    lettered = {d for d, r in before.items() if any(unicodedata.category(c).startswith("L") for c in r.text or "")}
+    assert set(after) == lettered and all(after[d] == before[d] for d in after)          # few words to learn from
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert langid.fit(docs.where(~langid.held_out("doc_id"))).words >= corpus_pipeline.ENOUGH
+    scored = {r.doc_id: r for r in langid.identify(docs).collect()}
+    assert set(rows(corpus_pipeline.identify_language(spark, docs, SMALL))) == {
+        d for d, r in scored.items() if r.lang_pred != "und" and (len(r.text) < corpus_pipeline.STEADY or r.score >= corpus_pipeline.FLOOR)}
+
+
+def test_gibberish_goes_and_clean_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rnd = random.Random(4)
+    junk = [(-1 - i, "".join(rnd.choice("qxzjkvwbcdfghmnp0123456789#$%") for _ in range(400)), None, "s", 400) for i in range(20)]
+    short = [(-100, "Re. ok", None, "s", 6)]
+    after = rows(corpus_pipeline.identify_language(spark, docs.unionByName(spark.createDataFrame(junk + short, docs.schema)), SMALL))
+    clean = [r.doc_id for r in docs.collect() if re.search(r"[^\W\d_]", r.text or "")]
+    assert sum(d in after for d in clean) >= 0.995 * len(clean)
+    assert sum(r[0] in after for r in junk) <= 2 and -100 in after
+    few = docs.where("doc_id < 40")
+    assert set(rows(corpus_pipeline.identify_language(spark, few, SMALL))) == {
+        r.doc_id for r in few.collect() if re.search(r"[^\W\d_]", r.text or "")}          # too little to judge by
+
+
+def test_only_the_last_input_is_left_in_the_shared_folder(spark, tmp_path, monkeypatch):
+    from tillroll.llm import common
+    monkeypatch.setattr(common, "shared_folder", lambda spark: str(tmp_path))
+    for module in (corpus_pipeline.suffix, corpus_pipeline.simhash):
+        monkeypatch.setattr(module, "checkpointed", lambda df: common.stored(df, "inner"))
+    result = corpus_pipeline.run(spark, SMALL)
+    assert [p.name.split("-")[:2] for p in tmp_path.iterdir()] == [["pipeline", "secrets"]]
+    assert result.count() > 0
+    with pytest.raises(ZeroDivisionError):
+        with common.scratch(spark):
+            common.stored(result, "lost")
+            1 / 0
+    assert len(list(tmp_path.iterdir())) == 1
 
 
 def test_one_of_each_near_duplicate_group_stays(steps):
@@ -66,12 +104,15 @@ def test_no_repeated_string_is_left(steps):
 def test_secrets_become_marks(steps):
     before, after = map(rows, steps["secrets"])
     assert set(after) == set(before)
+    spans = {r.doc_id: r.all_spans for r in secrets.scan(steps["secrets"][0]).collect()}
     for d, r in before.items():
-        if not base_spans(r.text):
-            assert after[d].text == r.text or "[SECRET]" in after[d].text
-        else:
-            assert "[SECRET]" in after[d].text
-            assert all(r.text[a:b] not in after[d].text for a, _, b in base_spans(r.text))
+        assert {(s.start, s.kind, s.end) for s in spans[d] if s.kind < 3} == set(base_spans(r.text))
+        want, at = "", 0
+        for s in sorted(spans[d], key=lambda s: s.start):              # every other character stays
+            if s.start >= at:
+                want += r.text[at:s.start] + "[SECRET]"
+            at = max(at, s.end)
+        assert after[d].text == want + r.text[at:] and after[d].n_chars == len(after[d].text)
 
 
 def test_run_gives_the_last_stage(spark, steps):
@@ -83,10 +124,24 @@ def test_run_gives_the_last_stage(spark, steps):
 
 def test_stages_on_awkward_and_empty_tables(spark):
     docs = awkward(spark).select("doc_id", "text", "lang", "source", "n_chars", "key")
-    for _, stage in corpus_pipeline.STAGES[:-1]:
+    given = {(r[0], r[1]): i for i, r in enumerate(AWKWARD)}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
         after = stage(spark, docs, SMALL)
         assert after.columns == list(corpus_pipeline.COLUMNS)
-        assert 0 < after.count() <= len(AWKWARD)
+        kept = [(r.doc_id, r.text) for r in after.collect()]
+        if name == "language_id":
+            want = [r[:2] for r in AWKWARD if any(unicodedata.category(c).startswith("L") for c in r[1] or "")]
+        elif name == "near_duplicates":
+            groups = brute_groups([r[:2] for r in AWKWARD])
+            assert {d for d, _ in kept} <= {r[0] for r in AWKWARD} and len(kept) == len(set(kept)) and set(kept) <= set(given)
+            assert {d for d, _ in kept if d is not None} >= {g for d, _, g in groups if g is not None and d == g}
+            continue
+        elif name == "secrets":
+            want = [r[:2] for r in AWKWARD]
+        else:
+            assert sorted(str(d) for d, _ in kept) == sorted(str(r[0]) for r in AWKWARD)
+            continue
+        assert sorted(kept, key=str) == sorted(want, key=str), name
     assert corpus_pipeline.pack_sequences(spark, docs, SMALL).agg({"length": "sum"}).first()[0] > len(AWKWARD)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty(spark), SMALL).count() == 0
