@@ -1,4 +1,7 @@
+import pytest
 from helpers import line, star_from_raw
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tillroll.operators import dashboard as G
 from tillroll.operators import measures as M
@@ -157,3 +160,15 @@ def test_time_measures_under_groups_and_slicers(spark):
     assert rows["France", 2010, 2].customers_prev == 1 and rows["Japan", 2010, 2].customers_prev == 0
     only = M.evaluate(s, ("net_sales_pm",), where={"country": "France", "date_key": (20100201, 20100228)}).collect()
     assert [(r.year, r.month, r.net_sales_pm) for r in only] == [(2010, 2, 15.0)]
+
+
+def test_column_filters_join_what_they_refer_to(spark):
+    s = star_from_raw(spark, [line("1", country="France"), line("2", (2011, 3, 1, 9), country="EIRE", stock_code="country")])
+    read = lambda where: M.evaluate(s, ("net_sales",), where=where)
+    assert read((F.col("country") == "France") & (F.col("year") == 2010)).first().net_sales == 1.0
+    assert M._where_columns(s, (F.col("country") == "France") & (F.col("year") == 2010)) == ["country", "year"]
+    assert M._where_columns(s, F.col("product_code") == "country") == []            # a word in a literal
+    assert read(F.lower("product_code") == "country").first().net_sales == 1.0
+    assert M._where_columns(s, {"region": "UK"}) == ["region"] and M._where_columns(s, None) == []
+    with pytest.raises(AnalysisException):
+        read(F.col("no_such_column") == 1)

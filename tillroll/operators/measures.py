@@ -15,6 +15,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import date_key, month_key
 from ..functions.ratios import dax_div
@@ -72,14 +73,20 @@ def context(star, columns=()) -> DataFrame:
     return f
 
 
-def _where_columns(where) -> list:
-    """Columns that the filter names; a Column's are found in its expression."""
+def _where_columns(star, where) -> list:
+    """Dimension columns that the filter names.  Those of a Column are the references that the
+    analyzer resolves in a row of all columns, so a word in a literal is none."""
     if isinstance(where, dict):
         return list(where.keys())
-    if isinstance(where, Column):
-        words = set(re.findall(r"[A-Za-z_][A-Za-z_0-9]*", str(where)))
-        return [c for c in _DIM_COLUMNS if c in words]
-    return []
+    if not isinstance(where, Column):
+        return []
+    fact = star.fact
+    known = fact.schema.fields + [f for dim in (star.dim_branches, star.dim_date, star.dim_products) for f in dim.schema.fields]
+    fields = {f.name: f for f in [*known, T.StructField("customer_country", T.StringType())]}
+    probe = fact.sparkSession.createDataFrame([], T.StructType(list(fields.values()))).where(where)
+    condition = probe._jdf.queryExecution().analyzed().expressions().head()
+    found = set(re.findall(r"(\w+)#\d+", condition.references().toString()))
+    return [c for c in _DIM_COLUMNS if c in found]
 
 
 def _date_key_range(col: str, v):
@@ -180,7 +187,7 @@ def evaluate(star, measures=MEASURES, by=(), where=None, *, margin: float = DEFA
         star = _with_fact(star, star.fact.where(cond))
     if isinstance(where, dict):
         where = {k: v for k, v in where.items() if k != RELATIVE_MONTHS}
-    base = apply_where(context(star, by + _where_columns(where)), where)
+    base = apply_where(context(star, by + _where_columns(star, where)), where)
     names = ("net", "gross", "returns", "units")
     if set(measures) & _ORDER_MEASURES:
         lines = base.groupBy(*_grain(by, "invoice_no")).agg(
@@ -233,7 +240,7 @@ def approx_customers(star, by=(), where=None) -> DataFrame:
         star = _with_fact(star, star.fact.where(cond))
     if isinstance(where, dict):
         where = {k: v for k, v in where.items() if k != RELATIVE_MONTHS}
-    rows = apply_where(context(star, by + _where_columns(where)), where)
+    rows = apply_where(context(star, by + _where_columns(star, where)), where)
     if covered:
         united = F.hll_union_agg("sketch")
     else:
