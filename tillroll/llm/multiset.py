@@ -132,9 +132,12 @@ def _with_range(docs: DataFrame, id_col: str) -> DataFrame:
     return keyed.withColumn("__range", F.when(F.col("__key").isNull(), -1).otherwise(below)).drop("__key", "__bucket", "__cuts", "__before", "__text_id")
 
 
-def with_next(docs: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, id_col: str, carried: list[str], derive=lambda df: df) -> DataFrame:
     """Each row with ``next``, a struct of the carried columns of the row after it by id (after the last: the first).
 
+    ``derive`` adds columns that may be carried; they are made after the first rows of
+    the ranges have been picked, so of those and of all rows once.
+
     Null ids come first, equal ids go by the carried columns.  Ids are cut into ranges,
     so the order is found range by range; the first row of each range is also sent, as a
     guest, to the range before it.  What reaches the driver is a few ids a range.
@@ -144,12 +147,12 @@ def with_next(docs: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
     firsts = sorted(((r["__range"], r["first"]) for r in
                      ranged.groupBy("__range").agg(F.min(id_col).alias("first")).collect()), key=lambda x: x[0])
     payload = F.struct(*carried)
-    rows = ranged.withColumn("__guest", F.lit(0))
+    rows = derive(ranged).withColumn("__guest", F.lit(0))
     if firsts:
         moves = [(r, first, firsts[i - 1][0]) for i, (r, first) in enumerate(firsts)]        # a row a range
         moves = spark.createDataFrame(moves, f"__range int, __first {docs.schema[id_col].dataType.simpleString()}, __to int")
         heads = ranged.join(F.broadcast(moves), "__range").where(F.col(id_col).eqNullSafe(F.col("__first")))
-        heads = heads.groupBy("__to", id_col).agg(F.min(payload).alias("__head"))
+        heads = derive(heads).groupBy("__to", id_col).agg(F.min(payload).alias("__head"))
         guests = heads.select(id_col, "__head.*", F.col("__to").alias("__range"), F.lit(1).alias("__guest"))
         rows = rows.unionByName(guests, allowMissingColumns=True)
     order = Window.partitionBy("__range").orderBy("__guest", F.col(id_col).asc_nulls_first(), *carried)
@@ -166,8 +169,7 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     its own next one; an empty table gives no rows.
     """
     base = docs.select(docs[id_col].alias("doc_id"), text_of(docs[text_col].cast("string")).alias("text"))
-    base = base.withColumn("fp", fingerprint(paragraphs(F.col("text"))))
-    df = with_next(base, "doc_id", ["text", "fp"])
+    df = with_next(base, "doc_id", ["text", "fp"], lambda df: df.withColumn("fp", fingerprint(paragraphs(F.col("text")))))
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
     df = df.select("doc_id", n.cast("long").alias("n_chars"), "fp", F.col("next.fp").alias("next_fp"),
