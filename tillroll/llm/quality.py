@@ -313,6 +313,7 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     cuts = usable.groupBy("lang").agg(F.percentile_approx("log_ppl", [0.25, 0.5, 0.75], 10_000).alias("q"))
     mid, spread = F.col("q")[1], (F.col("q")[2] - F.col("q")[0]) / 2
     bands = cuts.select("lang", mid.alias("mid"), (F.lit(width) * F.greatest(spread, F.lit(0.02) * F.abs(mid))).alias("reach"))
+    bands = stored(bands, "quality-bands")        # a row a language: Spark sees that it is small, and no language meets in one task
     reach = F.col("reach") * F.sqrt(1 + F.lit(steady_chars) / F.greatest("n_chars", F.lit(1)))
     out = scored.join(bands, "lang", "left").withColumn("low", F.col("mid") - reach).withColumn("high", F.col("mid") + reach)
     inside = F.coalesce(F.col("log_ppl").between(F.col("low"), F.col("high")), F.lit(False))
