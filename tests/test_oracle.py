@@ -52,9 +52,21 @@ def test_query_matches_oracle(spark, duck, key):
 
 
 def test_every_query_has_an_oracle():
-    """Of this library's own operators; what else is registered may be beyond SQL."""
+    """Of this library's own operators, but for the figures of a numeric search (``test_smoothing``
+    holds that against brute force); what else is registered may be beyond SQL."""
     from tillroll.plans.registry import QUERIES
-    assert set(QUERIES) <= set(ORACLE) <= set(E.queries())
+    searched = {"forecast_eval_optimised", "forecast_future_optimised"}
+    assert set(QUERIES) - searched <= set(ORACLE) <= set(E.queries())
+
+
+@pytest.mark.parametrize("key,figures", [("forecast_eval_optimised", 1), ("forecast_future_optimised", 13)])
+def test_searched_forecasts_cover_the_series_of_the_grid(spark, key, figures):
+    got = E.queries()[key](spark, SF001).collect()
+    grid = E.queries()[key.removesuffix("_optimised")](spark, SF001).collect()
+    assert sorted(r.series_key for r in got) == sorted(r.series_key for r in grid)
+    value = "mae" if "mae" in got[0].asDict() else "yhat"
+    assert {r.series_key for r in got if r[value] is not None} == {r.series_key for r in grid if r[value] is not None}
+    assert all(r[value] >= 0 or value == "yhat" for r in got if r[value] is not None) and len([r for r in got if r.series_key == "ALL"]) == figures
 
 
 def test_entry_smoke(spark):
