@@ -16,15 +16,17 @@ band; documents outside it are rejected.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, slices, stored, text_of
+from .common import checkpointed, stored, text_of
 
 GRAM = 4                     # characters of the longest n-gram
 START = 0x110000             # stands before a text, where no character can
@@ -108,7 +110,10 @@ def _alike(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """doc_id, lang and text of ``docs`` with the text's hash and the run of documents it belongs to."""
+    """doc_id and lang of ``docs``, the text packed by zstandard and hashed, and the run of documents it belongs to.
+
+    The texts are shuffled once, to their runs; packed they need less disk there.
+    """
     src = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), text_of(F.col("text").cast("string")).alias("text"))
     src = src.withColumn("text_hash", F.xxhash64("text"))
 
@@ -119,11 +124,33 @@ def numbered(docs: DataFrame) -> DataFrame:
             sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
             before = held + np.cumsum(sizes) - sizes
             held += int(sizes.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(at + before // RUN, pa.int64()), *batch.columns],
-                                             names=["run", *batch.schema.names])
+            pack = zstandard.ZstdCompressor(level=3).compress
+            packed = pa.array([pack(t) for t in batch.column("text").cast(pa.binary()).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(at + before // RUN, pa.int64()), batch.column("doc_id"), batch.column("lang"),
+                                              packed, batch.column("text_hash")], names=["run", "doc_id", "lang", "packed", "text_hash"])
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"run long, doc_id {kind}, lang string, text string, text_hash long")
+    return src.mapInArrow(run, f"run long, doc_id {kind}, lang string, packed binary, text_hash long")
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows with their texts, as many together as hold about ``SLICE`` bytes; a longer text stands alone."""
+    unpack, texts, size, at = zstandard.ZstdDecompressor().decompress, [], 0, 0
+    names = [n for n in batch.schema.names if n != "packed"]
+
+    def rows(part: pa.RecordBatch) -> pa.RecordBatch:
+        text = pa.array(texts, pa.binary()).cast(pa.string())
+        return pa.RecordBatch.from_arrays([*(part.column(n) for n in names), text], names=[*names, "text"])
+
+    for i, p in enumerate(batch.column("packed").to_pylist()):
+        n = zstandard.frame_content_size(p)
+        if texts and size + n > SLICE:
+            yield rows(batch.slice(at, len(texts)))
+            texts, size, at = [], 0, i
+        texts.append(unpack(p))
+        size += n
+    if texts:
+        yield rows(batch.slice(at, len(texts)))
 
 
 def run_ngrams(docs: DataFrame) -> DataFrame:
@@ -149,7 +176,7 @@ def run_ngrams(docs: DataFrame) -> DataFrame:
     def run(batches):
         now, parts = None, []
         for batch in batches:
-            for part in slices(batch, "text", SLICE):
+            for part in _unpacked(batch):
                 runs = part.column("run").to_numpy()
                 for one in np.unique(runs):
                     if parts and one != now:
@@ -274,7 +301,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         held = tuple(known.column(c).fill_null(0).to_numpy()[order] for c in ("gram", "count", "total", "mass"))
         out = []
         for batch in docs.to_batches():
-            for part in slices(batch, "text", SLICE):
+            for part in _unpacked(batch):
                 texts = part.column("text").to_pylist()
                 copies = held[1][np.minimum(np.searchsorted(held[0], part.column("text_hash").to_numpy()), len(held[0]) - 1)]
                 cols = list(zip(*map(measures, texts)))
