@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, stored, text_of
+from .common import checkpointed, slices, stored, text_of
 
 GRAM = 4                     # characters of the longest n-gram
 START = 0x110000             # stands before a text, where no character can
@@ -109,10 +109,11 @@ def _alike(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order[new], back, np.diff(np.append(np.flatnonzero(new), len(x)))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """doc_id and lang of ``docs``, the text packed by zstandard and hashed, and the run of documents it belongs to.
+def numbered(docs: DataFrame, packed: bool = False) -> DataFrame:
+    """doc_id, lang and text of ``docs`` with the text's hash and the run of documents it belongs to.
 
-    The texts are shuffled once, to their runs; packed they need less disk there.
+    ``packed`` gives the texts compressed by zstandard instead: they are shuffled once, to
+    their runs, and need less disk there.
     """
     src = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), text_of(F.col("text").cast("string")).alias("text"))
     src = src.withColumn("text_hash", F.xxhash64("text"))
@@ -124,17 +125,23 @@ def numbered(docs: DataFrame) -> DataFrame:
             sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
             before = held + np.cumsum(sizes) - sizes
             held += int(sizes.sum())
-            pack = zstandard.ZstdCompressor(level=3).compress
-            packed = pa.array([pack(t) for t in batch.column("text").cast(pa.binary()).to_pylist()], pa.binary())
+            texts = batch.column("text")
+            if packed:
+                pack = zstandard.ZstdCompressor(level=1).compress
+                texts = pa.array([pack(t) for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(at + before // RUN, pa.int64()), batch.column("doc_id"), batch.column("lang"),
-                                              packed, batch.column("text_hash")], names=["run", "doc_id", "lang", "packed", "text_hash"])
+                                              texts, batch.column("text_hash")], names=["run", "doc_id", "lang", name, "text_hash"])
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"run long, doc_id {kind}, lang string, packed binary, text_hash long")
+    name, held = ("packed", "binary") if packed else ("text", "string")
+    return src.mapInArrow(run, f"run long, doc_id {kind}, lang string, {name} {held}, text_hash long")
 
 
 def _unpacked(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The rows with their texts, as many together as hold about ``SLICE`` bytes; a longer text stands alone."""
+    if "packed" not in batch.schema.names:
+        yield from slices(batch, "text", SLICE)
+        return
     unpack, texts, size, at = zstandard.ZstdDecompressor().decompress, [], 0, 0
     names = [n for n in batch.schema.names if n != "packed"]
 
@@ -289,10 +296,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     need not be the same when they are made again; ``in_place`` spares that copy for a
     table that is read from files as it is, whose partitions and order are (else this fails).
     """
-    src = numbered(docs.select(docs[id_col].alias("doc_id"), docs[lang_col].alias("lang"), docs[text_col].alias("text")))
+    docs = docs.select(docs[id_col].alias("doc_id"), docs[lang_col].alias("lang"), docs[text_col].alias("text"))
+    src = numbered(docs, packed=True)
     if not in_place:
         src = stored(src, "quality-documents")
-    rows = stored(run_ngrams(src), "quality-runs")
+    rows = stored(run_ngrams(numbered(docs) if in_place else src), "quality-runs")
     table, discounts, characters = tables(rows)
     known = rows.select("run", "gram").join(table, "gram")
 
