@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import random
 import re
+import tracemalloc
 import unicodedata
 from collections import Counter
 from hashlib import sha256
@@ -48,6 +49,28 @@ def test_base_measures_of_random_texts():
         assert quality.measures(text) == base_of(text)
 
 
+def test_repeated_windows_are_found_by_hash_and_compared(monkeypatch):
+    words = [b"%d" % i for i in range(100_000)]
+    tracemalloc.start()
+    try:
+        assert quality._repeated(words) == 0
+        assert tracemalloc.get_traced_memory()[1] < 80 * len(words)      # no tuple for every window
+    finally:
+        tracemalloc.stop()
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice("abé") for _ in range(rnd.randint(0, 40))) for _ in range(100)]
+    monkeypatch.setattr(quality, "hash", lambda word: 1, raising=False)  # every window has the same hash
+    for text in texts:
+        assert quality.measures(text) == base_of(text)
+
+
+def test_run_ngrams_meet_within_a_run(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, prose(i, 4000), "en") for i in range(40)], "doc_id long, text string, lang string").coalesce(1)
+    want = sorted(quality.run_ngrams(quality.numbered(docs)).collect())
+    monkeypatch.setattr(quality, "MERGE", 2000)                          # after every slice
+    assert sorted(quality.run_ngrams(quality.numbered(docs)).collect()) == want
+
+
 def kneser_ney(grams: Counter):
     """Interpolated modified Kneser-Ney by the textbook, recursive over dictionaries."""
     levels = {4: grams}

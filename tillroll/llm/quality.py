@@ -32,8 +32,10 @@ GRAM = 4                     # characters of the longest n-gram
 START = 0x110000             # stands before a text, where no character can
 STEP = 0x9E3779B97F4A7C15    # of the polynomial hash
 RUN = 32 << 20               # bytes of text whose n-grams meet the tables together
-SLICE = 1 << 20              # bytes of text in arrays at once
+SLICE = 1 << 18              # bytes of text in arrays at once: they stay in a core's cache
+MERGE = 1 << 19              # n-grams of a run that are gathered before equal ones meet
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
+SPACES = " \t\n\v\f\r"
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 WINDOW = 5
 BASE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -41,8 +43,7 @@ BASE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_w
 
 def measures(text: str) -> tuple[int, int, int, int, int]:
     """The base counts of one text, in the order of BASE_COLUMNS."""
-    words = text.split(" ") if text.isascii() and not _OTHER_SPACE.search(text) else WORD.findall(text)
-    words = [w for w in words if w]
+    words = text.encode("utf-8", "surrogatepass").split()          # bytes: ASCII white space only, as in WORD
     seen: set[str] = set()
     dup = 0
     for line in text.split("\n"):
@@ -50,24 +51,33 @@ def measures(text: str) -> tuple[int, int, int, int, int]:
             dup += 1
         elif WORD.search(line):
             seen.add(line)
-    return len(words), sum(map(len, words)), len(SYMBOLS.findall(text)), dup, _repeated(words)
+    chars = len(text) - sum(map(text.count, SPACES))
+    return len(words), chars, len(SYMBOLS.findall(text)), dup, _repeated(words)
 
 
-_OTHER_SPACE = re.compile(r"[\x09-\x0d]")
+def _repeated(words: list[bytes]) -> int:
+    """Words inside a window of five words that stands twice or more in the text.
 
-
-def _repeated(words: list[str]) -> int:
-    """Words inside a window of five words that stands twice or more in the text."""
+    Equal windows have equal hashes, so only windows whose hash comes twice are compared.
+    """
     n = len(words) - WINDOW + 1
     if n < 2:
         return 0
-    windows = list(zip(*(words[i:n + i] for i in range(WINDOW))))
-    if len(set(windows)) == n:
+    each = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+    window = each[:n].copy()
+    for i in range(1, WINDOW):
+        window = window * np.uint64(STEP) + each[i:n + i]
+    order = np.argsort(window)
+    held = window[order]
+    alike = held[1:] == held[:-1]
+    if not alike.any():
         return 0
+    twice = np.zeros(n, bool)
+    twice[order[1:][alike]] = twice[order[:-1][alike]] = True
     first: dict[tuple, int] = {}
     marked = np.zeros(len(words) + 1, np.int64)
-    for i, w in enumerate(windows):
-        j = first.setdefault(w, i)
+    for i in np.flatnonzero(twice).tolist():
+        j = first.setdefault(tuple(words[i:i + WINDOW]), i)
         if j != i:
             marked[[i, j]] = 1, 1
     starts = np.flatnonzero(marked)
@@ -181,14 +191,14 @@ def run_ngrams(docs: DataFrame) -> DataFrame:
                  *(pa.array(c[cut].view(np.int64), pa.int64()) for c in cols)], names=names)
 
     def run(batches):
-        now, parts = None, []
+        now, parts, fresh = None, [], 0
         for batch in batches:
             for part in _unpacked(batch):
                 runs = part.column("run").to_numpy()
                 for one in np.unique(runs):
                     if parts and one != now:
                         yield from rows(now, parts)
-                        parts = []
+                        parts, fresh = [], 0
                     now = int(one)
                     its = np.flatnonzero(runs == one)
                     own = part.slice(int(its[0]), len(its))
@@ -204,8 +214,9 @@ def run_ngrams(docs: DataFrame) -> DataFrame:
                             at, n = at[first], np.zeros(len(first), np.int64)
                         parts.append((np.full(len(at), k, np.int32), grams[k][at], grams[k - 1][at - 1],
                                       grams[k - 1][at], n.astype(np.int64)))
-                    if len(parts) > 8 * GRAM:
-                        parts = [distinct(parts)]
+                    fresh += sum(len(p[0]) for p in parts[-GRAM - 1:])
+                    if fresh > MERGE:
+                        parts, fresh = [distinct(parts)], 0
         if parts:
             yield from rows(now, parts)
 
