@@ -443,6 +443,32 @@ def test_groups_awkward_rows(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(groups, key=str)
 
 
+def test_simhash_checkpoints_have_as_many_files_as_rows_ask_for(spark, monkeypatch):
+    plain, files = simhash.checkpointed, []
+
+    def noted(*args):
+        out = plain(*args)
+        files.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(simhash, "checkpointed", noted)
+    rnd = random.Random(3)
+    words = [str(rnd.random()) for _ in range(400)]
+    texts = [" ".join(words[:399 - i % 2]) for i in range(6)] + [str(rnd.random()) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = {r.doc_id: r.component_id for r in simhash.groups(docs).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == {i: 0 if i < 6 else i for i in range(len(texts))}
+    assert len(files) > 4 and files[0] == 2 and set(files[1:]) == {1}      # the texts' own, then the small tables of groups
+
+
 def test_links_of_dense_and_scattered_fingerprints(spark):
     rnd = random.Random(9)
     base = [rnd.getrandbits(64) for _ in range(30)]

@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.session import tasks_for
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, read by Spark from ``sf_dir``."""
@@ -59,9 +61,16 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a copy in the shared folder."""
+def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Cut the lineage with a copy in the shared folder.
+
+    The copy has a file a partition, and for each file Hadoop's local file system starts
+    processes on the executor.  ``rows``, where it is known about how many there are, keeps
+    the files to as many as those ask for, whatever the session's number of shuffle partitions.
+    """
     shared_folder(df.sparkSession)
+    if rows is not None:
+        df = df.coalesce(tasks_for(df.sparkSession, rows))
     return df.checkpoint(eager=True)
 
 

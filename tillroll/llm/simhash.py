@@ -169,26 +169,29 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
     return lists.mapInArrow(run, "a long, b long").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, nodes: int | None = None) -> DataFrame:
     """(node, label): the smallest node of each node's component, for the nodes of ``edges`` (a, b).
 
     Every round a node and its label take the smallest label among their neighbours,
     then labels are followed one step; a round that changes nothing ends it.  The state
-    is checkpointed each round, so the lineage stays short.
+    is checkpointed each round, so the lineage stays short; its files are as many as its
+    rows ask for.  ``nodes``, if known, is about how many there are.
     """
-    both = checkpointed(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = checkpointed(edges.select(F.explode(ways).alias("w")).select("w.a", "w.b"), nodes)
+    ends = both.count()
     state = checkpointed(both.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("node"), F.least("a", "m").alias("label")))
+        F.col("a").alias("node"), F.least("a", "m").alias("label")), ends)
     while True:
-        ends = (both.join(state.select(F.col("node").alias("a"), F.col("label").alias("la")), "a")
-                .join(state.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b"))
-        offers = (ends.select(F.explode(F.array("a", "la")).alias("node"), F.col("lb").alias("offer"))
+        met = (both.join(state.select(F.col("node").alias("a"), F.col("label").alias("la")), "a")
+               .join(state.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b"))
+        offers = (met.select(F.explode(F.array("a", "la")).alias("node"), F.col("lb").alias("offer"))
                   .groupBy("node").agg(F.min("offer").alias("offer")))
         hooked = state.join(offers, "node", "left").select(
             "node", F.col("label").alias("old"), F.least("label", F.coalesce("offer", "label")).alias("label"))
         parents = hooked.select(F.col("node").alias("label"), F.col("label").alias("parent"))
         after = checkpointed(hooked.join(parents, "label", "left").select(
-            "node", "old", F.least("label", F.coalesce("parent", "label")).alias("label")))
+            "node", "old", F.least("label", F.coalesce("parent", "label")).alias("label")), ends)
         changed = after.where("old <> label").limit(1).count()
         state = after.select("node", "label")
         if not changed:
@@ -204,8 +207,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     row each; an empty table gives none; other columns are ignored.
     """
     rows = checkpointed(fingerprints(docs, id_col, text_col, shingle))
-    distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")))
-    joined = components(links(distinct.select("fp"), distance))
+    n = rows.count()
+    distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), n)
+    joined = components(links(distinct.select("fp"), distance), n)
     named = (distinct.join(joined, F.col("fp") == F.col("node"), "left")
              .select("fp", "first_id", "n", F.coalesce("label", "fp").alias("group_fp"), F.col("node").isNotNull().alias("linked")))
     firsts = named.where("linked").groupBy("group_fp").agg(F.min("first_id").alias("group_id"))

@@ -475,7 +475,7 @@ def compared(rows: DataFrame) -> DataFrame:
 def crowded(by_doc: DataFrame) -> DataFrame:
     """Anchors with more than ``CROWD`` contexts to be looked at."""
     asks = by_doc.select(F.explode("asks").alias("a")).select("a.anchor")
-    return checkpointed(asks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("anchor"))
+    return checkpointed(asks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("anchor"), by_doc.count())
 
 
 def _same(rows: DataFrame, other: DataFrame):
