@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 from corpus import AWKWARD, awkward, empty, prose
 
 from tillroll.llm import search
@@ -117,6 +118,18 @@ def test_ties_copies_and_small_blocks(spark):
     same(found(spark, docs, items, batch_bytes=1), wanted)
 
 
+def test_the_index_stores_whole_blocks_in_small_groups(spark):
+    texts = [(i, prose(i, 20) + " stone") for i in range(30)]
+    index = search.build_index(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), block_docs=2)
+    sizes = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in index.inputFiles()]
+    assert sum(m.num_rows for m in sizes) == 15
+    assert max(m.row_group(g).num_rows for m in sizes for g in range(m.num_row_groups)) <= search.GROUP_ROWS     # what a reader holds at once
+    assert [f.name for f in index.schema.fields if f.dataType.typeName() == "array"] == ["ids"]                  # no posting is an object to the JVM
+    df = Counter(t for _, text in texts for t in set(plain_terms(text)))
+    asked = sorted(df)[:5] + ["stone", "nowhere"]
+    assert {r.term: r.df for r in search.frequencies(index, asked).collect()} == {t: df[t] for t in asked if t in df}
+
+
 def test_awkward_and_empty_tables(spark):
     docs = [(r[0], r[1]) for r in AWKWARD]
     items = [(1, "same text the house"), (None, "élan straße"), (2, ""), (2, None), (3, "x" * 5000), (3, "中文 <|endoftext|>"), (3, "x" * 5000)]

@@ -1,8 +1,8 @@
 """Ranked lexical search by range maxima (operator 12).
 
 The index is a table of blocks of documents: each block has its documents in order of
-id and a posting list per term.  To search, a task turns the lists that the items ask
-for into impacts (the whole numbers that a term adds to a score) and lays a sparse
+id and a posting list per term, kept as two compressed binary values that only Python
+opens.  To search, a task turns the lists that the items ask for into impacts (the whole numbers that a term adds to a score) and lays a sparse
 table of range maxima over every list.  An interval of documents is bounded by the sum
 of its lists' maxima.  Best first, the interval with the highest bound is split at the
 document of its strongest maximum: that document is scored, the two intervals beside
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ BLOCK_DOCS = 4096            # documents of a block, at most
 BLOCK_BYTES = 8 << 20        # a block is closed once its texts pass this; a longer text is a block of its own
 BATCH_BYTES = 4 << 20        # item texts of one pass over the index: what every task is sent
 SPLITS = 64                  # intervals split in one step of an item's search
+GROUP_ROWS = 4               # blocks that the JVM writes and reads in one go
+WORDS, POSTINGS = ("terms", "dfs"), ("sizes", "docs", "tfs")
 
 #: ASCII letters in lower case and digits stay, other ASCII becomes a blank, other bytes stay.
 _WORDS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)).lower()
@@ -66,12 +69,29 @@ def _block(ids: list, texts: list[str | None], kind: pa.DataType) -> pa.RecordBa
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def _packed(block: pa.RecordBatch) -> pa.RecordBatch:
+    """A block as it is stored: arrays of a million numbers cost the JVM some times their size, a compressed value once."""
+    def blob(names: tuple[str, ...]) -> pa.Array:
+        part, sink = block.select(list(names)), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(part)
+        return pa.array([sink.getvalue().to_pybytes()], pa.binary())
+
+    return pa.RecordBatch.from_arrays([block.column("ids"), blob(WORDS), blob(POSTINGS), block.column("n_docs"), block.column("n_terms")],
+                                      names=["ids", "words", "postings", "n_docs", "n_terms"])
+
+
+def _unpacked(value: pa.BinaryScalar) -> dict[str, pa.Array]:
+    part = pa.ipc.open_stream(value.as_buffer()).read_next_batch()
+    return {c: part.column(c)[0].values for c in part.schema.names}
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """The stored index of every whole text, one row a block: ids, sizes, terms, dfs, docs, tfs, n_docs, n_terms.
+    """The stored index of every whole text, one row a block: ids, words, postings, n_docs, n_terms.
 
-    ``docs`` and ``tfs`` hold the posting lists of ``terms`` one after the other, ``dfs``
-    their lengths; a posting's document is its place in ``ids``, which is in order (nulls
-    last).  Documents stay in their task, so nothing is shuffled.  A null text has no
+    ``words`` holds the terms and the lengths of their posting lists (dfs), ``postings``
+    the documents' sizes and the lists one after the other (docs, tfs); a posting's
+    document is its place in ``ids``, which is in order (nulls last).  Documents stay in their task, so nothing is shuffled.  A null text has no
     term and is kept with size 0; repeated rows are documents of their own; an empty
     table has no block; columns not named are ignored.
     """
@@ -84,17 +104,17 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for part in slices(batch, "text"):
                 for i, t in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
                     if len(ids) >= block_docs or held >= BLOCK_BYTES:
-                        yield _block(ids, texts, kind)
+                        yield _packed(_block(ids, texts, kind))
                         ids, texts, held = [], [], 0
                     ids.append(i)
                     texts.append(t)
                     held += len(t or "")
         if ids:
-            yield _block(ids, texts, kind)
+            yield _packed(_block(ids, texts, kind))
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return stored(src.mapInArrow(run, f"ids array<{kind}>, sizes array<int>, terms array<string>, dfs array<int>, "
-                                      "docs array<int>, tfs array<int>, n_docs long, n_terms long"), "search-index")
+    return stored(src.mapInArrow(run, f"ids array<{kind}>, words binary, postings binary, n_docs long, n_terms long"), "search-index",
+                  {"parquet.block.row.count.limit": GROUP_ROWS})
 
 
 class _Lists:
@@ -213,9 +233,10 @@ def _pass(index: DataFrame, items: list[dict[str, int]], weights: dict[str, int]
         for batch in batches:
             kind = batch.schema.field("ids").type.value_type
             for b in range(batch.num_rows):
-                row = {c: batch.column(c)[b].values.to_numpy(zero_copy_only=False) for c in ("sizes", "dfs", "docs", "tfs")}
+                row = _unpacked(batch.column("words")[b]) | _unpacked(batch.column("postings")[b])
+                row = {c: x.to_pylist() if c == "terms" else x.to_numpy(zero_copy_only=False) for c, x in row.items()}
                 ids = batch.column("ids")[b].as_py()
-                lists = _Lists(row | {"terms": batch.column("terms")[b].as_py()}, weights, n, total)
+                lists = _Lists(row, weights, n, total)
                 known = len(ids) - ids.count(None)
                 for number, counts in asked:
                     here = [(lists.slot[t], c) for t, c in counts if t in lists.slot]
@@ -228,7 +249,21 @@ def _pass(index: DataFrame, items: list[dict[str, int]], weights: dict[str, int]
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(docs, kind), pa.array(scores, pa.int64())],
                                              names=["number", "doc_id", "score"])
 
-    return index.mapInArrow(run, f"number int, doc_id {index.schema['ids'].dataType.elementType.simpleString()}, score long")
+    return index.select("ids", "words", "postings").mapInArrow(run, f"number int, doc_id {index.schema['ids'].dataType.elementType.simpleString()}, score long")
+
+
+def frequencies(index: DataFrame, terms: list[str]) -> DataFrame:
+    """(term, df): the number of documents that hold each of ``terms``; no row for a term in none."""
+    asked = pa.array(terms, pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for value in batch.column("words"):
+                held = _unpacked(value)
+                known = pc.is_in(held["terms"], value_set=asked)
+                yield pa.RecordBatch.from_arrays([held["terms"].filter(known), held["dfs"].filter(known)], names=["term", "df"])
+
+    return index.select("words").mapInArrow(run, "term string, df int").groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def _batches(items: DataFrame, limit: int) -> Iterator[list[tuple]]:
@@ -264,9 +299,7 @@ def search(index: DataFrame, items: DataFrame, k: int = 20, item_col: str = "ite
     out = spark.createDataFrame([], f"item_id {kind}, rank int, doc_id {doc_kind}, score long")
     for batch in _batches(source, batch_bytes) if n else ():
         counts = [dict(Counter(t.decode("utf-8", "replace") for t in terms_of(text))) for _, text in batch]
-        terms = spark.createDataFrame([(t,) for t in sorted(set().union(*counts))], "term string")
-        lists = index.select(F.explode(F.arrays_zip("terms", "dfs")).alias("x")).select(F.col("x.terms").alias("term"), F.col("x.dfs").alias("df"))
-        dfs = lists.join(F.broadcast(terms), "term").groupBy("term").agg(F.sum("df").alias("df")).collect()     # terms of one batch
+        dfs = frequencies(index, sorted(set().union(*counts))).collect()     # terms of one batch
         weights = {r["term"]: math.floor(1000 * math.log((2 * n + 2) / (2 * r["df"] + 1))) for r in dfs}
         found = _pass(index, counts, weights, n, total, k)
         order = Window.partitionBy("number").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
