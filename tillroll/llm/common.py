@@ -61,26 +61,28 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Cut the lineage with a copy in the shared folder.
-
-    The copy has a file a partition, and for each file Hadoop's local file system starts
-    processes on the executor.  ``rows``, where it is known about how many there are, keeps
-    the files to as many as those ask for, whatever the session's number of shuffle partitions.
-    """
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a copy in the shared folder; the copy has a file a partition."""
     shared_folder(df.sparkSession)
-    if rows is not None:
-        df = df.coalesce(tasks_for(df.sparkSession, rows))
     return df.checkpoint(eager=True)
 
 
+def sized(df: DataFrame, rows: int | None) -> DataFrame:
+    """``df`` in as many partitions as its about ``rows`` rows ask for, as it is where they are not known.
+
+    For each file that a task writes Hadoop's local file system starts processes on the
+    executor, so a small table's copy must not have as many as the session has shuffle partitions.
+    """
+    return df if rows is None else df.coalesce(tasks_for(df.sparkSession, rows))
+
+
 _STORED: list[str] = []          # tables written by this process and not yet removed
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to a new place in the shared folder and read again."""
+def stored(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
+    """``df`` written as Parquet, with ``options``, to a new place in the shared folder and read again."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid4().hex}.parquet"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     _STORED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

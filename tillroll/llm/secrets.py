@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bloom
-from .common import checkpointed, text_of
+from .common import checkpointed, sized, text_of
 
 #: The base patterns, their kinds in listed order.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -131,7 +131,7 @@ def bare_places(docs: DataFrame, values: DataFrame, text_col: str, owner_col: st
     n = values.count()
     blocks = bloom.blocks_for(n)
     if blocks is not None:
-        keys = bloom.may_hold(keys, ["key"], checkpointed(bloom.build(values, ["key"], blocks), n), blocks)
+        keys = bloom.may_hold(keys, ["key"], checkpointed(sized(bloom.build(values, ["key"], blocks), n)), blocks)
     keys = keys.withColumn("salt", F.pmod(F.xxhash64("text_sha", "at"), F.lit(SALTS)).cast("int"))
     salted = values.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     met = keys.join(salted, ["key", "salt"]).withColumn("start", F.col("place") - F.col("off"))
@@ -204,11 +204,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     spans = found.select("text_sha", "owner", "repo", F.explode("base").alias("s"))
     sought = (spans.select("s.hash", "s.live", "s.size", "s.by").where("by IS NOT NULL")
               .groupBy("hash").agg(F.max("live").alias("live"), F.max("size").alias("size"), F.max("by").alias("by")))
-    values = checkpointed(sought.select("hash", "live", "size", F.col("by.key").alias("key"), (-F.col("by.back")).alias("off")), n)
-    bare = checkpointed(bare_places(docs, values.drop("live"), text_col, owner_col, repo), n)
+    values = checkpointed(sized(sought.select("hash", "live", "size", F.col("by.key").alias("key"), (-F.col("by.back")).alias("off")), n))
+    bare = checkpointed(sized(bare_places(docs, values.drop("live"), text_col, owner_col, repo), n))
     known = spans.select("owner", "repo", "s.hash", "s.live")
     # a bare place's value is a base value somewhere, which says whether it looks live
-    verdicts = checkpointed(ownership(known.unionByName(bare.select("owner", "repo", "hash", F.lit(False).alias("live"))), max_owners, max_repos), n)
+    known = known.unionByName(bare.select("owner", "repo", "hash", F.lit(False).alias("live")))
+    verdicts = checkpointed(sized(ownership(known, max_owners, max_repos), n))
 
     one = found.where("size(base) > 0").select("text_sha", "base").dropDuplicates(["text_sha"])
     places = one.select("text_sha", F.explode("base").alias("s")).select("text_sha", "s.start", "s.kind", "s.end", "s.hash").unionByName(

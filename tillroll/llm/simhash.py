@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, slices, text_of
+from .common import checkpointed, sized, slices, text_of
 
 SEED = 42
 POSITIONS = 8
@@ -178,10 +178,10 @@ def components(edges: DataFrame, nodes: int | None = None) -> DataFrame:
     rows ask for.  ``nodes``, if known, is about how many there are.
     """
     ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = checkpointed(edges.select(F.explode(ways).alias("w")).select("w.a", "w.b"), nodes)
+    both = checkpointed(sized(edges.select(F.explode(ways).alias("w")).select("w.a", "w.b"), nodes))
     ends = both.count()
-    state = checkpointed(both.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("node"), F.least("a", "m").alias("label")), ends)
+    state = checkpointed(sized(both.groupBy("a").agg(F.min("b").alias("m")).select(
+        F.col("a").alias("node"), F.least("a", "m").alias("label")), ends))
     while True:
         met = (both.join(state.select(F.col("node").alias("a"), F.col("label").alias("la")), "a")
                .join(state.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b"))
@@ -190,8 +190,8 @@ def components(edges: DataFrame, nodes: int | None = None) -> DataFrame:
         hooked = state.join(offers, "node", "left").select(
             "node", F.col("label").alias("old"), F.least("label", F.coalesce("offer", "label")).alias("label"))
         parents = hooked.select(F.col("node").alias("label"), F.col("label").alias("parent"))
-        after = checkpointed(hooked.join(parents, "label", "left").select(
-            "node", "old", F.least("label", F.coalesce("parent", "label")).alias("label")), ends)
+        after = checkpointed(sized(hooked.join(parents, "label", "left").select(
+            "node", "old", F.least("label", F.coalesce("parent", "label")).alias("label")), ends))
         changed = after.where("old <> label").limit(1).count()
         state = after.select("node", "label")
         if not changed:
@@ -208,7 +208,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     """
     rows = checkpointed(fingerprints(docs, id_col, text_col, shingle))
     n = rows.count()
-    distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), n)
+    distinct = checkpointed(sized(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), n))
     joined = components(links(distinct.select("fp"), distance), n)
     named = (distinct.join(joined, F.col("fp") == F.col("node"), "left")
              .select("fp", "first_id", "n", F.coalesce("label", "fp").alias("group_fp"), F.col("node").isNotNull().alias("linked")))

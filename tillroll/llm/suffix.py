@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, slices, text_of
+from .common import checkpointed, sized, slices, text_of
 
 LENGTH = 200                 # bytes of a repeated string
 PIECE = 64                   # bytes of an anchor
@@ -475,7 +475,8 @@ def compared(rows: DataFrame) -> DataFrame:
 def crowded(by_doc: DataFrame) -> DataFrame:
     """Anchors with more than ``CROWD`` contexts to be looked at."""
     asks = by_doc.select(F.explode("asks").alias("a")).select("a.anchor")
-    return checkpointed(asks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("anchor"), by_doc.count())
+    many = asks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("anchor")
+    return checkpointed(sized(many, by_doc.count()))
 
 
 def _same(rows: DataFrame, other: DataFrame):
