@@ -9,6 +9,7 @@ from collections import Counter
 
 import pytest
 from corpus import AWKWARD, awkward, empty
+from pyspark.sql import functions as F
 from test_corpus_operators import brute_groups
 from test_native import base_spans
 
@@ -68,6 +69,44 @@ def test_texts_in_all_languages_go_and_others_stay(spark):
         r.doc_id for r in few.collect() if re.search(r"[^\W\d_]", r.text or "")}          # too little to judge by
 
 
+PROSE = {"en": "the river and stone house with water light from their old bridge when night would never come again through this valley",
+         "de": "der fluss und das steinerne haus mit wasser über eine brücke wenn nacht nicht mehr kommt durch dieses tal zwischen bergen"}
+
+
+def prose_of(rnd, lang, n=60):
+    return " ".join(rnd.choices(PROSE[lang].split(), k=n))
+
+
+def test_unlabelled_and_wrongly_labelled_documents_get_their_language(spark):
+    rnd, kind = random.Random(8), "doc_id long, text string, lang string, source string, n_chars long"
+    given = [(i, prose_of(rnd, lang), lang) for i in range(240) for lang in [("en", "de")[i % 2]]]
+    odd = {-1: (prose_of(rnd, "en"), None, "en"), -2: (prose_of(rnd, "de"), "", "de"), -3: (prose_of(rnd, "en"), "de", "en"),
+           -4: ("the river and stone house", "de", "de"),                                                # too short to go against a label
+           -5: (prose_of(rnd, "en", 50) + " " + prose_of(rnd, "de", 50), "de", "de"), -6: (prose_of(rnd, "en"), "nl", "nl")}
+    given += [(i, text, lang) for i, (text, lang, _) in odd.items()]
+    docs = spark.createDataFrame([(*r, "s", len(r[1])) for r in given], kind)
+    after = rows(corpus_pipeline.identify_language(spark, docs, SMALL))
+    assert {i: after[i].lang for i in odd} == {i: want for i, (_, _, want) in odd.items()}
+    assert all(after[i].lang == lang and after[i].text == text for i, text, lang in given if i >= 0) and len(after) == len(given)
+    few = rows(corpus_pipeline.identify_language(spark, docs.where("doc_id < 20"), SMALL))             # too little to go by
+    assert {i: few[i].lang for i in (-1, -2, -3)} == {-1: None, -2: "", -3: "de"}
+    none = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang for r in corpus_pipeline.identify_language(spark, none, SMALL).collect()} == {None}
+
+
+def test_one_rare_label_does_not_stop_the_score_from_judging(spark):
+    rnd, kind = random.Random(6), "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = {}
+    for r in docs.collect():
+        words.setdefault(r.lang, []).extend((r.text or "").split())
+    mix = [(-1 - i, " ".join(rnd.choice(words[k]) for _ in range(80) for k in sorted(words)), None, "s", 400) for i in range(20)]
+    rare = [(i, " ".join("één huis aan het water bij de brug".split() * 6), "nl", "s", 204) for i in (100_001, 100_002, 100_003)]
+    after = rows(corpus_pipeline.identify_language(spark, docs.unionByName(spark.createDataFrame(mix + rare, kind)), SMALL))
+    assert sum(r[0] in after for r in mix) <= 2
+    assert all(after[r[0]].lang == "nl" for r in rare)
+
+
 def test_only_the_last_input_is_left_in_the_shared_folder(spark, tmp_path, monkeypatch):
     from tillroll.llm import common
     monkeypatch.setattr(common, "shared_folder", lambda spark: str(tmp_path))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import pickle
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +57,7 @@ class Network:
     langs: list[str]
     w: dict[str, np.ndarray]
     words: int = 0               # of the language with the fewest words to learn from
+    by_lang: dict[str, int] = field(default_factory=dict)        # words to learn from, by language
 
     @classmethod
     def new(cls, langs: list[str], hidden: int, seed: int) -> Network:
@@ -189,7 +190,8 @@ def fit(docs: DataFrame, **sizes) -> Network | None:
     if not langs:
         return None
     net = train(words, langs)
-    net.words = min(Counter(lang for _, lang in words).values())
+    net.by_lang = dict(Counter(lang for _, lang in words))
+    net.words = min(net.by_lang.values())
     return net
 
 
